@@ -27,8 +27,7 @@ class Mapping:
     columns: dict[str, str]
     where: str = "TRUE"
 
-    def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        given = spark.read.parquet(f"{sf_dir}/{self.source}.parquet")
+    def frame(self, given: DataFrame) -> DataFrame:
         rows = given if self.where == "TRUE" else given.where(self.where)
         return rows.selectExpr(
             *(
@@ -328,9 +327,8 @@ DEVICE_SQL = (
 )
 
 
-def device_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def device_frame(customer: DataFrame) -> DataFrame:
     """A glucose device (even id) and a blood-pressure device (odd id) for most patients."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
     slots = customer.select("c_custkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("slot"))
     return slots.where(F.col("c_custkey") % 3 != F.col("slot")).select(
         (F.col("c_custkey") * 2 + F.col("slot")).alias("device_id"),
@@ -357,19 +355,25 @@ class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._given: dict[str, DataFrame] = {}
+
+    def given(self, table: str) -> DataFrame:
+        if table not in self._given:
+            self._given[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._given[table]
 
     def __getitem__(self, table: str) -> DataFrame:
         if table in LOOKUPS:
             return schemas.lookup_frame(self.spark, *LOOKUPS[table])
         if table == "device":
-            return device_frame(self.spark, self.sf_dir)
-        return TARGET_MAPPINGS[table].frame(self.spark, self.sf_dir)
+            return device_frame(self.given("customer"))
+        return self._mapped(TARGET_MAPPINGS[table])
 
     def raw(self, source: str) -> DataFrame:
-        return RAW_MAPPINGS[source].frame(self.spark, self.sf_dir)
+        return self._mapped(RAW_MAPPINGS[source])
 
-    def given(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+    def _mapped(self, mapping: Mapping) -> DataFrame:
+        return mapping.frame(self.given(mapping.source))
 
 
 def table_sql(table: str) -> str:

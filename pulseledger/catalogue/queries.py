@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,17 +40,11 @@ def _code_rows(df: DataFrame) -> DataFrame:
     return df.select("patient_id", "code", "timestamp_applied")
 
 
-def _state_before(d: Domain, act: activity.Activity, steps: Sequence[codes.Step]) -> codes.CodeState:
-    return codes.apply_rules(act, codes.CodeState.empty(d.spark), AS_OF, steps)
-
-
-def _only(*names: str) -> list[codes.Step]:
-    return [step for step in codes.STANDARD_RUN if step.name in names]
-
-
-def _single_rule(d: Domain, rule: codes.Rule, *before: str) -> DataFrame:
+def _single_rule(d: Domain, rule: codes.Rule, *before: codes.Step) -> DataFrame:
+    """A rule on its own, after the rules it depends on."""
     act = billing.scanned_activity(d, AS_OF)
-    return _code_rows(rule(act, _state_before(d, act, _only(*before)), AS_OF))
+    state = codes.apply_rules(act, codes.CodeState.empty(d.spark), AS_OF, [before] if before else [])
+    return _code_rows(rule(act, state, AS_OF))
 
 
 # --- billing codes ----------------------------------------------------------------
@@ -68,7 +62,7 @@ def code_99453_glucose(d: Domain) -> DataFrame:
 
 @_query
 def code_99453_bp(d: Domain) -> DataFrame:
-    return _single_rule(d, codes.pressure_setup, "glucose_setup")
+    return _single_rule(d, codes.pressure_setup, codes.Step("glucose_setup", codes.glucose_setup, True))
 
 
 @_query
@@ -78,7 +72,7 @@ def code_99454_glucose(d: Domain) -> DataFrame:
 
 @_query
 def code_99454_bp(d: Domain) -> DataFrame:
-    return _single_rule(d, codes.pressure_usage, "glucose_usage")
+    return _single_rule(d, codes.pressure_usage, codes.Step("glucose_usage", codes.glucose_usage))
 
 
 @_query
@@ -93,7 +87,8 @@ def code_99457(d: Domain) -> DataFrame:
 
 def _before_extra_talk(d: Domain) -> tuple[activity.Activity, codes.CodeState]:
     act = billing.shared_activity(d, AS_OF)
-    return act, _state_before(d, act, codes.STANDARD_RUN[:-1])
+    empty = codes.CodeState.empty(d.spark)
+    return act, codes.apply_rules(act, empty, AS_OF, codes.STANDARD_RUN[:-1])
 
 
 @_query
@@ -504,8 +499,9 @@ def lookup_note_author(d: Domain) -> DataFrame:
 @_query
 def surrogate_keys(d: Domain) -> DataFrame:
     """Ids for the accepted patients, after those already given out."""
-    accepted = entities.patients(constraint_pass(d)).select("sharepoint_id", "full_name")
-    return keys.assign_ids(accepted, "patient_id", ["sharepoint_id"], d["patient"])
+    accepted = load.staged_patients(d.raw("patient_export"), LOADED_AT)["patient"]
+    named = accepted.select("sharepoint_id", "full_name")
+    return keys.assign_ids(named, "patient_id", ["sharepoint_id"], d["patient"])
 
 
 @_query

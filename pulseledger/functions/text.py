@@ -43,49 +43,72 @@ def alphanumerics(col: Column) -> Column:
 
 
 def first_match(col: Column, pattern: str, keep_original: bool = False) -> Column:
-    """The first match of ``pattern``; without one the original text, or null."""
-    found = F.when(col.rlike(pattern), F.regexp_extract(col, pattern, 0))
-    return found.otherwise(col) if keep_original else found
+    """The first match of ``pattern``; without one the original text, or null.
 
-
-def _whole_word(words: Iterable[str]) -> str:
-    return r"(?U)\b(?:" + "|".join(re.escape(word) for word in words) + r")\b"
+    The pattern must not match the empty text.
+    """
+    found = F.nullif(F.regexp_extract(col, pattern, 0), F.lit(""))
+    return F.coalesce(found, col) if keep_original else found
 
 
 def keyword_name(
     col: Column, keywords: Sequence[tuple[str, str]], keep_original: bool = False
 ) -> Column:
-    """Name of the first entry whose phrase occurs as a whole word, in any case."""
-    return keyword_set_name(
-        col, [(name, ([phrase],)) for name, phrase in keywords], keep_original
-    )
+    """Name of the first entry whose phrase occurs as a whole word, in any case.
+
+    One pattern finds every listed phrase in the text, also overlapping ones;
+    the smallest list position among them wins.
+    """
+    phrases = [phrase.lower() for _, phrase in keywords]
+    for phrase in phrases:
+        if any(other.startswith(phrase + " ") for other in phrases):
+            raise ValueError(f"keyword {phrase!r} begins another keyword")
+    listed = "|".join(re.escape(phrase) for phrase in phrases)
+    found = F.regexp_extract_all(F.lower(col), F.lit(rf"(?U)\b(?=({listed})\b)"), F.lit(1))
+    names, known = F.expr(_array(name for name, _ in keywords)), F.expr(_array(phrases))
+    place = F.array_min(F.transform(found, lambda phrase: F.array_position(known, phrase)))
+    name = F.when(place > 0, F.element_at(names, place.cast("int")))
+    return F.coalesce(name, col) if keep_original else name
 
 
 def keyword_set_name(
     col: Column,
-    keywords: Sequence[tuple[str, Iterable[Sequence[str]]]],
+    keywords: Sequence[tuple[str, Sequence[Sequence[str]]]],
     keep_original: bool = False,
 ) -> Column:
     """Name of the first entry of which any set has all of its words in the text.
 
-    One alternation over the sets' leading words screens out the texts that
-    cannot match at all, so the ordered chain runs only for likely hits.
+    One pattern collects the listed words that occur; only texts with at least
+    one of them are compared with the sets.
     """
-    lowered = F.lower(col)
-    entries = [
-        (name, [[word.lower() for word in words] for words in sets]) for name, sets in keywords
+    sets = [
+        (name, [word.lower() for word in words]) for name, options in keywords for words in options
     ]
-    chain = None
-    for name, sets in entries:
-        for words in sets:
-            hit = None
-            for word in words:
-                present = lowered.rlike(_whole_word([word]))
-                hit = present if hit is None else hit & present
-            chain = F.when(hit, name) if chain is None else chain.when(hit, name)
-    unmatched = col if keep_original else F.lit(None).cast("string")
-    leads = dict.fromkeys(words[0] for _, sets in entries for words in sets)
-    return F.when(lowered.rlike(_whole_word(leads)), chain.otherwise(unmatched)).otherwise(unmatched)
+    listed = "|".join(re.escape(word) for word in dict.fromkeys(w for _, ws in sets for w in ws))
+    present = F.regexp_extract_all(F.lower(col), F.lit(rf"(?U)\b(?:{listed})\b"), F.lit(0))
+    options = F.expr(
+        "array("
+        + ", ".join(f"struct({_text(name)} AS name, {_array(words)} AS words)" for name, words in sets)
+        + ")"
+    )
+
+    def first_complete(words: Column) -> Column:
+        complete = F.filter(
+            options, lambda option: F.forall(option["words"], lambda w: F.array_contains(words, w))
+        )
+        return F.when(F.size(words) > 0, F.try_element_at(complete, F.lit(1))["name"])
+
+    # The one-element array binds the found words, so that they are found once.
+    name = F.element_at(F.transform(F.array(present), first_complete), 1)
+    return F.coalesce(name, col) if keep_original else name
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _array(values: Iterable[str]) -> str:
+    return "array(" + ", ".join(_text(value) for value in values) + ")"
 
 
 def split_words(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pulseledger import schemas
 from pulseledger.functions.dates import Moment, days_before, month_before, talk_blocks
 from pulseledger.operators.activity import Activity
 from pulseledger.operators.keys import assign_ids
+from pulseledger.session import materialise
 
 # Fixed values of the billing rules.
 FIRST_VISIT_CODES = ("99202", "99203", "99204", "99205")
@@ -76,17 +78,8 @@ class CodeState:
             having = having.where(F.col("timestamp_applied") >= since)
         return having.select("patient_id").distinct()
 
-    def with_codes(self, added: DataFrame, rule: str, device: DataFrame | None = None) -> CodeState:
-        """The state after a rule; with ``device``, its codes are linked to every
-        device of their patient."""
-        codes = self.codes.unionByName(added.withColumn("rule", F.lit(rule)))
-        links = self.links
-        if device is not None:
-            owned = added.select("patient_id", "code").join(
-                device.select("patient_id", "device_id"), "patient_id"
-            )
-            links = links.unionByName(owned.withColumn("rule", F.lit(rule)))
-        return CodeState(codes, links)
+    def with_added(self, added: DataFrame, linked: DataFrame) -> CodeState:
+        return CodeState(self.codes.unionByName(added), self.links.unionByName(linked))
 
 
 def _added(candidates: DataFrame, code: str, stamp: str) -> DataFrame:
@@ -224,15 +217,23 @@ class Step:
     links_devices: bool = False
 
 
-# The order matters: later rules see the codes of earlier ones.
-STANDARD_RUN: tuple[Step, ...] = (
-    Step("first_visit", first_visit),
-    Step("glucose_setup", glucose_setup, links_devices=True),
-    Step("pressure_setup", pressure_setup, links_devices=True),
-    Step("glucose_usage", glucose_usage),
-    Step("pressure_usage", pressure_usage),
-    Step("first_talk", first_talk),
-    Step("extra_talk", extra_talk),
+# Stages run in order, each seeing the codes of the ones before it. The rules of
+# one stage read none of the codes their stage adds (99453 rules read 99453, the
+# 99454 rules 99454, and so on), so this equals the one-by-one order: first
+# visit, set-up by glucose then pressure, usage by glucose then pressure, first
+# talk, extra talk.
+STANDARD_RUN: tuple[tuple[Step, ...], ...] = (
+    (
+        Step("first_visit", first_visit),
+        Step("glucose_setup", glucose_setup, links_devices=True),
+        Step("glucose_usage", glucose_usage),
+        Step("first_talk", first_talk),
+    ),
+    (
+        Step("pressure_setup", pressure_setup, links_devices=True),
+        Step("pressure_usage", pressure_usage),
+    ),
+    (Step("extra_talk", extra_talk),),
 )
 
 
@@ -240,12 +241,25 @@ def apply_rules(
     activity: Activity,
     state: CodeState,
     as_of: Moment,
-    steps: Sequence[Step] = STANDARD_RUN,
+    stages: Sequence[Sequence[Step]] = STANDARD_RUN,
 ) -> CodeState:
-    """Fold the rules over the state, in order."""
-    for step in steps:
-        added = step.rule(activity, state, as_of)
-        state = state.with_codes(added, step.name, activity.device if step.links_devices else None)
+    """Fold the stages over the state.
+
+    Each stage's rows (a few per patient) are written out once: later rules and
+    the report read them several times, and the plan of the state stays a union
+    of stored tables however many runs it has been through.
+    """
+    for stage in stages:
+        rows = [
+            step.rule(activity, state, as_of).withColumn("rule", F.lit(step.name))
+            for step in stage
+        ]
+        added = materialise(reduce(DataFrame.unionByName, rows))
+        linking = [step.name for step in stage if step.links_devices]
+        linked = added.where(F.col("rule").isin(*linking)).join(
+            activity.device.select("patient_id", "device_id"), "patient_id"
+        )
+        state = state.with_added(added, linked.select("patient_id", "code", "device_id", "rule"))
     return state
 
 

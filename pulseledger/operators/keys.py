@@ -76,16 +76,20 @@ def assign_ids(
 ) -> DataFrame:
     """Consecutive ids in the order of ``order``, after the largest existing id.
 
-    The rows are range-sorted and kept in reliable storage, so that counting the
-    partitions and numbering the rows see the same ones. Only one row per
+    The rows are range-sorted and stored with their partition and their place in
+    it; the ids then follow from the partitions' row counts. Only one row per
     partition (its count) is ever brought together.
     """
-    ordered = materialise(df.orderBy(*order))
     position = F.monotonically_increasing_id()
-    placed = ordered.select(
-        "*",
-        F.shiftright(position, 33).alias("__partition"),
-        position.bitwiseAND(F.lit((1 << 33) - 1)).alias("__place"),
+    placed = materialise(
+        df.orderBy(*order)
+        .select("*", position.alias("__position"))
+        .select(
+            "*",
+            F.shiftright("__position", 33).alias("__partition"),
+            F.col("__position").bitwiseAND(F.lit((1 << 33) - 1)).alias("__place"),
+        )
+        .drop("__position")
     )
     counts = placed.groupBy("__partition").agg(F.count(F.lit(1)).alias("__rows"))
     earlier = Window.orderBy("__partition").rowsBetween(Window.unboundedPreceding, -1)

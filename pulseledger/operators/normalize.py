@@ -40,12 +40,10 @@ def normalize_users(directory: DataFrame) -> DataFrame:
 def normalize_patients(export: DataFrame) -> DataFrame:
     """The whole patient export cleansed: 36 columns, one row per export row.
 
-    Two projections: names and payers first, then the values derived from them.
-    The relationship is read from the contact's name before that is cleaned.
+    Three projections: every value by itself, "nan" texts to nulls, then the
+    values derived from several. The relationship is read from the contact's
+    name before that is cleaned.
     """
-    payer = _without_nan(cleanse.insurer(_raw("Insurance Name:")))
-    payer_id = _without_nan(cleanse.insurance_id(_raw("Insurance ID:")))
-    beneficiary = _without_nan(cleanse.beneficiary_id(_raw("Medicare ID number")))
     cleansed = export.select(
         cleanse.name(_raw("First Name"), cleanse.PERSON_NAME_DROPS).alias("first_name"),
         cleanse.name(_raw("Last Name"), cleanse.PERSON_NAME_DROPS).alias("last_name"),
@@ -73,9 +71,9 @@ def normalize_patients(export: DataFrame) -> DataFrame:
         cleanse.name(_raw("EmergencyName2"), cleanse.CONTACT_NAME_DROPS).alias("emergency_full_name2"),
         cleanse.digits_only(_raw("EmergencyNumber2")).alias("emergency_phone_number2"),
         cleanse.relationship(_raw("EmergencyName2")).alias("emergency_relationship2"),
-        beneficiary.alias("medicare_beneficiary_id"),
-        payer.alias("payer"),
-        payer_id.alias("payer_id"),
+        cleanse.beneficiary_id(_raw("Medicare ID number")).alias("medicare_beneficiary_id"),
+        cleanse.insurer(_raw("Insurance Name:")).alias("payer"),
+        cleanse.insurance_id(_raw("Insurance ID:")).alias("payer_id"),
         cleanse.insurance_id(_raw("InsuranceID2")).alias("secondary_payer_id"),
         cleanse.insurer(_raw("InsuranceName2")).alias("secondary_payer_name"),
         _timestamp(export, "On-board Date").alias("evaluation_datetime"),
@@ -86,7 +84,7 @@ def normalize_patients(export: DataFrame) -> DataFrame:
     paid_by = cleanse.primary_payer(
         F.col("payer"), F.col("payer_id"), F.col("medicare_beneficiary_id")
     )
-    derived = cleansed.withColumns(
+    return null_where(cleansed, cleanse.NAN_TEXT).withColumns(
         {
             "full_name": cleanse.full_name(F.col("first_name"), F.col("last_name")),
             "primary_payer_name": paid_by,
@@ -95,11 +93,6 @@ def normalize_patients(export: DataFrame) -> DataFrame:
             ),
         }
     ).drop("payer", "payer_id")
-    return null_where(derived, cleanse.NAN_TEXT)
-
-
-def _without_nan(col: Column) -> Column:
-    return F.when(~col.rlike(cleanse.NAN_TEXT), col)
 
 
 def _timestamp(df: DataFrame, name: str) -> Column:

@@ -33,7 +33,17 @@ def within_limits(cleansed: DataFrame) -> DataFrame:
     for name, limit in MAX_LENGTHS.items():
         short = _length(name) <= limit
         fits = short if fits is None else fits & short
-    return cleansed.where(fits)
+    return _computed_once(cleansed).where(fits)
+
+
+def _computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with filters on them kept above the computed columns.
+
+    A filter is otherwise moved below the projection it reads and computes the
+    cleansed values a second time. It cannot be moved below a generator.
+    """
+    row = F.struct(*(F.col(f"`{name}`") for name in df.columns))
+    return df.select(F.inline(F.array(row)))
 
 
 def rejects(cleansed: DataFrame) -> DataFrame:
@@ -42,6 +52,12 @@ def rejects(cleansed: DataFrame) -> DataFrame:
     Duplicates are found from grouped counts joined back, so a name shared by
     very many rows is never gathered in one task.
     """
+    identity = ("first_name", "last_name", "date_of_birth")
+    repeated = (
+        cleansed.groupBy(*identity)
+        .agg((F.count(F.lit(1)) > 1).alias("repeated"))
+        .where("repeated")
+    )
 
     def unless_length(name: str, exact: int, error: str) -> Column:
         return F.when(_length(name) != exact, error)
@@ -62,9 +78,8 @@ def rejects(cleansed: DataFrame) -> DataFrame:
             F.col("primary_payer_id").isNull() & F.col("primary_payer_name").isNull(),
             "missing insurance information",
         ),
+        F.when(F.col("repeated"), "duplicate patient"),
     )
-    identity = ("first_name", "last_name", "date_of_birth")
-    repeated = cleansed.groupBy(*identity).count().where("count > 1").drop("count")
-    duplicates = null_safe_join(cleansed, repeated, identity, "left_semi")
-    failed = cleansed.select(F.explode(F.array_compact(errors)).alias("error_type"), "*")
-    return failed.unionByName(duplicates.select(F.lit("duplicate patient").alias("error_type"), "*"))
+    checked = null_safe_join(cleansed, repeated, identity, "left")
+    failed = checked.select(F.explode(F.array_compact(errors)).alias("error_type"), "*")
+    return failed.drop("repeated")

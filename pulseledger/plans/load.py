@@ -1,7 +1,8 @@
-"""The load run: landed sources to keyed target tables, as one lazy plan.
+"""The load run: landed sources to keyed target tables.
 
-Only the surrogate keys need an action (see ``keys.assign_ids``); everything
-else is computed when the tables are written or queried.
+The cleansed export and the rows that get surrogate keys are computed at once
+and kept (see ``keys.assign_ids``); everything else is computed when the tables
+are written or queried.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pulseledger.functions.dates import Moment
 from pulseledger.operators import entities, keys, normalize, quality
 from pulseledger.schemas import conform
+from pulseledger.session import materialise
 from pulseledger.sources import readers
 
 
@@ -33,8 +35,11 @@ class RawSources:
 
 
 def staged_patients(export: DataFrame, loaded_at: Moment) -> dict[str, DataFrame]:
-    """The export cleansed, checked and split into the six patient entities."""
-    accepted = quality.within_limits(normalize.normalize_patients(export))
+    """The export cleansed, checked and split into the six patient entities.
+
+    The cleansed export is kept, so that it is computed once for all six.
+    """
+    accepted = materialise(quality.within_limits(normalize.normalize_patients(export)))
     return {
         "patient": entities.patients(accepted),
         "patient_address": entities.addresses(accepted),

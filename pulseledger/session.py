@@ -1,8 +1,9 @@
-"""Session settings and lineage cutting."""
+"""Session settings and intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,31 +28,32 @@ def build_session(app_name: str = "pulseledger", **settings: str) -> SparkSessio
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder checkpoints go to.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder intermediate tables are written to.
 
     ``spark.checkpoint.dir`` names the shared folder on a cluster. Only a
     local-mode session without that setting (tests, notebooks) falls back to a
     temporary folder; elsewhere the missing setting is an error, because a
     folder of one machine cannot be read by the other executors.
     """
-    context = spark.sparkContext
-    shared = spark.conf.get(CHECKPOINT_SETTING, None)
-    current = context.getCheckpointDir()
-    if shared:
-        if current is None:
-            context.setCheckpointDir(shared)
-        return shared
-    if current is not None:
-        return current
-    if not context.master.startswith("local"):
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="pulseledger-checkpoint-")
-    context.setCheckpointDir(fallback)
+    fallback = tempfile.mkdtemp(prefix="pulseledger-")
+    spark.conf.set(CHECKPOINT_SETTING, fallback)
     return fallback
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in reliable storage, cutting its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and read it back from a table in the shared folder.
+
+    That cuts the lineage and survives lost executors. Parquet keeps the table
+    small, lets every reader prune columns and filter row groups, and gives the
+    optimizer the real size for its join choices.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/pulseledger-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
