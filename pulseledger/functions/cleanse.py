@@ -12,6 +12,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pulseledger.functions import vocabulary as words
 from pulseledger.functions.text import (
@@ -183,7 +184,7 @@ def zip_base(col: Column) -> Column:
     return F.split_part(col, F.lit("-"), F.lit(1))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _html_unescaped(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
