@@ -312,7 +312,8 @@ def study_reading_days(
 
     other = F.when(F.col("kind") == "glucose", any_recent("pressure")).otherwise(any_recent("glucose"))
     counted = days.withColumn("other_recent", other).where(
-        F.col("recent") | F.coalesce("other_recent", F.lit(False))
+        F.col("reading_day").isNotNull()
+        & (F.col("recent") | F.coalesce("other_recent", F.lit(False)))
     )
     per_day = (
         counted.join(device.select("device_id", "patient_id"), "device_id")
