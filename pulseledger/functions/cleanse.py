@@ -91,7 +91,8 @@ def diagnosis_codes(col: Column) -> Column:
 
 def insurer(col: Column) -> Column:
     """Standard name of a known insurer; else the text in title case."""
-    return keyword_set_name(titled(trimmed(col)), split_words(words.INSURERS), keep_original=True)
+    text = trimmed(col)
+    return F.coalesce(keyword_set_name(text, split_words(words.INSURERS)), titled(text))
 
 
 def insurance_id(col: Column) -> Column:
@@ -144,7 +145,9 @@ def relationship(contact_name: Column) -> Column:
 
 
 def race(col: Column) -> Column:
-    return keyword_set_name(titled(trimmed(col)), split_words(words.RACES), keep_original=True)
+    """Standard name of a known race; else the text in title case."""
+    text = trimmed(col)
+    return F.coalesce(keyword_set_name(text, split_words(words.RACES)), titled(text))
 
 
 def weight_lbs(col: Column) -> Column:
@@ -152,19 +155,22 @@ def weight_lbs(col: Column) -> Column:
 
     A missing weight is 0 too.
     """
-    number = F.substr(digits(col), F.lit(1), F.lit(3)).try_cast("bigint")
-    weight = F.coalesce(number, F.lit(0).cast("bigint"))
+    weight = F.coalesce(_number(F.substr(digits(col), F.lit(1), F.lit(3))), F.lit(0))
     looks_like_height = F.coalesce(F.lower(col).rlike("'|\"|ft|in"), F.lit(False))
     return F.when(~looks_like_height, weight)
 
 
+def _number(digit_text: Column) -> Column:
+    """Digits as a number; nothing for no digits (kept from the cast, where it is an error)."""
+    return F.nullif(digit_text, F.lit("")).try_cast("bigint")
+
+
 def height_in(col: Column) -> Column:
     """Feet and inches as inches; a bare number counts as feet."""
     text = trimmed(col)
-    feet = F.regexp_extract(text, HEIGHT, 1).try_cast("bigint")
-    inches = F.coalesce(F.regexp_extract(text, HEIGHT, 2).try_cast("bigint"), F.lit(0))
-    height = ~F.lower(text).rlike("lbs|kg") & text.rlike(HEIGHT)
-    return F.when(height, feet * 12 + inches)
+    feet = _number(F.regexp_extract(text, HEIGHT, 1))
+    inches = F.coalesce(_number(F.regexp_extract(text, HEIGHT, 2)), F.lit(0))
+    return F.when(~F.lower(text).rlike("lbs|kg"), feet * 12 + inches)
 
 
 def digits_only(col: Column) -> Column:
