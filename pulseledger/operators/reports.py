@@ -14,6 +14,7 @@ from pulseledger.functions.dates import (
     whole_minutes,
 )
 from pulseledger.operators import activity
+from pulseledger.operators.joins import prefiltered
 from pulseledger.schemas import MEDICAL_CODES
 
 STUDY_DIAGNOSIS = "E119"
@@ -146,8 +147,17 @@ def owned_devices(device: DataFrame) -> DataFrame:
     return device.groupBy("patient_id").agg(F.count("device_id").alias("owned_devices"))
 
 
-def _of_devices(readings: DataFrame, device: DataFrame) -> DataFrame:
-    return readings.join(device.select("device_id"), "device_id", "left_semi")
+def _narrowed(
+    patient: DataFrame, notes: DataFrame, device: DataFrame, glucose: DataFrame, pressure: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Notes, devices and readings cut to those of a selection of patients."""
+    device = device.join(patient.select("patient_id"), "patient_id", "left_semi")
+    return (
+        prefiltered(notes, patient, "patient_id"),
+        device,
+        prefiltered(glucose, device, "device_id"),
+        prefiltered(pressure, device, "device_id"),
+    )
 
 
 def _patient_board(
@@ -163,11 +173,7 @@ def _patient_board(
     distinct: bool,
 ) -> DataFrame:
     if narrowed:
-        # A selection of patients: cut notes and readings to theirs before grouping.
-        chosen = patient.select("patient_id")
-        device = device.join(chosen, "patient_id", "left_semi")
-        notes = notes.join(chosen, "patient_id", "left_semi")
-        glucose, pressure = _of_devices(glucose, device), _of_devices(pressure, device)
+        notes, device, glucose, pressure = _narrowed(patient, notes, device, glucose, pressure)
     minutes = month_minutes(patient, notes, as_of)
     readings = month_readings(patient, device, glucose, pressure, as_of)
     board = (
@@ -261,9 +267,7 @@ def patient_overview(
     """
     if patient_id is not None:
         patient = patient.where(F.col("patient_id") == patient_id)
-        device = device.where(F.col("patient_id") == patient_id)
-        notes = notes.where(F.col("patient_id") == patient_id)
-        glucose, pressure = _of_devices(glucose, device), _of_devices(pressure, device)
+        notes, device, glucose, pressure = _narrowed(patient, notes, device, glucose, pressure)
     in_month = _month_to_date(F.col("received_datetime"), as_of)
     readings = month_readings(patient, device, glucose.where(in_month), pressure.where(in_month), as_of)
     return (

@@ -127,6 +127,13 @@ TARGETS: dict[str, str] = {
     "medical_code_device": "med_code_id bigint, device_id bigint",
 }
 
+# Tables stored by month, and the column the month is of (their readers filter on it).
+MONTH_OF: dict[str, str] = {
+    "glucose_reading": "received_datetime",
+    "blood_pressure_reading": "received_datetime",
+    "patient_note": "note_datetime",
+}
+
 CODE_TABLES: tuple[str, ...] = ("medical_code_device", "medical_code")
 
 # Seeded lookup tables: the code names the rules apply, and the note types they read.

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseledger.schemas import CODE_TABLES, TARGETS, conform, empty_frame
+from pulseledger.schemas import CODE_TABLES, MONTH_OF, TARGETS, conform, empty_frame
 
 # What to do when the table is already there.
 WRITE_MODES: dict[str, str] = {
@@ -16,12 +16,6 @@ WRITE_MODES: dict[str, str] = {
     "append": "append",
     "delete_rows": "overwrite",
 }
-# Fact tables are stored by month of the column their readers filter on.
-MONTH_OF: dict[str, str] = {
-    "glucose_reading": "received_datetime",
-    "blood_pressure_reading": "received_datetime",
-    "patient_note": "note_datetime",
-}
 
 
 def write_table(df: DataFrame, root: str, table: str, if_exists: str = "append") -> None:

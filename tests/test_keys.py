@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseledger.operators import keys
-from pulseledger.operators.joins import null_safe_join
+from pulseledger.operators.joins import null_safe_join, prefiltered
 from pulseledger.plans import load
 
 
@@ -76,3 +76,10 @@ def test_ids_are_consecutive_in_order_and_continue(spark):
 
 def test_ids_for_no_rows(spark):
     assert keys.assign_ids(spark.range(0), "row_id", ["id"]).count() == 0
+
+
+def test_prefilter_is_used_only_for_few_keys(spark):
+    rows_ = spark.range(100).withColumnRenamed("id", "k")
+    few = spark.createDataFrame([(3,), (5,)], "k bigint")
+    assert rows(prefiltered(rows_, few, "k", limit=2), "k") == [(3,), (5,)]
+    assert prefiltered(rows_, few, "k", limit=1).count() == 100

@@ -196,6 +196,10 @@ def test_tables_are_written_appended_and_reset(spark, tables, tmp_path):
     stored = spark.read.parquet(f"{root}/glucose_reading")
     assert stored.where("month = '2024-01'").count() == 16
     assert stored.select("received_datetime").dtypes == [("received_datetime", "timestamp_ntz")]
+    recent = readers.read_stored(spark, root, "glucose_reading", since="2024-01-20")
+    assert recent.columns == schemas.target_schema("glucose_reading").names and recent.count() == 6
+    assert readers.read_stored(spark, root, "glucose_reading").count() == 16
+    assert readers.read_stored(spark, root, "glucose_reading", since="2024-02-01").count() == 0
     writers.reset_billing_tables(spark, root)
     for name in schemas.TARGETS:
         empty = spark.read.schema(schemas.target_schema(name)).parquet(f"{root}/{name}")

@@ -106,7 +106,12 @@ def board(frames):
                                       "glucose_reading", "blood_pressure_reading")]
 
 
-def test_boards(world):
+def with_many_keys(monkeypatch):
+    """As if the selection were too large to broadcast."""
+    monkeypatch.setattr(reports, "prefiltered", lambda rows, keys, key: rows)
+
+
+def test_boards(world, monkeypatch):
     frames, connection = world
     of_kim = "p.user_id IN (SELECT user_id FROM coach WHERE display_name = 'Kim')"
     for distinct in (True, False):
@@ -114,6 +119,9 @@ def test_boards(world):
         assert differences(queue, connection, board_sql(of_kim, distinct)) == []
     everyone = reports.patient_search(frames["patient"], *board(frames), NOW)
     assert differences(everyone, connection, board_sql("TRUE", True)) == []
+    with_many_keys(monkeypatch)
+    assert differences(reports.coach_queue(frames["patient"], frames["coach"], *board(frames), "Kim", NOW),
+                       connection, board_sql(of_kim, True)) == []
     found = reports.patient_search(frames["patient"], *board(frames), NOW, first_name="A", phone_number="5550000003")
     wanted = "p.first_name = 'A' AND p.phone_number = '5550000003'"
     assert differences(found, connection, board_sql(wanted, True)) == []
