@@ -363,6 +363,7 @@ def _add_reports() -> None:
     ORACLE["coach_queue"] = _board_sql(coached, True)
     ORACLE["coach_queue_raw"] = _board_sql(coached, False)
     ORACLE["patient_search"] = _board_sql("p.first_name = 'Cleo' AND p.last_name = 'Smith'", True)
+    ORACLE["patient_search_any_case"] = _board_sql("lower(p.last_name) = 'o''brien'", True)
     ORACLE["patient_search_all"] = _board_sql("TRUE", True)
     moment = f"TIMESTAMP '{DASHBOARD_TIME}'"
     month = f"date_trunc('month', {moment})"

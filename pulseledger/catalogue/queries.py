@@ -26,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 COACH = "NATION_3"
+ANY_CASE = "UTF8_LCASE_RTRIM"
 FIRST_RUN = "2024-01-20"
 OPEN_REPORT_START = "2024-01-15"
 SCAN_START, SCAN_END = "2024-01-05", "2024-01-25"
@@ -183,6 +184,13 @@ def patient_search(d: Domain) -> DataFrame:
     )
 
 
+@_query
+def patient_search_any_case(d: Domain) -> DataFrame:
+    return reports.patient_search(
+        d["patient"], *_board_tables(d), DASHBOARD_TIME, last_name="o'BRIEN", collation=ANY_CASE
+    )
+
+
 @_query
 def patient_search_all(d: Domain) -> DataFrame:
     return reports.patient_search(d["patient"], *_board_tables(d), DASHBOARD_TIME)

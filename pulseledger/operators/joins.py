@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "__salt"
@@ -58,3 +58,12 @@ def prefiltered(rows: DataFrame, keys: DataFrame, key: str, limit: int = BROADCA
     if wanted.limit(limit + 1).count() > limit:
         return rows
     return rows.join(F.broadcast(wanted), key, "left_semi")
+
+
+def comparable(col: Column, collation: str | None) -> Column:
+    """The text as it is compared: byte by byte, or under a collation.
+
+    ``UTF8_LCASE_RTRIM`` ignores case and trailing blanks, as many database
+    servers do by default.
+    """
+    return col if collation is None else F.collate(col, collation)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseledger.operators.joins import null_safe_join
+from pulseledger.operators.joins import comparable, null_safe_join
 from pulseledger.session import materialise
 
 # Spread of one patient's readings or notes while they are matched to keys.
@@ -52,22 +52,27 @@ def resolve_readings(readings: DataFrame, patient: DataFrame, device: DataFrame)
     return add_id_column(readings, owned, "sharepoint_id", salt=FACT_SALT)
 
 
-def lookup_id(df: DataFrame, lookup: DataFrame, name_column: str, id_column: str,
-              lookup_name: str = "name", lookup_id_column: str | None = None) -> DataFrame:
+def lookup_id(
+    df: DataFrame,
+    lookup: DataFrame,
+    name_column: str,
+    id_column: str,
+    lookup_name: str = "name",
+    collation: str | None = None,
+) -> DataFrame:
     """Fill ``id_column`` from the lookup row whose name equals ``name_column``.
 
     A name that is not listed gives null, a row without a name keeps the id it
     has, and a name listed more than once is an error as soon as a row uses it.
     """
-    source = lookup_id_column or id_column
-    listed = lookup.groupBy(F.col(lookup_name).alias("__name")).agg(
-        F.min(source).alias("__id"), F.count(F.lit(1)).alias("__listed")
+    listed = lookup.groupBy(comparable(F.col(lookup_name), collation).alias("__name")).agg(
+        F.min(id_column).alias("__id"), F.count(F.lit(1)).alias("__listed")
     )
-    ambiguous = F.raise_error(F.concat(F.lit("more than one lookup row named "), F.col("__name")))
+    ambiguous = F.raise_error(F.concat(F.lit("more than one lookup row named "), F.col(name_column)))
     found = F.when(F.col("__listed") > 1, ambiguous.cast("bigint")).otherwise(F.col("__id"))
     if id_column in df.columns:
         found = F.when(F.col(name_column).isNull(), F.col(id_column)).otherwise(found)
-    joined = df.join(listed, F.col(name_column) == F.col("__name"), "left")
+    joined = df.join(listed, comparable(F.col(name_column), collation) == F.col("__name"), "left")
     return joined.withColumn(id_column, found).drop("__name", "__id", "__listed")
 
 

@@ -14,7 +14,7 @@ from pulseledger.functions.dates import (
     whole_minutes,
 )
 from pulseledger.operators import activity
-from pulseledger.operators.joins import prefiltered
+from pulseledger.operators.joins import comparable, prefiltered
 from pulseledger.schemas import MEDICAL_CODES
 
 STUDY_DIAGNOSIS = "E119"
@@ -208,9 +208,11 @@ def coach_queue(
     display_name: str,
     as_of: Moment,
     distinct: bool = True,
+    collation: str | None = None,
 ) -> DataFrame:
     """A coach's patients: talk this month, reading days and latest reading per device."""
-    coach = user.where(F.col("display_name") == display_name).select("user_id")
+    named = comparable(F.col("display_name"), collation) == display_name
+    coach = user.where(named).select("user_id")
     coached = patient.join(coach, "user_id", "left_semi")
     return _patient_board(
         coached, status, address, notes, device, glucose, pressure, as_of, True, distinct
@@ -230,6 +232,7 @@ def patient_search(
     last_name: str | None = None,
     phone_number: str | None = None,
     patient_id: int | None = None,
+    collation: str | None = None,
 ) -> DataFrame:
     """The queue's columns for the patients that match the given values.
 
@@ -244,7 +247,8 @@ def patient_search(
     }
     given = {name: value for name, value in wanted.items() if value is not None}
     for name, value in given.items():
-        patient = patient.where(F.col(name) == value)
+        text = comparable(F.col(name), collation) if isinstance(value, str) else F.col(name)
+        patient = patient.where(text == value)
     return _patient_board(
         patient, status, address, notes, device, glucose, pressure, as_of, bool(given), True
     )

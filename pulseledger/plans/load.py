@@ -16,6 +16,7 @@ from pulseledger.operators import entities, keys, normalize, quality
 from pulseledger.schemas import conform
 from pulseledger.session import materialise
 from pulseledger.sources import readers
+from pulseledger.sources.writers import write_snapshots
 
 
 @dataclass(frozen=True)
@@ -60,12 +61,23 @@ def staged_notes(notes_log: DataFrame, time_log: DataFrame, start: Moment, end:
 
 
 def load_tables(
-    sources: RawSources, start: Moment, end: Moment, loaded_at: Moment
+    sources: RawSources,
+    start: Moment,
+    end: Moment,
+    loaded_at: Moment,
+    snapshots: str | None = None,
+    collation: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All target tables for the sources in the date range."""
-    users = keys.assign_ids(
-        normalize.normalize_users(sources.directory), "user_id", ["ms_entra_id"]
-    )
+    """All target tables for the sources in the date range.
+
+    ``collation`` is how names are compared with the lookups (see
+    ``joins.comparable``).
+
+    With ``snapshots`` the staged frames are also written to that folder: users,
+    patient entities, devices and notes after cleansing, readings before it.
+    """
+    staged_users = normalize.normalize_users(sources.directory)
+    users = keys.assign_ids(staged_users, "user_id", ["ms_entra_id"])
     staged = staged_patients(sources.patient_export, loaded_at)
     patient = keys.assign_ids(staged["patient"], "patient_id", ["sharepoint_id", "full_name"])
     tables = {
@@ -73,29 +85,39 @@ def load_tables(
         for name, frame in staged.items()
         if name != "patient"
     }
-    devices = keys.resolve_devices(
-        normalize.normalize_devices(readers.supplied_devices(sources.fulfillment)),
-        patient,
-        sources.vendor,
-    )
+    staged_devices = normalize.normalize_devices(readers.supplied_devices(sources.fulfillment))
+    devices = keys.resolve_devices(staged_devices, patient, sources.vendor)
     device = keys.assign_ids(devices, "device_id", ["patient_id", "hardware_uuid", "name"])
-    glucose = normalize.normalize_bg_readings(
-        readers.glucose_window(sources.glucose_log, start, end)
-    )
-    pressure = normalize.normalize_bp_readings(
-        readers.pressure_window(sources.pressure_log, start, end)
-    )
-    notes = keys.resolve_notes(
-        staged_notes(sources.notes_log, sources.time_log, start, end), patient
-    )
+    raw_glucose = readers.glucose_window(sources.glucose_log, start, end)
+    raw_pressure = readers.pressure_window(sources.pressure_log, start, end)
+    glucose = normalize.normalize_bg_readings(raw_glucose)
+    pressure = normalize.normalize_bp_readings(raw_pressure)
+    merged_notes = staged_notes(sources.notes_log, sources.time_log, start, end)
+    notes = keys.resolve_notes(merged_notes, patient)
+    if snapshots is not None:
+        write_snapshots(
+            {
+                "user": staged_users,
+                **staged,
+                "device": staged_devices,
+                "note": merged_notes,
+                "glucose": raw_glucose,
+                "blood_pressure": raw_pressure,
+            },
+            snapshots,
+        )
     tables |= {
         "user": users,
-        "patient": link_coach(patient, users),
-        "patient_status": link_status_type(tables["patient_status"], sources.patient_status_type),
+        "patient": link_coach(patient, users, collation),
+        "patient_status": link_status_type(
+            tables["patient_status"], sources.patient_status_type, collation
+        ),
         "device": device,
         "glucose_reading": keys.resolve_readings(glucose, patient, device),
         "blood_pressure_reading": keys.resolve_readings(pressure, patient, device),
-        "patient_note": link_author(link_note_type(notes, sources.note_type), users),
+        "patient_note": link_author(
+            link_note_type(notes, sources.note_type, collation), users, collation
+        ),
     }
     return {name: conform(frame, name) for name, frame in tables.items()}
 
@@ -103,17 +125,25 @@ def load_tables(
 # --- lookups by name -----------------------------------------------------------
 
 
-def link_note_type(notes: DataFrame, note_type: DataFrame) -> DataFrame:
-    return keys.lookup_id(notes, note_type, "temp_note_type", "note_type_id")
+def link_note_type(
+    notes: DataFrame, note_type: DataFrame, collation: str | None = None
+) -> DataFrame:
+    return keys.lookup_id(
+        notes, note_type, "temp_note_type", "note_type_id", collation=collation
+    )
 
 
-def link_status_type(status: DataFrame, status_type: DataFrame) -> DataFrame:
-    return keys.lookup_id(status, status_type, "temp_status_type", "patient_status_type_id")
+def link_status_type(
+    status: DataFrame, status_type: DataFrame, collation: str | None = None
+) -> DataFrame:
+    return keys.lookup_id(
+        status, status_type, "temp_status_type", "patient_status_type_id", collation=collation
+    )
 
 
-def link_coach(patient: DataFrame, user: DataFrame) -> DataFrame:
-    return keys.lookup_id(patient, user, "temp_user", "user_id", lookup_name="display_name")
+def link_coach(patient: DataFrame, user: DataFrame, collation: str | None = None) -> DataFrame:
+    return keys.lookup_id(patient, user, "temp_user", "user_id", "display_name", collation)
 
 
-def link_author(notes: DataFrame, user: DataFrame) -> DataFrame:
-    return keys.lookup_id(notes, user, "temp_user", "user_id", lookup_name="display_name")
+def link_author(notes: DataFrame, user: DataFrame, collation: str | None = None) -> DataFrame:
+    return keys.lookup_id(notes, user, "temp_user", "user_id", "display_name", collation)

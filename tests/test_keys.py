@@ -83,3 +83,12 @@ def test_prefilter_is_used_only_for_few_keys(spark):
     few = spark.createDataFrame([(3,), (5,)], "k bigint")
     assert rows(prefiltered(rows_, few, "k", limit=2), "k") == [(3,), (5,)]
     assert prefiltered(rows_, few, "k", limit=1).count() == 100
+
+
+def test_lookup_under_a_collation(spark):
+    status = spark.createDataFrame([(1, "ALERT "), (2, "alert"), (3, "other")], "n int, kind string")
+    types = spark.createDataFrame([(1, "Alert")], "type_id bigint, name string")
+    exact = keys.lookup_id(status, types, "kind", "type_id")
+    assert rows(exact, "n", "type_id") == [(1, None), (2, None), (3, None)]
+    loose = keys.lookup_id(status, types, "kind", "type_id", collation="UTF8_LCASE_RTRIM")
+    assert rows(loose, "n", "type_id") == [(1, 1), (2, 1), (3, None)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseledger import schemas
 from pulseledger.operators import normalize, quality
-from pulseledger.plans import billing, load
+from pulseledger.plans import billing, load, month
 from pulseledger.sources import readers, writers
 
 EXPORT = {
@@ -254,3 +254,21 @@ def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Remote)
+
+
+def test_a_month_on_disk(spark, sources, tmp_path):
+    root, snaps, report = (str(tmp_path / name) for name in ("tables", "snaps", "report"))
+    month.load_month(spark, sources, root, "2024-01-01", "2024-01-31", "2024-02-01 08:00:00", snaps)
+    code_type = schemas.lookup_frame(spark, "med_code_type_id", schemas.MEDICAL_CODES)
+    for _ in range(2):  # a second run starts from emptied code tables
+        month.bill_month(spark, root, sources.note_type, code_type, "2024-01-01", "2024-01-31", report)
+    codes = readers.read_stored(spark, root, "medical_code")
+    assert codes.count() == 7 and {row.med_code_id for row in codes.collect()} == set(range(1, 8))
+    links = readers.read_stored(spark, root, "medical_code_device").collect()
+    assert len(links) == 1
+    linked = codes.where(F.col("med_code_id") == links[0].med_code_id).first()
+    assert linked.med_code_type_id == 2
+    lines = spark.read.option("header", True).csv(report)
+    assert lines.count() == 3 and lines.columns[-5:] == list(schemas.MEDICAL_CODES)
+    assert spark.read.parquet(f"{snaps}/snap_glucose").columns[-2:] == ["BG_Reading", "Manual_Reading"]
+    assert spark.read.parquet(f"{snaps}/snap_patient").count() == 2
