@@ -26,8 +26,12 @@ class Mapping:
     source: str
     columns: dict[str, str]
     where: str = "TRUE"
+    copies: int = 1  # every source row this often, numbered 0, 1, ... in ``copy``
 
     def frame(self, given: DataFrame) -> DataFrame:
+        if self.copies > 1:
+            numbers = F.array(*(F.lit(n) for n in range(self.copies)))
+            given = given.select("*", F.explode(numbers).alias("copy"))
         rows = given if self.where == "TRUE" else given.where(self.where)
         return rows.selectExpr(
             *(
@@ -40,7 +44,11 @@ class Mapping:
         columns = ", ".join(
             f'{text.replace("{TS}", "TIMESTAMP")} AS "{name}"' for name, text in self.columns.items()
         )
-        return f"SELECT {columns} FROM {self.source} WHERE {self.where}"
+        source = self.source
+        if self.copies > 1:
+            numbers = ", ".join(f"({n})" for n in range(self.copies))
+            source += f" CROSS JOIN (VALUES {numbers}) AS copies(copy)"
+        return f"SELECT {columns} FROM {source} WHERE {self.where}"
 
 
 def _cycle(key: str, *values: str | None) -> str:
@@ -174,7 +182,11 @@ _AUTHOR = _cycle(
     "NATION_7",
     None,
 )
-_RECORDED = "CAST(event_id % 2 AS STRING) || ':' || " + _padded("event_id % 60", 2) + " || ':' || " + _padded("(event_id * 7) % 60", 2)
+_RECORDED = (
+    f"CAST(event_id % 2 AS STRING) || ':' || {_padded('event_id % 60', 2)} || ':' || "
+    + _padded("(event_id * 7 + copy * 11) % 60", 2)
+)
+_NOTE_ID = "CASE WHEN event_id % 101 = 0 THEN NULL ELSE event_id END"
 
 RAW_MAPPINGS: dict[str, Mapping] = {
     "patient_export": Mapping(
@@ -299,7 +311,7 @@ RAW_MAPPINGS: dict[str, Mapping] = {
             "LCH_UPN": _AUTHOR,
             "Time_Note": _cycle("event_id", "Initial Evaluation with APRN", None, "Follow-up, Check-up",
                                 "Alert", "nan"),
-            "Note_ID": "CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 40 END",
+            "Note_ID": _NOTE_ID,
         },
         "event_type = 'signup'",
     ),
@@ -314,9 +326,11 @@ RAW_MAPPINGS: dict[str, Mapping] = {
             "Auto_Time": "event_id % 3 = 0",
             "Start_Time": "ts - INTERVAL '10' MINUTE",
             "End_Time": "ts",
-            "Note_ID": "CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 40 END",
+            "Note_ID": _NOTE_ID,
         },
-        "event_type = 'signup' AND event_id % 4 <> 1",
+        # No log for some notes, two rows for others.
+        "event_type = 'signup' AND event_id % 4 <> 1 AND (copy = 0 OR event_id % 5 = 0)",
+        copies=2,
     ),
 }
 

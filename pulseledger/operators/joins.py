@@ -18,14 +18,16 @@ def null_safe_join(
     keys: str | Sequence[str],
     how: str = "inner",
     salt: int = 1,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Join on ``keys``; the result has the left keys and the right side's other columns.
 
     ``salt`` > 1 spreads the rows of every left key over that many partitions and
     repeats the (narrow) right side as often. Use it where one key may hold a
-    large share of a big left side; rows and results do not change. Salts come
-    from the row's place in its input partition, not from its content, so even
-    identical rows are spread.
+    large share of a big left side; rows and results do not change. A row's salt
+    comes from its input partition and its values in the ``spread`` columns: a
+    task run again after a lost executor gives the same salts, and equal rows
+    from different partitions still part.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     renamed = right.select(
@@ -35,7 +37,8 @@ def null_safe_join(
         )
     )
     if salt > 1:
-        left = left.withColumn(_SALT, F.monotonically_increasing_id() % salt)
+        place = F.xxhash64(*(F.col(name) for name in spread)) + F.spark_partition_id()
+        left = left.withColumn(_SALT, F.pmod(place, F.lit(salt)))
         salts = F.explode(F.array(*(F.lit(n).cast("bigint") for n in range(salt))))
         renamed = renamed.withColumn(f"__key_{_SALT}", salts)
         names = [*names, _SALT]

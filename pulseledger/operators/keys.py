@@ -14,13 +14,15 @@ from pulseledger.session import materialise
 FACT_SALT = 8
 
 
-def add_id_column(df: DataFrame, ids: DataFrame, key: str, salt: int = 1) -> DataFrame:
+def add_id_column(
+    df: DataFrame, ids: DataFrame, key: str, salt: int = 1, spread: Sequence[str] = ()
+) -> DataFrame:
     """Swap ``key`` for the ids found under it.
 
     Rows without an id are lost, rows with several ids are repeated, and a null
     key finds the ids filed under null.
     """
-    return null_safe_join(df, ids, key, salt=salt).drop(key)
+    return null_safe_join(df, ids, key, salt=salt, spread=spread).drop(key)
 
 
 def patient_keys(patient: DataFrame) -> DataFrame:
@@ -33,7 +35,9 @@ def resolve_to_patient(df: DataFrame, patient: DataFrame) -> DataFrame:
 
 
 def resolve_notes(notes: DataFrame, patient: DataFrame) -> DataFrame:
-    return add_id_column(notes, patient_keys(patient), "sharepoint_id", salt=FACT_SALT)
+    return add_id_column(
+        notes, patient_keys(patient), "sharepoint_id", FACT_SALT, ["note_datetime"]
+    )
 
 
 def resolve_devices(devices: DataFrame, patient: DataFrame, vendor: DataFrame) -> DataFrame:
@@ -49,7 +53,7 @@ def resolve_readings(readings: DataFrame, patient: DataFrame, device: DataFrame)
     beside the readings), so the readings themselves are shuffled once.
     """
     owned = add_id_column(device.select("device_id", "patient_id"), patient_keys(patient), "patient_id")
-    return add_id_column(readings, owned, "sharepoint_id", salt=FACT_SALT)
+    return add_id_column(readings, owned, "sharepoint_id", FACT_SALT, ["received_datetime"])
 
 
 def lookup_id(

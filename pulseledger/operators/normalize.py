@@ -20,10 +20,8 @@ def _raw(name: str) -> Column:
 def parsed_timestamp(col: Column) -> Column:
     """A date cell in US or ISO notation; anything else is null."""
     return F.coalesce(
-        F.try_to_timestamp(col, F.lit("M/d/yyyy")),
-        F.try_to_timestamp(col, F.lit("yyyy-MM-dd")),
-        col.try_cast("timestamp"),
-    ).cast("timestamp_ntz")
+        F.try_to_date(col, "M/d/yyyy").cast("timestamp_ntz"), col.try_cast("timestamp_ntz")
+    )
 
 
 def normalize_users(directory: DataFrame) -> DataFrame:

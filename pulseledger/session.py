@@ -41,9 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="pulseledger-")
-    spark.conf.set(CHECKPOINT_SETTING, fallback)
-    return fallback
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulseledger-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:

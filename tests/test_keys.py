@@ -34,8 +34,9 @@ def test_salted_join_keeps_every_row_of_a_hot_key(spark):
     )
     ids = spark.createDataFrame([(7, 1), (7, 2), (8, 3)], "k bigint, id bigint")
     plain = null_safe_join(hot, ids, "k").groupBy("id").count()
-    salted = null_safe_join(hot, ids, "k", salt=4).groupBy("id").count()
-    assert rows(plain, "id", "count") == rows(salted, "id", "count")
+    for spread in ((), ("k",)):
+        salted = null_safe_join(hot, ids, "k", salt=4, spread=spread).groupBy("id").count()
+        assert rows(plain, "id", "count") == rows(salted, "id", "count")
 
 
 def test_lookup_by_name(spark):
