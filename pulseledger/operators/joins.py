@@ -37,7 +37,7 @@ def null_safe_join(
         )
     )
     if salt > 1:
-        place = F.xxhash64(*(F.col(name) for name in spread)) + F.spark_partition_id()
+        place = F.xxhash64(F.spark_partition_id(), *(F.col(name) for name in spread))
         left = left.withColumn(_SALT, F.pmod(place, F.lit(salt)))
         salts = F.explode(F.array(*(F.lit(n).cast("bigint") for n in range(salt))))
         renamed = renamed.withColumn(f"__key_{_SALT}", salts)

@@ -61,9 +61,11 @@ def test_ambiguous_lookup_fails_only_when_used(spark):
 def test_readings_are_copied_to_every_device_of_the_patient(spark):
     patient = spark.createDataFrame([(1, 101), (2, 102)], "patient_id bigint, sharepoint_id bigint")
     device = spark.createDataFrame([(11, 1), (12, 1), (21, 2)], "device_id bigint, patient_id bigint")
-    readings = spark.createDataFrame([(101, 5.0), (102, 6.0), (103, 7.0)], "sharepoint_id bigint, v double")
+    readings = spark.createDataFrame(
+        [(101, 5.0), (102, 6.0), (103, 7.0)], "sharepoint_id bigint, v double"
+    ).withColumn("received_datetime", F.lit(None).cast("timestamp_ntz"))
     result = keys.resolve_readings(readings, patient, device)
-    assert set(result.columns) == {"v", "device_id"}
+    assert set(result.columns) == {"v", "received_datetime", "device_id"}
     assert rows(result, "device_id", "v") == [(11, 5.0), (12, 5.0), (21, 6.0)]
 
 
