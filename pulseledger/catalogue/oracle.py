@@ -1,8 +1,8 @@
 """The SQL check of every registered query, in DuckDB's dialect.
 
-Rules and reports are written in their plain relational form (joins with
-fan-out, ``NOT EXISTS``, ``COUNT(DISTINCT)``), not in the form the Spark jobs
-use, so that the rewrites are checked too.
+Rules and reports are stated directly over single readings and notes (look-ups
+per patient and device, ``COUNT(DISTINCT)``), without the pre-aggregates the
+Spark jobs use, so that those are checked too.
 """
 
 from __future__ import annotations
@@ -46,113 +46,118 @@ def _tables(*names: str) -> list[tuple[str, str]]:
 _RULE_TABLES = ("device", "glucose_reading", "blood_pressure_reading", "patient_note", "note_type")
 
 
+def reading(pressure: str = "blood_pressure_reading") -> tuple[str, str]:
+    """CTE of the readings of known devices, both kinds."""
+    kinds = " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, device_id, received_datetime AS read_at FROM {table}"
+        for kind, table in (("glucose", "glucose_reading"), ("pressure", pressure))
+    )
+    return (
+        "reading",
+        f"SELECT kind, device_id, patient_id, read_at, CAST(read_at AS DATE) AS day "
+        f"FROM ({kinds}) JOIN device USING (device_id)",
+    )
+
+
+def _usage_start(as_of: str) -> str:
+    return f"(DATE '{as_of}' - 30)"
+
+
+def _talk_start(as_of: str) -> str:
+    return f"CAST(DATE '{as_of}' - INTERVAL 1 MONTH AS DATE)"
+
+
 def _first_visit(codes: str, links: str, as_of: str) -> str:
     return f"""
-    SELECT pn.patient_id, '99202' AS code, max(pn.note_datetime) AS timestamp_applied
-    FROM patient_note pn
-    JOIN note_type nt ON pn.note_type_id = nt.note_type_id AND nt.name = 'Initial Evaluation'
-    WHERE NOT EXISTS (
-        SELECT 1 FROM {codes} mc
-        WHERE mc.patient_id = pn.patient_id AND mc.code IN ('99202', '99203', '99204', '99205'))
-    GROUP BY pn.patient_id
-    HAVING floor(sum(pn.call_time_seconds)) / 60 >= 15 AND floor(sum(pn.call_time_seconds)) / 60 < 30"""
+    SELECT patient_id, '99202' AS code, max(note_datetime) AS timestamp_applied
+    FROM patient_note
+    WHERE note_type_id = (SELECT note_type_id FROM note_type WHERE name = 'Initial Evaluation')
+    AND patient_id NOT IN (SELECT patient_id FROM {codes} WHERE code BETWEEN '99202' AND '99205')
+    GROUP BY patient_id HAVING sum(call_time_seconds) BETWEEN 900 AND 1799"""
+
+
+def _sixteen_days(code: str, condition: str) -> str:
+    return f"""
+    SELECT patient_id, '{code}' AS code, max(read_at) AS timestamp_applied
+    FROM reading WHERE {condition}
+    GROUP BY patient_id HAVING count(DISTINCT day) >= 16"""
 
 
-def _setup(readings: str):
+def _setup(kind: str):
     def rule(codes: str, links: str, as_of: str) -> str:
-        return f"""
-        SELECT d.patient_id, '99453' AS code, max(r.received_datetime) AS timestamp_applied
-        FROM device d JOIN {readings} r ON d.device_id = r.device_id
-        WHERE NOT EXISTS (
-            SELECT 1 FROM {links} l
-            WHERE l.code = '99453' AND l.patient_id = d.patient_id AND l.device_id = d.device_id)
-        GROUP BY d.patient_id
-        HAVING count(DISTINCT CAST(r.received_datetime AS DATE)) >= 16"""
+        fresh = f"(patient_id, device_id) NOT IN (SELECT (patient_id, device_id) FROM {links} WHERE code = '99453')"
+        return _sixteen_days("99453", f"kind = '{kind}' AND {fresh}")
 
     return rule
 
 
-def _usage(readings: str):
+def _not_recently_used(codes: str, as_of: str) -> str:
+    since = _usage_start(as_of)
+    return (
+        f"day >= {since} AND patient_id NOT IN (SELECT patient_id FROM {codes} "
+        f"WHERE code = '99454' AND timestamp_applied >= {since})"
+    )
+
+
+def _usage(kind: str):
     def rule(codes: str, links: str, as_of: str) -> str:
-        since = f"(DATE '{as_of}' - INTERVAL 30 DAY)"
-        return f"""
-        SELECT d.patient_id, '99454' AS code, max(r.received_datetime) AS timestamp_applied
-        FROM device d JOIN {readings} r
-        ON d.device_id = r.device_id AND r.received_datetime >= {since}
-        WHERE NOT EXISTS (
-            SELECT 1 FROM {codes} mc
-            WHERE mc.code = '99454' AND mc.patient_id = d.patient_id
-            AND mc.timestamp_applied >= {since})
-        GROUP BY d.patient_id
-        HAVING count(DISTINCT CAST(r.received_datetime AS DATE)) >= 16"""
+        return _sixteen_days("99454", f"kind = '{kind}' AND {_not_recently_used(codes, as_of)}")
 
     return rule
 
 
 def _combined_usage(codes: str, links: str, as_of: str) -> str:
-    since = f"(DATE '{as_of}' - INTERVAL 30 DAY)"
     return f"""
-    SELECT d.patient_id, '99454' AS code,
-        CASE WHEN max(gr.received_datetime) > max(bpr.received_datetime)
-        THEN max(gr.received_datetime) ELSE max(bpr.received_datetime) END AS timestamp_applied
-    FROM device d
-    LEFT JOIN glucose_reading gr ON d.device_id = gr.device_id AND gr.received_datetime >= {since}
-    LEFT JOIN blood_pressure_reading bpr
-    ON d.device_id = bpr.device_id AND bpr.received_datetime >= {since}
-    WHERE NOT EXISTS (
-        SELECT 1 FROM {codes} mc
-        WHERE mc.code = '99454' AND mc.patient_id = d.patient_id AND mc.timestamp_applied >= {since})
-    GROUP BY d.patient_id
-    HAVING count(DISTINCT CAST(gr.received_datetime AS DATE)) >= 16
-    OR count(DISTINCT CAST(bpr.received_datetime AS DATE)) >= 16"""
+    SELECT patient_id, '99454' AS code,
+        if(glucose_last > pressure_last, glucose_last, pressure_last) AS timestamp_applied
+    FROM (
+        SELECT patient_id,
+            max(read_at) FILTER (kind = 'glucose') AS glucose_last,
+            max(read_at) FILTER (kind = 'pressure') AS pressure_last,
+            count(DISTINCT day) FILTER (kind = 'glucose') AS glucose_days,
+            count(DISTINCT day) FILTER (kind = 'pressure') AS pressure_days
+        FROM reading WHERE {_not_recently_used(codes, as_of)} GROUP BY patient_id)
+    WHERE greatest(glucose_days, pressure_days) >= 16"""
 
 
 def _first_talk(codes: str, links: str, as_of: str) -> str:
-    since = f"(DATE '{as_of}' - INTERVAL 1 MONTH)"
+    since = _talk_start(as_of)
     return f"""
-    SELECT pn.patient_id, '99457' AS code, max(pn.note_datetime) AS timestamp_applied
-    FROM patient_note pn
-    WHERE pn.note_datetime >= {since} AND NOT EXISTS (
-        SELECT 1 FROM {codes} mc
-        WHERE mc.code = '99457' AND mc.patient_id = pn.patient_id AND mc.timestamp_applied >= {since})
-    GROUP BY pn.patient_id
-    HAVING sum(pn.call_time_seconds) / 60 >= 20"""
+    SELECT patient_id, '99457' AS code, max(note_datetime) AS timestamp_applied
+    FROM patient_note
+    WHERE note_datetime >= {since} AND patient_id NOT IN (
+        SELECT patient_id FROM {codes} WHERE code = '99457' AND timestamp_applied >= {since})
+    GROUP BY patient_id HAVING sum(call_time_seconds) >= 1200"""
 
 
 def _extra_talk_rows(codes: str, as_of: str) -> str:
-    since = f"(DATE '{as_of}' - INTERVAL 1 MONTH)"
+    since = _talk_start(as_of)
     return f"""
-    SELECT t.patient_id, t.blocks AS rpm_20_mins_blocks, t.code_count, t.latest_note
+    SELECT patient_id, blocks AS rpm_20_mins_blocks, had AS code_count, last_note,
+        unnest(range(greatest(blocks - had - 1, 0))) AS number
     FROM (
-        SELECT pn.patient_id, rtb.blocks, mcc.code_count, max(pn.note_datetime) AS latest_note
-        FROM patient_note pn
-        JOIN (
-            SELECT patient_id,
-                CAST(least(coalesce(floor(sum(call_time_seconds) / 1200), 0), 4) AS BIGINT) AS blocks
-            FROM patient_note WHERE note_datetime >= {since} GROUP BY patient_id
-        ) rtb ON pn.patient_id = rtb.patient_id
-        JOIN (
-            SELECT patient_id,
-                CAST(sum(CASE WHEN code = '99458' THEN 1 ELSE 0 END) AS BIGINT) AS code_count
-            FROM {codes} WHERE timestamp_applied >= {since} GROUP BY patient_id
-        ) mcc ON pn.patient_id = mcc.patient_id
-        GROUP BY pn.patient_id, rtb.blocks, mcc.code_count
-    ) t CROSS JOIN (VALUES (1), (2), (3)) AS numbers(n)
-    WHERE t.blocks - t.code_count > 1 AND n <= t.blocks - t.code_count - 1"""
+        SELECT patient_id,
+            CAST(least(sum(call_time_seconds) FILTER (note_datetime >= {since}) // 1200, 4) AS BIGINT) AS blocks,
+            max(note_datetime) AS last_note
+        FROM patient_note GROUP BY patient_id)
+    JOIN (
+        SELECT patient_id, count(*) FILTER (code = '99458') AS had
+        FROM {codes} WHERE timestamp_applied >= {since} GROUP BY patient_id)
+    USING (patient_id)"""
 
 
 def _extra_talk(codes: str, links: str, as_of: str) -> str:
     return f"""
-    SELECT patient_id, '99458' AS code, latest_note AS timestamp_applied
+    SELECT patient_id, '99458' AS code, last_note AS timestamp_applied
     FROM ({_extra_talk_rows(codes, as_of)})"""
 
 
 _RUN = (
     ("first_visit", _first_visit, False),
-    ("glucose_setup", _setup("glucose_reading"), True),
-    ("pressure_setup", _setup("blood_pressure_reading"), True),
-    ("glucose_usage", _usage("glucose_reading"), False),
-    ("pressure_usage", _usage("blood_pressure_reading"), False),
+    ("glucose_setup", _setup("glucose"), True),
+    ("pressure_setup", _setup("pressure"), True),
+    ("glucose_usage", _usage("glucose"), False),
+    ("pressure_usage", _usage("pressure"), False),
     ("first_talk", _first_talk, False),
     ("extra_talk", _extra_talk, False),
 )
@@ -189,7 +194,7 @@ def _fold(as_of: str, upto: int = len(_RUN), prefix: str = "", codes: str = "no_
 
 
 def _add_codes() -> None:
-    base = _tables(*_RULE_TABLES)
+    base = [*_tables(*_RULE_TABLES), reading()]
     empty = [("no_codes", _NO_CODES), ("no_links", _NO_LINKS)]
 
     def alone(rule) -> str:
@@ -200,9 +205,9 @@ def _add_codes() -> None:
         return _with(base + ctes, f"SELECT * FROM {name}")
 
     ORACLE["code_99202"] = alone(_first_visit)
-    ORACLE["code_99453_glucose"] = alone(_setup("glucose_reading"))
+    ORACLE["code_99453_glucose"] = alone(_setup("glucose"))
     ORACLE["code_99453_bp"] = step("pressure_setup", 3)
-    ORACLE["code_99454_glucose"] = alone(_usage("glucose_reading"))
+    ORACLE["code_99454_glucose"] = alone(_usage("glucose"))
     ORACLE["code_99454_bp"] = step("pressure_usage", 5)
     ORACLE["code_99454_combined"] = alone(_combined_usage)
     ORACLE["code_99457"] = alone(_first_talk)
@@ -234,177 +239,153 @@ def _add_codes() -> None:
 # --- reports ----------------------------------------------------------------------------
 
 _REPORT_CODES = ("99202", "99453", "99454", "99457", "99458")
+# Report column -> patient, address or insurance column.
+_REPORT_COLUMNS = {
+    "ID": "sharepoint_id",
+    "FirstName": "first_name",
+    "MiddleName": "middle_name",
+    "LastName": "last_name",
+    "Suffix": "name_suffix",
+    "DOB": "date_of_birth",
+    "PhoneNumber": "phone_number",
+    "Address": "street_address",
+    "City": "city",
+    "State": "temp_state",
+    "Zipcode": "zipcode",
+    "Gender": "sex",
+    "MedicareNumber": "medicare_beneficiary_id",
+    "PrimaryPayer": "primary_payer_name",
+    "PrimaryPayerID": "primary_payer_id",
+    "SecondaryPayer": "secondary_payer_name",
+    "SecondaryPayerID": "secondary_payer_id",
+}
 
 
-def _report_sql(codes: str, start: str, end: str) -> str:
-    counts = ", ".join(
-        f"CAST(sum(CASE WHEN code = '{code}' THEN 1 ELSE 0 END) AS BIGINT) AS count_{code}"
-        for code in _REPORT_CODES
+def _diagnoses(patient: str, separator: str, only: str = "TRUE") -> str:
+    return (
+        f"(SELECT string_agg(temp_dx_code, '{separator}' ORDER BY temp_dx_code) FROM medical_necessity m "
+        f"WHERE m.patient_id = {patient}.patient_id AND {only})"
     )
-    shown = ", ".join(f'dpi.count_{code} AS "{code}"' for code in _REPORT_CODES)
+
+
+def _report_sql(codes: str, start: str, end: str) -> str:
+    counts = ", ".join(f"count(*) FILTER (code = '{code}') AS \"{code}\"" for code in _REPORT_CODES)
+    shown = ", ".join(f'{column} AS "{title}"' for title, column in _REPORT_COLUMNS.items())
+    given = ", ".join(f'served."{code}"' for code in _REPORT_CODES)
     return f"""
-    SELECT dpi.date_of_service AS "DateOfService", p.sharepoint_id AS "ID", p.first_name AS "FirstName",
-        p.middle_name AS "MiddleName", p.last_name AS "LastName", p.name_suffix AS "Suffix",
-        p.date_of_birth AS "DOB", p.phone_number AS "PhoneNumber", pa.street_address AS "Address",
-        pa.city AS "City", pa.temp_state AS "State", pa.zipcode AS "Zipcode", p.sex AS "Gender",
-        pin.medicare_beneficiary_id AS "MedicareNumber", pin.primary_payer_name AS "PrimaryPayer",
-        pin.primary_payer_id AS "PrimaryPayerID", pin.secondary_payer_name AS "SecondaryPayer",
-        pin.secondary_payer_id AS "SecondaryPayerID", pdc.dx_codes AS "DXCodes", {shown}
-    FROM patient p
-    JOIN patient_address pa ON p.patient_id = pa.patient_id
-    JOIN patient_insurance pin ON p.patient_id = pin.patient_id
-    JOIN (
-        SELECT patient_id, string_agg(temp_dx_code, ', ' ORDER BY temp_dx_code) AS dx_codes
-        FROM medical_necessity GROUP BY patient_id
-    ) pdc ON p.patient_id = pdc.patient_id
-    JOIN (
-        SELECT patient_id, CAST(timestamp_applied AS DATE) AS date_of_service, {counts}
-        FROM {codes}
-        WHERE timestamp_applied >= DATE '{start}' AND timestamp_applied <= DATE '{end}'
-        GROUP BY CAST(timestamp_applied AS DATE), patient_id
-    ) dpi ON p.patient_id = dpi.patient_id"""
+    SELECT served.day AS "DateOfService", {shown}, {_diagnoses("served", ", ")} AS "DXCodes", {given}
+    FROM (
+        SELECT patient_id, CAST(timestamp_applied AS DATE) AS day, {counts} FROM {codes}
+        WHERE timestamp_applied BETWEEN DATE '{start}' AND DATE '{end}' GROUP BY ALL
+    ) served
+    JOIN patient USING (patient_id)
+    JOIN patient_address USING (patient_id)
+    JOIN patient_insurance USING (patient_id)
+    WHERE served.patient_id IN (SELECT patient_id FROM medical_necessity)"""
+
+
+def month_columns(now: str) -> dict[str, str]:
+    """Dashboard values of patient ``c`` and device ``d``, each looked up by itself."""
+    span = f"BETWEEN date_trunc('month', TIMESTAMP '{now}') AND TIMESTAMP '{now}'"
+    noted = f"FROM patient_note n WHERE n.patient_id = c.patient_id AND n.note_datetime {span}"
+    return {
+        "mon_min": f"(SELECT CAST(coalesce(sum(n.call_time_seconds), 0) // 60 AS BIGINT) {noted})",
+        "last_note_date": f"(SELECT max(n.note_datetime) {noted})",
+        "mon_count": "(SELECT count(DISTINCT (r.kind, r.day)) FROM reading r "
+        f"WHERE r.device_id = d.device_id AND r.read_at {span})",
+        "last_reading_date": "(SELECT max(r.read_at) FROM reading r WHERE r.device_id = d.device_id)",
+    }
 
 
-def _minutes_sql(patients: str) -> str:
+def board_sql(where: str, distinct: bool, now: str) -> str:
+    values = ", ".join(f"{text} AS {name}" for name, text in month_columns(now).items())
     return f"""
-    SELECT p.patient_id, CAST(coalesce(sum(pn.call_time_seconds) // 60, 0) AS BIGINT) AS mon_min,
-        max(pn.note_datetime) AS last_note_date
-    FROM {patients} p
-    LEFT JOIN patient_note pn ON p.patient_id = pn.patient_id
-    AND pn.note_datetime >= date_trunc('month', TIMESTAMP '{DASHBOARD_TIME}')
-    AND pn.note_datetime <= TIMESTAMP '{DASHBOARD_TIME}'
-    GROUP BY p.patient_id"""
+    SELECT {"DISTINCT" if distinct else ""} c.patient_id, c.first_name, c.last_name,
+        s.temp_status_type, a.temp_state, {values}
+    FROM patient c LEFT JOIN device d ON d.patient_id = c.patient_id
+    JOIN patient_status s ON s.patient_id = c.patient_id
+    JOIN patient_address a ON a.patient_id = c.patient_id
+    WHERE {where}"""
+
+
+_BOARD_TABLES = ("patient", "user", "patient_status", "patient_address", "patient_note", "device",
+                 "glucose_reading", "blood_pressure_reading")
 
 
 def _board_sql(where: str, distinct: bool) -> str:
-    month = f"date_trunc('month', TIMESTAMP '{DASHBOARD_TIME}')"
-    columns = (
-        "p.patient_id, p.first_name, p.last_name, ps.temp_status_type, pa.temp_state, "
-        "mm.mon_min, mm.last_note_date, mc.mon_count, mc.last_reading_date"
-    )
-    return _with(
-        _tables("patient", "user", "patient_status", "patient_address", "patient_note", "device",
-                "glucose_reading", "blood_pressure_reading")
-        + [
-            ("chosen", f"SELECT p.* FROM patient p WHERE {where}"),
-            ("monthly_minutes", _minutes_sql("chosen")),
-            (
-                "latest",
-                """SELECT device_id, max(received_datetime) AS last_reading_date FROM (
-                SELECT device_id, received_datetime FROM glucose_reading
-                UNION SELECT device_id, received_datetime FROM blood_pressure_reading)
-                GROUP BY device_id""",
-            ),
-            (
-                "monthly_count",
-                f"""SELECT p.patient_id, d.device_id,
-                    count(DISTINCT CAST(gr.received_datetime AS DATE))
-                    + count(DISTINCT CAST(bpr.received_datetime AS DATE)) AS mon_count,
-                    max(latest.last_reading_date) AS last_reading_date
-                FROM chosen p
-                LEFT JOIN device d ON p.patient_id = d.patient_id
-                LEFT JOIN latest ON latest.device_id = d.device_id
-                LEFT JOIN glucose_reading gr ON d.device_id = gr.device_id
-                AND gr.received_datetime >= {month}
-                AND gr.received_datetime <= TIMESTAMP '{DASHBOARD_TIME}'
-                LEFT JOIN blood_pressure_reading bpr ON d.device_id = bpr.device_id
-                AND bpr.received_datetime >= {month}
-                AND bpr.received_datetime <= TIMESTAMP '{DASHBOARD_TIME}'
-                GROUP BY p.patient_id, d.device_id""",
-            ),
-        ],
-        f"""SELECT {"DISTINCT" if distinct else ""} {columns}
-        FROM patient p
-        JOIN patient_status ps ON p.patient_id = ps.patient_id
-        JOIN patient_address pa ON p.patient_id = pa.patient_id
-        JOIN monthly_minutes mm ON p.patient_id = mm.patient_id
-        JOIN monthly_count mc ON p.patient_id = mc.patient_id""",
-    )
+    ctes = [*_tables(*_BOARD_TABLES), reading()]
+    return _with(ctes, board_sql(where, distinct, DASHBOARD_TIME))
 
 
-def _study_sql(pressure: str) -> str:
-    since = f"(TIMESTAMP '{AS_OF} 12:00:00' - INTERVAL 30 DAY)"
-    return _with(
-        _tables("patient", "patient_address", "patient_insurance", "medical_necessity", "device",
-                "glucose_reading", pressure),
-        f"""
-        SELECT p.patient_id, p.first_name, p.last_name, p.date_of_birth, p.sex, p.phone_number,
-            pa.temp_state, pin.medicare_beneficiary_id, dca.dx_codes, tsl.gr_count, tsl.bpr_count
-        FROM patient p
-        JOIN patient_address pa ON p.patient_id = pa.patient_id
-        JOIN patient_insurance pin ON p.patient_id = pin.patient_id
-        JOIN (
-            SELECT patient_id, string_agg(temp_dx_code, ',') AS dx_codes FROM medical_necessity
-            WHERE temp_dx_code = 'E119' GROUP BY patient_id
-        ) dca ON p.patient_id = dca.patient_id
-        JOIN (
-            SELECT p.patient_id, count(DISTINCT CAST(gr.received_datetime AS DATE)) AS gr_count,
-                count(DISTINCT CAST(bpr.received_datetime AS DATE)) AS bpr_count
-            FROM patient p JOIN device d ON p.patient_id = d.patient_id
-            LEFT JOIN glucose_reading gr ON d.device_id = gr.device_id
-            LEFT JOIN {pressure} bpr ON d.device_id = bpr.device_id
-            WHERE gr.received_datetime >= {since} OR bpr.received_datetime >= {since}
-            GROUP BY p.patient_id
-            HAVING count(DISTINCT CAST(gr.received_datetime AS DATE)) >= 16
-            OR count(DISTINCT CAST(bpr.received_datetime AS DATE)) >= 16
-        ) tsl ON p.patient_id = tsl.patient_id
-        ORDER BY p.patient_id""",
-    )
+def study_sql(now: str) -> str:
+    since = f"(TIMESTAMP '{now}' - INTERVAL 30 DAY)"
+    e119 = "temp_dx_code = 'E119'"
+    return f"""
+    SELECT c.patient_id, c.first_name, c.last_name, c.date_of_birth, c.sex, c.phone_number, a.temp_state,
+        i.medicare_beneficiary_id, {_diagnoses("c", ",", e119)} AS dx_codes, gr_count, bpr_count
+    FROM patient c
+    JOIN patient_address a ON a.patient_id = c.patient_id
+    JOIN patient_insurance i ON i.patient_id = c.patient_id
+    JOIN (
+        SELECT patient_id, count(DISTINCT day) FILTER (kind = 'glucose') AS gr_count,
+            count(DISTINCT day) FILTER (kind = 'pressure') AS bpr_count
+        FROM reading r
+        WHERE r.read_at >= {since} OR EXISTS (
+            SELECT 1 FROM reading o
+            WHERE o.device_id = r.device_id AND o.kind <> r.kind AND o.read_at >= {since})
+        GROUP BY patient_id
+    ) days ON days.patient_id = c.patient_id
+    WHERE greatest(gr_count, bpr_count) >= 16
+    AND c.patient_id IN (SELECT patient_id FROM medical_necessity WHERE {e119})"""
+
+
+def _study(pressure: str) -> str:
+    ctes = _tables("patient", "patient_address", "patient_insurance", "medical_necessity", "device",
+                   "glucose_reading", pressure)
+    return _with([*ctes, reading(pressure)], study_sql(f"{AS_OF} 12:00:00"))
 
 
 def _add_reports() -> None:
     ctes, codes, _ = _fold(AS_OF)
-    base = _tables(*_RULE_TABLES, "patient", "patient_address", "patient_insurance", "medical_necessity")
+    base = [
+        *_tables(*_RULE_TABLES, "patient", "patient_address", "patient_insurance", "medical_necessity"),
+        reading(),
+    ]
     ORACLE["billing_report"] = _with(
-        base + ctes, _report_sql(codes, REPORT_START, REPORT_END) + " ORDER BY p.patient_id"
+        base + ctes, _report_sql(codes, REPORT_START, REPORT_END) + " ORDER BY served.patient_id"
     )
     ORACLE["billing_report_open"] = _with(base + ctes, _report_sql(codes, q.OPEN_REPORT_START, AS_OF))
-    coached = f"EXISTS (SELECT 1 FROM coach u WHERE u.user_id = p.user_id AND u.display_name = '{q.COACH}')"
+    coached = f"c.user_id IN (SELECT user_id FROM coach WHERE display_name = '{q.COACH}')"
     ORACLE["coach_queue"] = _board_sql(coached, True)
     ORACLE["coach_queue_raw"] = _board_sql(coached, False)
-    ORACLE["patient_search"] = _board_sql("p.first_name = 'Cleo' AND p.last_name = 'Smith'", True)
-    ORACLE["patient_search_any_case"] = _board_sql("lower(p.last_name) = 'o''brien'", True)
+    ORACLE["patient_search"] = _board_sql("c.first_name = 'Cleo' AND c.last_name = 'Smith'", True)
+    ORACLE["patient_search_any_case"] = _board_sql("lower(c.last_name) = 'o''brien'", True)
     ORACLE["patient_search_all"] = _board_sql("TRUE", True)
-    moment = f"TIMESTAMP '{DASHBOARD_TIME}'"
-    month = f"date_trunc('month', {moment})"
+    month = month_columns(DASHBOARD_TIME)
     ORACLE["patient_overview"] = _with(
-        _tables("patient", "patient_status", "patient_address", "patient_note", "device",
-                "glucose_reading", "blood_pressure_reading")
-        + [("monthly_minutes", _minutes_sql("patient"))],
+        [*_tables(*_BOARD_TABLES), reading()],
         f"""
-        SELECT DISTINCT p.patient_id, p.full_name, pa.temp_state, p.phone_number, p.date_of_birth,
-            CAST(year({moment}) - year(p.date_of_birth) - CASE
-                WHEN month(p.date_of_birth) > month({moment}) OR (
-                    month(p.date_of_birth) = month({moment}) AND day(p.date_of_birth) > day({moment}))
-                THEN 1 ELSE 0 END AS INTEGER) AS age,
-            ps.temp_status_type, mm.mon_min, mc.mon_count, pd.owned_devices
-        FROM patient p
-        JOIN patient_status ps ON p.patient_id = ps.patient_id
-        JOIN patient_address pa ON p.patient_id = pa.patient_id
-        JOIN monthly_minutes mm ON p.patient_id = mm.patient_id
-        JOIN (
-            SELECT p.patient_id, d.device_id, count(DISTINCT CAST(gr.received_datetime AS DATE))
-                + count(DISTINCT CAST(bpr.received_datetime AS DATE)) AS mon_count
-            FROM patient p LEFT JOIN device d ON p.patient_id = d.patient_id
-            LEFT JOIN glucose_reading gr ON d.device_id = gr.device_id
-            AND gr.received_datetime >= {month} AND gr.received_datetime <= {moment}
-            LEFT JOIN blood_pressure_reading bpr ON d.device_id = bpr.device_id
-            AND bpr.received_datetime >= {month} AND bpr.received_datetime <= {moment}
-            GROUP BY p.patient_id, d.device_id
-        ) mc ON p.patient_id = mc.patient_id
-        JOIN (
-            SELECT patient_id, count(device_id) AS owned_devices FROM device GROUP BY patient_id
-        ) pd ON p.patient_id = pd.patient_id""",
-    )
-    ORACLE["study_extract"] = _study_sql("blood_pressure_reading")
-    ORACLE["study_extract_shared_devices"] = _study_sql("pressure_on_same_device")
+        SELECT DISTINCT c.patient_id, c.full_name, a.temp_state, c.phone_number, c.date_of_birth,
+            CAST(date_sub('year', c.date_of_birth, TIMESTAMP '{DASHBOARD_TIME}') AS INTEGER) AS age,
+            s.temp_status_type, {month["mon_min"]} AS mon_min, {month["mon_count"]} AS mon_count,
+            (SELECT count(*) FROM device o WHERE o.patient_id = c.patient_id) AS owned_devices
+        FROM patient c JOIN device d ON d.patient_id = c.patient_id
+        JOIN patient_status s ON s.patient_id = c.patient_id
+        JOIN patient_address a ON a.patient_id = c.patient_id""",
+    )
+    ORACLE["study_extract"] = _study("blood_pressure_reading")
+    ORACLE["study_extract_shared_devices"] = _study("pressure_on_same_device")
     ORACLE["latest_reading"] = _with(
         _tables("glucose_reading", "blood_pressure_reading"),
         """SELECT device_id, max(received_datetime) AS last_reading_date FROM (
         SELECT device_id, received_datetime FROM glucose_reading
-        UNION SELECT device_id, received_datetime FROM blood_pressure_reading) GROUP BY device_id""",
+        UNION ALL SELECT device_id, received_datetime FROM blood_pressure_reading) GROUP BY device_id""",
+    )
+    ORACLE["month_minutes"] = _with(
+        _tables("patient", "patient_note"),
+        f"SELECT c.patient_id, {month['mon_min']} AS mon_min, {month['last_note_date']} AS last_note_date "
+        "FROM patient c",
     )
-    ORACLE["month_minutes"] = _with(_tables("patient", "patient_note"), _minutes_sql("patient"))
     ORACLE["owned_devices"] = _with(
         _tables("device"),
         "SELECT patient_id, count(device_id) AS owned_devices FROM device GROUP BY patient_id",
@@ -908,7 +889,11 @@ def _add_pipeline() -> None:
     ctes = [
         *_patients(),
         ("accepted", f"SELECT * FROM cleansed WHERE {_FITS}"),
-        ("patient", "SELECT *, row_number() OVER (ORDER BY sharepoint_id) AS patient_id FROM accepted"),
+        (
+            "patient",
+            f"SELECT {', '.join(PATIENT_COLUMNS)}, row_number() OVER (ORDER BY sharepoint_id) AS patient_id "
+            "FROM accepted",
+        ),
         ("patient_address", by_patient("accepted", "s.street_address, s.city, s.temp_state, s.zipcode")),
         (
             "patient_insurance",
@@ -935,6 +920,7 @@ def _add_pipeline() -> None:
         ("pressure_log", window("all_pressure", "Time_Recorded")),
         ("glucose_reading", readings("glucose_log", _GLUCOSE_VALUES)),
         ("blood_pressure_reading", readings("pressure_log", _PRESSURE_VALUES)),
+        reading(),
         ("all_notes", table_sql("notes_log")),
         ("all_times", table_sql("time_log")),
         ("notes_log", window("all_notes", "TimeStamp")),

@@ -10,6 +10,7 @@ import pytest
 from compare import differences
 from pyspark.sql import functions as F
 
+from pulseledger.catalogue import oracle
 from pulseledger.functions import dates
 from pulseledger.operators import reports
 
@@ -70,37 +71,10 @@ def world(request, spark):
         connection.execute(f"CREATE TABLE {name} ({columns})")
         marks = ", ".join("?" for _ in rows[0])
         connection.executemany(f"INSERT INTO {name} VALUES ({marks})", rows)
+    connection.execute(f"CREATE VIEW reading AS {oracle.reading()[1]}")
     return frames, connection
 
 
-def board_sql(where, distinct):
-    month = f"date_trunc('month', TIMESTAMP '{NOW}')"
-    bounds = f"received_datetime >= {month} AND received_datetime <= TIMESTAMP '{NOW}'"
-    return f"""
-    WITH mm AS (
-        SELECT p.patient_id, CAST(coalesce(sum(n.call_time_seconds) // 60, 0) AS BIGINT) AS mon_min,
-            max(n.note_datetime) AS last_note_date
-        FROM patient p LEFT JOIN patient_note n ON p.patient_id = n.patient_id
-        AND n.note_datetime >= {month} AND n.note_datetime <= TIMESTAMP '{NOW}'
-        WHERE {where} GROUP BY p.patient_id),
-    mc AS (
-        SELECT p.patient_id, d.device_id, count(DISTINCT CAST(g.received_datetime AS DATE))
-            + count(DISTINCT CAST(b.received_datetime AS DATE)) AS mon_count,
-            (SELECT max(t) FROM (
-                SELECT max(received_datetime) t FROM glucose_reading x WHERE x.device_id = d.device_id
-                UNION ALL
-                SELECT max(received_datetime) FROM blood_pressure_reading x WHERE x.device_id = d.device_id
-            )) AS last_reading_date
-        FROM patient p LEFT JOIN device d ON p.patient_id = d.patient_id
-        LEFT JOIN (SELECT * FROM glucose_reading WHERE {bounds}) g ON d.device_id = g.device_id
-        LEFT JOIN (SELECT * FROM blood_pressure_reading WHERE {bounds}) b ON d.device_id = b.device_id
-        WHERE {where} GROUP BY p.patient_id, d.device_id)
-    SELECT {"DISTINCT" if distinct else ""} p.patient_id, p.first_name, p.last_name, ps.temp_status_type,
-        pa.temp_state, mm.mon_min, mm.last_note_date, mc.mon_count, mc.last_reading_date
-    FROM patient p JOIN patient_status ps USING (patient_id) JOIN patient_address pa USING (patient_id)
-    JOIN mm USING (patient_id) JOIN mc USING (patient_id)"""
-
-
 def board(frames):
     return [frames[name] for name in ("patient_status", "patient_address", "patient_note", "device",
                                       "glucose_reading", "blood_pressure_reading")]
@@ -113,18 +87,18 @@ def with_many_keys(monkeypatch):
 
 def test_boards(world, monkeypatch):
     frames, connection = world
-    of_kim = "p.user_id IN (SELECT user_id FROM coach WHERE display_name = 'Kim')"
+    of_kim = "c.user_id IN (SELECT user_id FROM coach WHERE display_name = 'Kim')"
     for distinct in (True, False):
         queue = reports.coach_queue(frames["patient"], frames["coach"], *board(frames), "Kim", NOW, distinct)
-        assert differences(queue, connection, board_sql(of_kim, distinct)) == []
+        assert differences(queue, connection, oracle.board_sql(of_kim, distinct, NOW)) == []
     everyone = reports.patient_search(frames["patient"], *board(frames), NOW)
-    assert differences(everyone, connection, board_sql("TRUE", True)) == []
+    assert differences(everyone, connection, oracle.board_sql("TRUE", True, NOW)) == []
     with_many_keys(monkeypatch)
     assert differences(reports.coach_queue(frames["patient"], frames["coach"], *board(frames), "Kim", NOW),
-                       connection, board_sql(of_kim, True)) == []
+                       connection, oracle.board_sql(of_kim, True, NOW)) == []
     found = reports.patient_search(frames["patient"], *board(frames), NOW, first_name="A", phone_number="5550000003")
-    wanted = "p.first_name = 'A' AND p.phone_number = '5550000003'"
-    assert differences(found, connection, board_sql(wanted, True)) == []
+    wanted = "c.first_name = 'A' AND c.phone_number = '5550000003'"
+    assert differences(found, connection, oracle.board_sql(wanted, True, NOW)) == []
 
 
 def test_overview_leaves_out_patients_without_device(world):
@@ -133,7 +107,7 @@ def test_overview_leaves_out_patients_without_device(world):
     owners = {row[0] for row in connection.execute("SELECT patient_id FROM device").fetchall()}
     rows = overview.collect()
     assert {row.patient_id for row in rows} == owners
-    everyone = board_sql("TRUE", True)
+    everyone = oracle.board_sql("TRUE", True, NOW)
     expected = connection.execute(
         f"SELECT DISTINCT patient_id, temp_status_type, temp_state, mon_min, mon_count FROM ({everyone})"
     ).fetchall()
@@ -146,25 +120,12 @@ def test_overview_leaves_out_patients_without_device(world):
 
 def test_study_days_either_kind_vouches_for_the_other(world):
     frames, connection = world
-    since = f"(TIMESTAMP '{NOW}' - INTERVAL 30 DAY)"
     extract = reports.study_extract(
         frames["patient"], frames["patient_address"], frames["patient_insurance"],
         frames["medical_necessity"], frames["device"], frames["glucose_reading"],
         frames["blood_pressure_reading"], NOW,
     )
-    sql = f"""
-    SELECT p.patient_id, p.first_name, p.last_name, p.date_of_birth, p.sex, p.phone_number, pa.temp_state,
-        pin.medicare_beneficiary_id, x.dx_codes, t.gr_count, t.bpr_count
-    FROM patient p JOIN patient_address pa USING (patient_id) JOIN patient_insurance pin USING (patient_id)
-    JOIN (SELECT patient_id, string_agg(temp_dx_code, ',') AS dx_codes FROM medical_necessity
-        WHERE temp_dx_code = 'E119' GROUP BY patient_id) x USING (patient_id)
-    JOIN (SELECT d.patient_id, count(DISTINCT CAST(g.received_datetime AS DATE)) AS gr_count,
-            count(DISTINCT CAST(b.received_datetime AS DATE)) AS bpr_count
-        FROM device d LEFT JOIN glucose_reading g ON d.device_id = g.device_id
-        LEFT JOIN blood_pressure_reading b ON d.device_id = b.device_id
-        WHERE g.received_datetime >= {since} OR b.received_datetime >= {since}
-        GROUP BY d.patient_id HAVING gr_count >= 16 OR bpr_count >= 16) t USING (patient_id)"""
-    assert differences(extract, connection, sql) == []
+    assert differences(extract, connection, oracle.study_sql(NOW)) == []
 
 
 def test_joined_codes_keep_repeats_and_skip_nulls(world):
