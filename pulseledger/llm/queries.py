@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseledger.llm import token_counts
+from pulseledger.llm import disclosure, mixing, secret_scan, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,3 +24,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.personal_data_report(_table(spark, sf_dir, "documents"))
