@@ -6,8 +6,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulseledger.session import materialise
 
@@ -20,6 +22,23 @@ _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of rows with about ``SLICE_CHARS`` bytes of text each."""
+    sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    start = 0
+    while start < len(sizes):
+        stop, room = start, SLICE_CHARS
+        while stop < len(sizes) and (stop == start or room >= sizes[stop]):
+            room -= sizes[stop]
+            stop += 1
+        yield start, stop
+        start = stop
+
+
+def _filled(texts: pa.Array) -> list[str]:
+    return ["" if text is None else text for text in texts.to_pylist()]
+
+
 def map_slices(
     df: DataFrame,
     columns: Sequence[str],
@@ -33,34 +52,42 @@ def map_slices(
     gets a dict of lists (null texts arrive as empty texts) and yields dicts of
     columns named in ``schema``.
     """
-    arrow_schema = df.sparkSession.createDataFrame([], schema).schema
-    names = [field.name for field in arrow_schema]
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    target = to_arrow_schema(arrow_schema)
+    target = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
         for batch in batches:
-            data = {name: batch.column(n) for n, name in enumerate(columns)}
-            texts = data[text]
-            sizes = np.diff(np.asarray(pa.compute.binary_length(texts).fill_null(0)).cumsum(), prepend=0)
-            start = 0
-            while start < batch.num_rows:
-                stop, room = start, SLICE_CHARS
-                while stop < batch.num_rows and (stop == start or room >= sizes[stop]):
-                    room -= sizes[stop]
-                    stop += 1
-                part = {name: column.slice(start, stop - start).to_pylist() for name, column in data.items()}
-                part[text] = ["" if value is None else value for value in part[text]]
+            data = dict(zip(columns, batch.columns))
+            for start, stop in _slices(data[text]):
+                cut = {name: column.slice(start, stop - start) for name, column in data.items()}
+                part = {name: _filled(column) if name == text else column.to_pylist() for name, column in cut.items()}
                 for out in work(part):
-                    arrays = [pa.array(out[name], field.type) for name, field in zip(names, target)]
+                    arrays = [pa.array(out[field.name], field.type) for field in target]
                     yield pa.RecordBatch.from_arrays(arrays, schema=target)
-                start = stop
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def filter_slices(
+    df: DataFrame, build: Callable[[], Callable[[list[str]], np.ndarray]], text: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` whose texts a function keeps; every column passes unchanged.
+
+    ``build`` makes the function once per task; it gets a list of texts (nulls as
+    empty texts) and returns a boolean for each.
+    """
+    place = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = build()
+        for batch in batches:
+            for start, stop in _slices(batch.column(place)):
+                part = batch.slice(start, stop - start)
+                yield part.filter(pa.array(keep(_filled(part.column(place))), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """64-bit finaliser; spreads every input bit over the whole word."""
     values = (values ^ (values >> np.uint64(30))) * _MIX_1
