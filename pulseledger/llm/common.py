@@ -158,7 +158,7 @@ def shingle_hashes(
     if length >= size:
         whole[: length - size + 1] = owner[: length - size + 1] == owner[size - 1 :]
     for step in range(size):
-        part = mixed(hashes + np.uint64(step + 1) * _ODD)
+        part = mixed(hashes + np.uint64((step + 1) * int(_ODD) % (1 << 64)))
         total[: length - step] += part[step:] if step else part
     first = np.flatnonzero(whole)
     found = mixed(total[first] ^ np.uint64(size))
@@ -263,3 +263,30 @@ def numbered_within(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__partition") == F.col("__at"))
     nth = (F.col("__offset") + F.col("__position") - F.col("__first")).alias("nth")
     return placed.join(offsets, same).select(*df.columns, nth)
+
+
+FILTER_BITS = 1 << 23
+
+
+def filter_place(key: str):
+    """A key's place in the filter that ``membership_filter`` builds."""
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def membership_filter(keys: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of hashed keys, one megabyte whatever their number: no member is missed.
+
+    It spares work on rows that a later exact join would drop anyway.
+    """
+    place = filter_place(key)
+    words = keys.select((place / 64).cast("long").alias("word"), F.pmod(place, F.lit(64)).alias("bit")).distinct()
+    # Bits of one word are distinct, so their sum is their union.
+    rows = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).collect()
+    bitmap = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    for row in rows:
+        bitmap[row.word] = row.bits
+    return bitmap.view(np.uint64)
+
+
+def in_filter(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
