@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseledger.llm import disclosure, jaccard_join, mixing, quality, secret_scan, token_counts
+from pulseledger.llm import disclosure, jaccard_join, mixing, quality, secret_scan, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("removed")
