@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -118,16 +118,23 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+_MARKS = _SPACE.copy()
+_MARKS[[code for code in range(33, 127) if not chr(code).isalnum()]] = True
+
+
+def word_hashes(
+    texts: Sequence[str], marks_part: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words of all texts: their text's number, byte start, byte end and 64-bit hash.
 
-    Words are runs without ASCII white space, A-Z lower-cased. Starts and ends
-    count in the UTF-8 bytes of the texts joined by one blank.
+    Words are runs without ASCII white space (``marks_part``: nor ASCII
+    punctuation), A-Z lower-cased. Starts and ends count in the UTF-8 bytes of
+    the texts joined by one blank.
     """
     data = np.frombuffer(" ".join(texts).encode("utf-8", "surrogatepass") + b" ", dtype=np.uint8)
     lengths = np.array([len(text.encode("utf-8", "surrogatepass")) + 1 for text in texts], dtype=np.int64)
     ends_of_texts = np.cumsum(lengths)
-    gap = _SPACE[data]
+    gap = (_MARKS if marks_part else _SPACE)[data]
     inside = ~gap
     edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0))
     starts, ends = edge[0::2], edge[1::2]
@@ -268,25 +275,76 @@ def numbered_within(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 FILTER_BITS = 1 << 23
 
 
-def filter_place(key: str):
+def filter_place(key: str) -> Column:
     """A key's place in the filter that ``membership_filter`` builds."""
     return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
 
 
-def membership_filter(keys: DataFrame, key: str) -> np.ndarray:
-    """A bitmap of hashed keys, one megabyte whatever their number: no member is missed.
+def hash_place(key: str) -> Column:
+    """The same for a column that is a hash already; numpy finds it by the low bits."""
+    return F.pmod(key, F.lit(FILTER_BITS))
+
+
+def membership_filter(places: DataFrame, place: str = "place") -> np.ndarray:
+    """A bitmap of places, one megabyte whatever their number: no member is missed.
 
     It spares work on rows that a later exact join would drop anyway.
     """
-    place = filter_place(key)
-    words = keys.select((place / 64).cast("long").alias("word"), F.pmod(place, F.lit(64)).alias("bit")).distinct()
-    # Bits of one word are distinct, so their sum is their union.
-    rows = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).collect()
+    word = F.expr(f"{place} div 64").alias("word")
+    bit = F.expr(f"shiftleft(1L, cast({place} % 64 as int))")
     bitmap = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for row in rows:
+    for row in places.groupBy(word).agg(F.bit_or(bit).alias("bits")).collect():
         bitmap[row.word] = row.bits
     return bitmap.view(np.uint64)
 
 
 def in_filter(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def shared_buckets(rows: DataFrame) -> DataFrame:
+    """``sig, node, first`` of buckets with several nodes, stored; ``first`` is the smallest.
+
+    Rows without a ``sig`` are passed on.
+    """
+    bucket = Window.partitionBy("sig")
+    return materialise(
+        rows.withColumns({"first": F.min("node").over(bucket), "last": F.max("node").over(bucket)})
+        .where("first <> last or sig is null")
+        .drop("last")
+    )
+
+
+def verified_links(shared: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links ``a, b`` that connect exactly what the similar pairs within buckets connect.
+
+    Every member of a bucket is first compared with the bucket's smallest node;
+    only in buckets whose members are then still in different components are
+    the pairs across components compared.
+    """
+    stars = materialise(shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    links = materialise(similar(stars))
+    parts = connected_components(links)
+
+    def part_of(column: str, name: str) -> DataFrame:
+        return parts.select(F.col("node").alias(column), F.col("component_id").alias(name))
+
+    apart = materialise(
+        stars.join(part_of("a", "pa"), "a", "left")
+        .join(part_of("b", "pb"), "b", "left")
+        .where(F.coalesce("pa", "a") != F.coalesce("pb", "b"))
+        .select(F.col("a").alias("first"), F.col("b").alias("node"))
+    )
+    open_buckets = materialise(shared.join(apart, ["first", "node"], "left_semi").select("sig").distinct())
+    members = materialise(
+        shared.where("node <> first")
+        .join(open_buckets, "sig", "left_semi")
+        .select("sig", "node")
+        .distinct()
+        .join(part_of("node", "part"), "node", "left")
+        .select("sig", "node", F.coalesce("part", "node").alias("part"))
+    )
+    one = members.select("sig", F.col("node").alias("a"), F.col("part").alias("pa"))
+    two = members.select("sig", F.col("node").alias("b"), F.col("part").alias("pb"))
+    others = materialise(one.join(two, "sig").where("a < b and pa <> pb").select("a", "b").distinct())
+    return links if others.isEmpty() else links.unionByName(materialise(similar(others)))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseledger.llm.common import (
@@ -31,8 +31,10 @@ from pulseledger.llm.common import (
     map_slices,
     membership_filter,
     mixed,
+    shared_buckets,
     shingle_hashes,
     signed,
+    verified_links,
     word_hashes,
 )
 from pulseledger.session import materialise
@@ -148,7 +150,7 @@ def signatures(shingles: np.ndarray, common: np.ndarray, salt: int) -> tuple[lis
 
 
 def _signature_rows(df: DataFrame, id_column: str, text_column: str, common: np.ndarray, salt: int) -> DataFrame:
-    """``sig, doc`` rows; a row without a signature names a document to be partitioned anew."""
+    """``sig, node`` rows; a row without a signature names a document to be partitioned anew."""
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
@@ -162,18 +164,20 @@ def _signature_rows(df: DataFrame, id_column: str, text_column: str, common: np.
                 if lacking:
                     again.append(doc)
             if sigs:
-                yield {"sig": signed(np.concatenate(sigs)), "doc": np.concatenate(docs)}
+                yield {"sig": signed(np.concatenate(sigs)), "node": np.concatenate(docs)}
             if again:
-                yield {"sig": [None] * len(again), "doc": again}
+                yield {"sig": [None] * len(again), "node": again}
 
         return work
 
-    return map_slices(df, [id_column, text_column], build, "sig long, doc long", text_column)
+    return map_slices(df, [id_column, text_column], build, "sig long, node long", text_column)
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The pairs ``a, b`` whose sets have 100 * intersection >= 75 * union."""
-    needed = membership_filter(pairs.select(F.explode(F.array("a", "b")).alias("doc")), "doc")
+    needed = membership_filter(
+        pairs.select(F.explode(F.array("a", "b")).alias("doc")).select(filter_place("doc").alias("place"))
+    )
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
@@ -230,8 +234,12 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
     salt, rest = 0, kept
     while True:
         rows = _signature_rows(rest, "doc", "text", common, salt)
-        shared, again = _split(rows)
-        links = links.unionByName(_verified(shared, kept)) if not shared.isEmpty() else links
+        buckets = shared_buckets(rows)
+        found = verified_links(
+            buckets.where("sig is not null"), lambda pairs: _similar(pairs, kept, "doc", "text")
+        )
+        links = links.unionByName(found)
+        again = buckets.where("sig is null").select(F.col("node").alias("doc")).distinct()
         if again.isEmpty():
             break
         salt += 1
@@ -243,45 +251,3 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
         "n_shingles",
         F.coalesce("component_id", "node").cast(dict(df.dtypes)[id_column]).alias("component_id"),
     )
-
-
-def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored buckets of several documents, and the documents to be partitioned anew."""
-    bucket = Window.partitionBy("sig")
-    stored = materialise(
-        rows.withColumns({"first": F.min("doc").over(bucket), "last": F.max("doc").over(bucket)})
-        .where("first <> last or sig is null")
-        .drop("last")
-    )
-    return stored.where("sig is not null"), stored.where("sig is null").select("doc").distinct()
-
-
-def _verified(shared: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links that connect exactly the documents connected by similar pairs of the buckets."""
-    stars = materialise(shared.where("doc <> first").select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct())
-    links = materialise(_similar(stars, docs, "doc", "text"))
-    parts = connected_components(links)
-
-    def part_of(column: str, name: str) -> DataFrame:
-        return parts.select(F.col("node").alias(column), F.col("component_id").alias(name))
-
-    apart = (
-        stars.join(part_of("a", "pa"), "a", "left")
-        .join(part_of("b", "pb"), "b", "left")
-        .where(F.coalesce("pa", "a") != F.coalesce("pb", "b"))
-        .select(F.col("a").alias("first"), F.col("b").alias("doc"))
-    )
-    open_buckets = shared.join(materialise(apart), ["first", "doc"], "left_semi").select("sig").distinct()
-    members = materialise(
-        shared.join(materialise(open_buckets), "sig", "left_semi")
-        .select("sig", "doc", "first")
-        .distinct()
-        .join(part_of("doc", "part"), "doc", "left")
-        .select("sig", "doc", "first", F.coalesce("part", "doc").alias("part"))
-    )
-    one = members.where("doc <> first").select("sig", F.col("doc").alias("a"), F.col("part").alias("pa"))
-    two = members.where("doc <> first").select("sig", F.col("doc").alias("b"), F.col("part").alias("pb"))
-    others = materialise(one.join(two, "sig").where("a < b and pa <> pb").select("a", "b").distinct())
-    if others.isEmpty():
-        return links
-    return links.unionByName(_similar(others, docs, "doc", "text"))

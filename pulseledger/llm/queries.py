@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseledger.llm import disclosure, jaccard_join, mixing, quality, secret_scan, substring_dedup, token_counts
+from pulseledger.llm import (
+    disclosure,
+    embedding_dedup,
+    jaccard_join,
+    mixing,
+    quality,
+    secret_scan,
+    substring_dedup,
+    token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +63,8 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("removed")
+
+
+@_query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))

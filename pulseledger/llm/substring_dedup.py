@@ -284,7 +284,7 @@ def _segment_rows(docs: DataFrame, length: int) -> DataFrame:
 
 def _with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``key, low, high, windows, offset, bytes`` of the wanted segments."""
-    needed = membership_filter(wanted, "mark")
+    needed = membership_filter(wanted.select(filter_place("mark").alias("place")))
     per_text = wanted.groupBy("row", "mark").agg(
         F.collect_list(F.struct("key", "low", "high", "first", "windows", "offset")).alias("wanted")
     )
