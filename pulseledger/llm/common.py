@@ -186,6 +186,17 @@ def shingle_hashes(
     return owner[first], first, found
 
 
+def shingle_sets(texts: Sequence[str]) -> list[np.ndarray]:
+    """Each text's sorted distinct shingle hashes."""
+    owner, _, _, hashes = word_hashes(texts)
+    text, _, found = shingle_hashes(owner, hashes)
+    order = np.lexsort((found, text))
+    text, found = text[order], found[order]
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
+    return np.split(found[new], np.searchsorted(text[new], np.arange(1, len(texts))))
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 

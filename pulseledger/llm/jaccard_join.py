@@ -32,10 +32,9 @@ from pulseledger.llm.common import (
     membership_filter,
     mixed,
     shared_buckets,
-    shingle_hashes,
+    shingle_sets,
     signed,
     verified_links,
-    word_hashes,
 )
 from pulseledger.session import materialise
 
@@ -44,17 +43,6 @@ SMALL = 64
 COUNTERS, COMMON = 4096, 16384
 
 
-def _sets(texts: list[str]) -> list[np.ndarray]:
-    """Each text's sorted distinct shingle hashes."""
-    owner, _, _, hashes = word_hashes(texts)
-    text, _, found = shingle_hashes(owner, hashes)
-    order = np.lexsort((found, text))
-    text, found = text[order], found[order]
-    new = np.ones(len(found), dtype=bool)
-    new[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
-    return np.split(found[new], np.searchsorted(text[new], np.arange(1, len(texts))))
-
-
 class _CommonShingles:
     """Counters for the commonest shingles of a stream of sets (Misra and Gries)."""
 
@@ -77,7 +65,7 @@ def _digest(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
         common = _CommonShingles()
 
         def work(part: dict[str, list]) -> Iterator[dict]:
-            sets = _sets(part[text_column])
+            sets = shingle_sets(part[text_column])
             common.add(sets)
             total = lambda salt: np.array([np.add.reduce(mixed(s + np.uint64(salt)), dtype=np.uint64) for s in sets])
             yield {
@@ -155,7 +143,7 @@ def _signature_rows(df: DataFrame, id_column: str, text_column: str, common: np.
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
             sigs, docs, again = [], [], []
-            for doc, shingles in zip(part[id_column], _sets(part[text_column])):
+            for doc, shingles in zip(part[id_column], shingle_sets(part[text_column])):
                 if not len(shingles):
                     continue
                 own, lacking = signatures(shingles, common, salt)
@@ -186,7 +174,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, id_column: str, text_column: str
             if texts:
                 yield {
                     "doc": [doc for doc, wanted in zip(part[id_column], there) if wanted],
-                    "shingles": [signed(s) for s in _sets(texts)],
+                    "shingles": [signed(s) for s in shingle_sets(texts)],
                 }
 
         return work

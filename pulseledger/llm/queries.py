@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulseledger.llm import (
+    decontamination,
     disclosure,
     embedding_dedup,
     jaccard_join,
     mixing,
+    paragraph_dedup,
     quality,
     secret_scan,
     substring_dedup,
@@ -68,3 +70,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leak_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeated_paragraphs(_table(spark, sf_dir, "documents"))
