@@ -38,9 +38,9 @@ SIMILARITY = 0.75
 RADIUS = 15
 BLOCKS, BLOCK_BITS = 4, 16
 # Windows have sizes in steps of this ratio; an item is compared with the nearest.
-SIZE_RATIO = 1.15
-# Weights lie between 1 and 2, so a similar window shares at least this part of an item's shingles.
-LEAST_SHARED = SIMILARITY / 2
+SIZE_RATIO = 1.03
+# A similar window has at least 0.75 of its weight in shingles of the item; less here for the step in size.
+LEAST_SHARED = 0.7
 
 _NEAR = np.array(
     [sum(1 << bit for bit in bits) for count in range(RADIUS // BLOCKS + 1) for bits in combinations(range(BLOCK_BITS), count)],
@@ -58,7 +58,7 @@ def class_size(number: int) -> int:
 
 def _weighted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Each text's shingles in order, and their weights."""
-    owner, starts, ends, hashes = word_hashes(texts, marks_part=True)
+    owner, starts, ends, hashes = word_hashes([text.lower() for text in texts], marks_part=True)
     text, first, found = shingle_hashes(owner, hashes)
     letters = np.append(0, np.cumsum(ends - starts))
     last = np.minimum(first + SHINGLE_WORDS, np.searchsorted(owner, owner[first], side="right")) if len(first) else first
@@ -116,39 +116,44 @@ def index_items(benchmark: DataFrame, id_column: str = "item_id", text_column: s
     return map_slices(benchmark, [id_column, text_column], build, schema, text_column)
 
 
-def _windows(docs: DataFrame, kinds: list[int], bitmap: np.ndarray) -> DataFrame:
-    """``row, mark, kind, start, print, keys`` of the windows that share enough shingles with the items."""
+def _windows(docs: DataFrame, kinds: list[int], known_shingles: np.ndarray, known_keys: np.ndarray) -> DataFrame:
+    """``row, mark, kind, start, print, key`` of the windows that share enough shingles with the items.
+
+    A row per block whose value may be in the index.
+    """
     none = np.zeros(1, dtype=np.uint64)
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
             for row, mark, (shingles, weights) in zip(part["row"], part["mark"], _weighted(part["text"])):
-                known = in_filter(bitmap, (shingles & np.uint64(FILTER_BITS - 1)).astype(np.int64))
+                known = in_filter(known_shingles, (shingles & np.uint64(FILTER_BITS - 1)).astype(np.int64))
                 if not known.any():
                     continue
-                shared = np.append(0, np.cumsum(known))
+                shared, total = np.append(0, np.cumsum(weights * known)), np.append(0, np.cumsum(weights))
                 sums = None
                 for kind in kinds:
                     size = min(class_size(kind), len(shingles))
-                    enough = shared[size:] - shared[:-size] >= max(1, math.ceil(LEAST_SHARED * class_size(kind) / SIZE_RATIO))
+                    enough = shared[size:] - shared[:-size] >= LEAST_SHARED * (total[size:] - total[:-size])
                     starts = np.flatnonzero(enough)
                     if not len(starts):
                         continue
                     if sums is None:
                         sums = _sums(shingles, weights)
                     prints = _prints(sums[starts + size] - sums[starts])
+                    keys = _keys(kind, prints, none)
+                    window, block = np.nonzero(in_filter(known_keys, keys & (FILTER_BITS - 1)))
                     yield {
-                        "row": [row] * len(starts),
-                        "mark": [mark] * len(starts),
-                        "kind": [kind] * len(starts),
-                        "start": starts,
-                        "print": signed(prints),
-                        "keys": list(_keys(kind, prints, none)),
+                        "row": [row] * len(window),
+                        "mark": [mark] * len(window),
+                        "kind": [kind] * len(window),
+                        "start": starts[window],
+                        "print": signed(prints)[window],
+                        "key": keys[window, block],
                     }
 
         return work
 
-    schema = "row long, mark long, kind int, start long, print long, keys array<bigint>"
+    schema = "row long, mark long, kind int, start long, print long, key long"
     return map_slices(docs, ["row", "mark", "text"], build, schema)
 
 
@@ -212,14 +217,16 @@ def leaks(
     docs = _row_keys(df, id_column, text_column)
     items = materialise(index_items(benchmark, item_column))
     known = items.select(F.explode("shingles").alias("s")).select(hash_place("s").alias("place"))
-    bitmap = membership_filter(known)
-    kinds = sorted(row.kind for row in items.select("kind").distinct().collect())
-    windows = materialise(_windows(docs.select("row", "mark", "text"), kinds, bitmap))
     index = materialise(items.select("item", F.col("print").alias("item_print"), F.explode("keys").alias("key")))
+    near_keys = membership_filter(index.select(hash_place("key").alias("place")))
+    # Sizes in steps: a few dozen numbers whatever the number of items.
+    kinds = sorted(row.kind for row in items.select("kind").distinct().collect())
+    windows = materialise(
+        _windows(docs.select("row", "mark", "text"), kinds, membership_filter(known), near_keys)
+    )
     apart = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     met = (
-        windows.select("row", "mark", "kind", "start", "print", F.explode("keys").alias("key"))
-        .join(index, "key")
+        windows.join(index, "key")
         .where(apart <= RADIUS)
         .select("row", "mark", "item", "kind", "start", apart.alias("apart"))
     )
