@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pulseledger.catalogue.queries import QUERIES  # noqa: E402
+from pulseledger.session import scratch  # noqa: E402
 
 HEADLINE = (
     "code_99202",
@@ -45,11 +47,17 @@ HEADLINE = (
 
 def seconds(spark: SparkSession, sf_dir: str, name: str) -> float:
     started = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    with scratch(spark):
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - started
 
 
 def main() -> None:
+    with tempfile.TemporaryDirectory(prefix="bench-") as shared:
+        run(shared)
+
+
+def run(shared: str) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
@@ -58,6 +66,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

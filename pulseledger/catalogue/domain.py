@@ -82,7 +82,11 @@ TARGET_MAPPINGS: dict[str, Mapping] = {
             "full_name": "c_name",
             "date_of_birth": f"CAST(DATE '1930-01-01' + CAST(({CUSTOMER} * 37) % 20000 AS INT) AS {{TS}})",
             "sex": _cycle(CUSTOMER, "M", "F"),
-            "phone_number": f"'555' || {_padded(f'({CUSTOMER} * 7919) % 10000000', 7)}",
+            # Neighbours share ten digits; every second number has an eleventh.
+            "phone_number": (
+                f"'555' || {_padded(f'(({CUSTOMER} - {CUSTOMER} % 2) * 7919) % 10000000', 7)} "
+                f"|| CASE WHEN {CUSTOMER} % 2 = 1 THEN '1' ELSE '' END"
+            ),
             "temp_user": f"'NATION_' || CAST(({CUSTOMER} * 3) % 29 AS STRING)",
         },
     ),
@@ -135,7 +139,7 @@ TARGET_MAPPINGS: dict[str, Mapping] = {
             "received_datetime": "ts",
             "glucose_reading": "value",
         },
-        "event_type IN ('view', 'click', 'error') AND user_id % 3 <> 0",
+        "event_type IN ('view', 'click', 'error')",
     ),
     "blood_pressure_reading": Mapping(
         "events",
@@ -144,13 +148,18 @@ TARGET_MAPPINGS: dict[str, Mapping] = {
             "received_datetime": "ts",
             "systolic_reading": "value",
         },
-        "event_type IN ('purchase', 'error', 'click') AND user_id % 3 <> 1",
+        "event_type IN ('purchase', 'error', 'click')",
     ),
     # Both kinds of reading on one device, for the rules that look at either.
     "pressure_on_same_device": Mapping(
         "events",
-        {"device_id": "user_id * 2", "received_datetime": "ts"},
-        "event_type = 'purchase' AND (user_id % 2 = 0 OR ts < TIMESTAMP_NTZ '2024-01-08 00:00:00')",
+        {
+            "device_id": "user_id * 2",
+            "received_datetime": (
+                "CASE WHEN user_id % 2 = 0 OR ts < TIMESTAMP_NTZ '2024-01-08 00:00:00' THEN ts END"
+            ),
+        },
+        "event_type = 'purchase'",
     ),
     "patient_note": Mapping(
         "events",

@@ -16,6 +16,7 @@ from pulseledger.catalogue.domain import (
     LOADED_AT,
     REPORT_END,
     REPORT_START,
+    TARGET_MAPPINGS,
     table_sql,
 )
 from pulseledger.functions import vocabulary as words
@@ -25,6 +26,7 @@ from pulseledger.operators.entities import (
     LOADER,
     PATIENT_COLUMNS,
 )
+from pulseledger.schemas import PATIENT_EXPORT_COLUMNS, target_columns
 
 ORACLE: dict[str, str] = {}
 
@@ -231,6 +233,14 @@ def _add_codes() -> None:
         FROM {codes} c JOIN medical_code_type t ON t.name = c.code""",
     )
     first, codes, links = _fold(q.FIRST_RUN, prefix="early_")
+    seen = [
+        ("seen_reading", f"SELECT * FROM reading WHERE read_at < TIMESTAMP '{q.FIRST_RUN}'"),
+        ("seen_note", f"SELECT * FROM patient_note WHERE note_datetime < TIMESTAMP '{q.FIRST_RUN}'"),
+    ]
+    first = seen + [
+        (name, text.replace("FROM reading", "FROM seen_reading").replace("FROM patient_note", "FROM seen_note"))
+        for name, text in first
+    ]
     second, _, _ = _fold(AS_OF, prefix="late_", codes=codes, links=links)
     added = " UNION ALL ".join(f"SELECT * FROM late_{name}" for name, _, _ in _RUN)
     ORACLE["billing_fold_second_run"] = _with(base + first + second, added)
@@ -361,6 +371,8 @@ def _add_reports() -> None:
     ORACLE["patient_search"] = _board_sql("c.first_name = 'Cleo' AND c.last_name = 'Smith'", True)
     ORACLE["patient_search_any_case"] = _board_sql("lower(c.last_name) = 'o''brien'", True)
     ORACLE["patient_search_all"] = _board_sql("TRUE", True)
+    ORACLE["patient_search_phone"] = _board_sql(f"c.phone_number = '{q.LONG_PHONE}'", True)
+    ORACLE["patient_search_id"] = _board_sql(f"c.patient_id = {q.ONE_PATIENT}", True)
     month = month_columns(DASHBOARD_TIME)
     ORACLE["patient_overview"] = _with(
         [*_tables(*_BOARD_TABLES), reading()],
@@ -373,6 +385,7 @@ def _add_reports() -> None:
         JOIN patient_status s ON s.patient_id = c.patient_id
         JOIN patient_address a ON a.patient_id = c.patient_id""",
     )
+    ORACLE["patient_overview_one"] = f"{ORACLE['patient_overview']} WHERE c.patient_id = {q.ONE_PATIENT}"
     ORACLE["study_extract"] = _study("blood_pressure_reading")
     ORACLE["study_extract_shared_devices"] = _study("pressure_on_same_device")
     ORACLE["latest_reading"] = _with(
@@ -446,12 +459,12 @@ def _chain(x: str, arms: Iterable[tuple[str, str]], fallback: str) -> str:
 
 
 def _keyword(x: str, pairs, fallback: str) -> str:
-    return _chain(x, [(name, _word(x, phrase)) for name, phrase in pairs], fallback)
+    return _chain(x, [(name, _word(x, phrase.lower())) for name, phrase in pairs], fallback)
 
 
 def _keyword_sets(x: str, pairs, fallback: str) -> str:
     arms = [
-        (name, " AND ".join(_word(x, word) for word in words_.split(" ")))
+        (name, " AND ".join(_word(x, word) for word in words_))
         for name, sets in pairs
         for words_ in sets
     ]
@@ -817,6 +830,16 @@ def _add_keys() -> None:
         """SELECT dx.evaluation_datetime, dx.temp_dx_code, p.patient_id
         FROM dx JOIN patient p ON dx.sharepoint_id IS NOT DISTINCT FROM p.sharepoint_id""",
     )
+    ORACLE["resolve_status"] = _with(
+        _patients() + _tables("patient"),
+        f"""SELECT c.temp_status_type, TIMESTAMP '{LOADED_AT}' AS modified_date, '{LOADER}' AS temp_user, p.patient_id
+        FROM cleansed c JOIN patient p ON c.sharepoint_id IS NOT DISTINCT FROM p.sharepoint_id""",
+    )
+    ORACLE["resolve_contacts"] = _with(
+        _patients() + _tables("patient") + [("contact", _CONTACT_ROWS.format(source="cleansed"))],
+        """SELECT k.* EXCLUDE (sharepoint_id), p.patient_id
+        FROM contact k JOIN patient p ON k.sharepoint_id IS NOT DISTINCT FROM p.sharepoint_id""",
+    )
     ORACLE["resolve_notes"] = _with(
         _notes() + _tables("patient"),
         """SELECT n.* EXCLUDE (sharepoint_id), p.patient_id
@@ -937,8 +960,52 @@ def _add_pipeline() -> None:
     ORACLE["load_and_bill"] = _with(ctes + fold, _report_sql(codes, "2024-01-01", end))
 
 
+# --- files and stored tables -----------------------------------------------------------
+
+
+def _stored(table: str, where: str = "TRUE") -> str:
+    """A mapped table in the columns of its target table; absent ones are null."""
+    given = TARGET_MAPPINGS[table].columns
+    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+    columns = ", ".join(
+        f"CAST({name if name in given else 'NULL'} AS {kinds[kind]}) AS {name}"
+        for name, kind in target_columns(table).items()
+    )
+    return _with(_tables(table), f"SELECT {columns} FROM {table} WHERE {where}")
+
+
+def _add_files() -> None:
+    absent = ", ".join(f"'{text}'" for text in words.CSV_NULLS)
+    cells = ", ".join(
+        _parsed(f'"{name}"') + f' AS "{name}"'
+        if name in ("DOB", "On-board Date")
+        else f'CASE WHEN "{name}" NOT IN ({absent}) THEN "{name}" END AS "{name}"'
+        for name in PATIENT_EXPORT_COLUMNS
+    )
+    ORACLE["export_csv"] = _with(_tables("patient_export"), f"SELECT {cells} FROM patient_export")
+    ORACLE["directory_json"] = _with(_tables("directory"), "SELECT * FROM directory")
+    ORACLE["append_twice"] = _stored("glucose_reading")
+    ORACLE["reset_then_append"] = _stored(
+        "patient_note",
+        f"note_datetime >= TIMESTAMP '{q.SCAN_START}' AND note_datetime < TIMESTAMP '{q.FIRST_RUN}'",
+    )
+    ctes, codes, _ = _fold(AS_OF)
+    base = [*_tables(*_RULE_TABLES), reading(), *ctes]
+    ORACLE["replaced_codes"] = _with(
+        base,
+        f"SELECT patient_id, CAST(1 AS BIGINT) AS med_code_type_id, timestamp_applied FROM {codes} WHERE code = '99202'",
+    )
+    tables = _tables("patient", "patient_address", "patient_insurance", "medical_necessity")
+    cells = ", ".join(f'CAST("{name}" AS VARCHAR) AS "{name}"' for name in ("ID", "DateOfService", *_REPORT_CODES))
+    ORACLE["report_csv"] = _with(
+        base + tables, f"SELECT {cells} FROM ({_report_sql(codes, REPORT_START, REPORT_END)})"
+    )
+    ORACLE["snapshots"] = ORACLE["split_patient"]
+
+
 _add_codes()
 _add_reports()
 _add_cleansing()
 _add_keys()
 _add_pipeline()
+_add_files()

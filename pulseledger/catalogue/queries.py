@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +17,21 @@ from pulseledger.catalogue.domain import (
     Domain,
 )
 from pulseledger.functions import cleanse
-from pulseledger.functions.dates import last_billing_cycle
+from pulseledger.functions.dates import last_billing_cycle, moment
 from pulseledger.operators import activity, codes, entities, keys, normalize, quality, reports
 from pulseledger.plans import billing, load
-from pulseledger.sources import readers
+from pulseledger.schemas import MEDICAL_CODES
+from pulseledger.session import materialise, shared_folder
+from pulseledger.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
 COACH = "NATION_3"
+ONE_PATIENT = 5
+LONG_PHONE = "55500158381"
+CODE_COLUMNS = MEDICAL_CODES
 ANY_CASE = "UTF8_LCASE_RTRIM"
 FIRST_RUN = "2024-01-20"
 OPEN_REPORT_START = "2024-01-15"
@@ -110,11 +116,21 @@ def billing_fold(d: Domain) -> DataFrame:
     return _code_rows(billing.run_codes(d, AS_OF).codes)
 
 
+def _until(d: Domain, day: str) -> dict[str, DataFrame]:
+    """The tables of the rules with the readings and notes before ``day`` only."""
+    tables = {name: d[name] for name in ("device", "note_type")}
+    for name in ("glucose_reading", "blood_pressure_reading"):
+        tables[name] = d[name].where(F.col("received_datetime") < moment(day))
+    return {**tables, "patient_note": d["patient_note"].where(F.col("note_datetime") < moment(day))}
+
+
 @_query
 def billing_fold_second_run(d: Domain) -> DataFrame:
-    """The rows a later run adds to the codes an earlier run left."""
-    first = billing.run_codes(d, FIRST_RUN)
-    second = billing.run_codes(d, AS_OF, first.as_earlier())
+    """The rows a later run adds to the stored codes of an earlier run over what there was then."""
+    code_type = d["medical_code_type"]
+    first = codes.code_tables(billing.run_codes(_until(d, FIRST_RUN), FIRST_RUN), code_type)
+    earlier = codes.CodeState.stored(*(materialise(rows) for rows in first), code_type)
+    second = billing.run_codes(d, AS_OF, earlier)
     return _code_rows(second.codes.where(F.col("rule").isNotNull()))
 
 
@@ -177,6 +193,22 @@ def patient_overview(d: Domain) -> DataFrame:
     return reports.patient_overview(d["patient"], *_board_tables(d), DASHBOARD_TIME)
 
 
+@_query
+def patient_overview_one(d: Domain) -> DataFrame:
+    return reports.patient_overview(d["patient"], *_board_tables(d), DASHBOARD_TIME, patient_id=ONE_PATIENT)
+
+
+@_query
+def patient_search_phone(d: Domain) -> DataFrame:
+    """An eleven-digit number whose first ten digits are another patient's number."""
+    return reports.patient_search(d["patient"], *_board_tables(d), DASHBOARD_TIME, phone_number=LONG_PHONE)
+
+
+@_query
+def patient_search_id(d: Domain) -> DataFrame:
+    return reports.patient_search(d["patient"], *_board_tables(d), DASHBOARD_TIME, patient_id=ONE_PATIENT)
+
+
 @_query
 def patient_search(d: Domain) -> DataFrame:
     return reports.patient_search(
@@ -468,6 +500,16 @@ def resolve_keys(d: Domain) -> DataFrame:
     return keys.resolve_to_patient(split_dx(d), d["patient"])
 
 
+@_query
+def resolve_status(d: Domain) -> DataFrame:
+    return keys.resolve_to_patient(split_status(d), d["patient"])
+
+
+@_query
+def resolve_contacts(d: Domain) -> DataFrame:
+    return keys.resolve_to_patient(split_contacts(d), d["patient"])
+
+
 @_query
 def resolve_notes(d: Domain) -> DataFrame:
     return keys.resolve_notes(clean_notes(d), d["patient"])
@@ -545,3 +587,78 @@ def load_and_bill(d: Domain) -> DataFrame:
     tables["note_type"] = d["note_type"]
     _, report = billing.run_billing(tables, "2024-01-01", "2024-01-31")
     return report
+
+
+# --- files and stored tables -------------------------------------------------------------
+
+
+def _landing(d: Domain) -> str:
+    """A new folder beside the intermediate tables."""
+    return f"{shared_folder(d.spark)}/landed-{uuid.uuid4().hex}"
+
+
+@_query
+def export_csv(d: Domain) -> DataFrame:
+    """The whole export, written as CSV files and read back."""
+    path = _landing(d)
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    d.raw("patient_export").write.options(**options).csv(path)
+    return readers.read_patient_export(d.spark, path)
+
+
+@_query
+def directory_json(d: Domain) -> DataFrame:
+    """Members in directory documents of one initial each, written and unwrapped."""
+    path = _landing(d)
+    members = d.raw("directory").groupBy(F.col("id").alias("page")).agg(
+        F.collect_list(F.struct("givenName", "surname", "displayName", "mail", "id")).alias("value")
+    )
+    members.repartition("page").write.partitionBy("page").json(path)
+    return readers.read_directory(d.spark, path)
+
+
+@_query
+def append_twice(d: Domain) -> DataFrame:
+    """Readings stored by month, appended in two parts."""
+    root, readings = _landing(d), d["glucose_reading"]
+    early = F.col("received_datetime") < moment(FIRST_RUN)
+    writers.write_table(readings.where(early), root, "glucose_reading", "fail")
+    writers.write_table(readings.where(~early), root, "glucose_reading", "append")
+    return readers.read_stored(d.spark, root, "glucose_reading")
+
+
+@_query
+def reset_then_append(d: Domain) -> DataFrame:
+    """Only what is written after a reset is left."""
+    root = _landing(d)
+    writers.write_table(d["patient_note"], root, "patient_note")
+    writers.reset_billing_tables(d.spark, root)
+    writers.write_table(_until(d, FIRST_RUN)["patient_note"], root, "patient_note")
+    return readers.read_stored(d.spark, root, "patient_note", since=SCAN_START)
+
+
+@_query
+def replaced_codes(d: Domain) -> DataFrame:
+    """A code table that is reset, then filled by the ids of a run."""
+    root, code_type = _landing(d), d["medical_code_type"]
+    rows, _ = codes.code_tables(billing.run_codes(d, AS_OF), code_type)
+    writers.write_table(rows, root, "medical_code", "replace")
+    writers.reset_code_tables(d.spark, root)
+    writers.write_table(rows.where("med_code_type_id = 1"), root, "medical_code")
+    return readers.read_stored(d.spark, root, "medical_code").drop("med_code_id")
+
+
+@_query
+def report_csv(d: Domain) -> DataFrame:
+    """The billing report as exported: CSV with a header, every cell as text."""
+    path = _landing(d)
+    writers.write_report(billing_report(d), path)
+    return d.spark.read.option("header", True).csv(path).select("ID", "DateOfService", *CODE_COLUMNS)
+
+
+@_query
+def snapshots(d: Domain) -> DataFrame:
+    """Staged patients, stored for inspection and read with their dates."""
+    path = _landing(d)
+    writers.write_snapshots({"patient": split_patient(d)}, path)
+    return readers.read_table(d.spark, f"{path}/snap_patient", ["date_of_birth"])

@@ -23,7 +23,6 @@ from pulseledger.functions.text import (
     keyword_set_name,
     recode,
     single_spaced,
-    split_words,
     titled,
     trimmed,
 )
@@ -31,7 +30,7 @@ from pulseledger.functions.text import (
 # Characters removed from names and addresses. In the last two
 # sets ".-/" is a range from "." to "/", so a hyphen is removed as well.
 PERSON_NAME_DROPS = r"(?U)[^a-zA-Z\s.-]"
-MIDDLE_NAME_DROPS = r"(?U)[^a-zA-Z\s-]"
+MIDDLE_NAME_DROPS = r"(?U)[^a-zA-Z-\s]"
 CITY_DROPS = r"[^a-zA-Z-]"
 STREET_DROPS = r"(?U)[^a-zA-Z0-9\s#.-/]"
 CONTACT_NAME_DROPS = r"(?U)[^a-zA-Z\s.-/()]"
@@ -92,7 +91,7 @@ def diagnosis_codes(col: Column) -> Column:
 def insurer(col: Column) -> Column:
     """Standard name of a known insurer; else the text in title case."""
     text = trimmed(col)
-    return F.coalesce(keyword_set_name(text, split_words(words.INSURERS)), titled(text))
+    return F.coalesce(keyword_set_name(text, words.INSURERS), titled(text))
 
 
 def insurance_id(col: Column) -> Column:
@@ -147,7 +146,7 @@ def relationship(contact_name: Column) -> Column:
 def race(col: Column) -> Column:
     """Standard name of a known race; else the text in title case."""
     text = trimmed(col)
-    return F.coalesce(keyword_set_name(text, split_words(words.RACES)), titled(text))
+    return F.coalesce(keyword_set_name(text, words.RACES), titled(text))
 
 
 def weight_lbs(col: Column) -> Column:

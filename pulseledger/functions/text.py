@@ -111,13 +111,6 @@ def _array(values: Iterable[str]) -> str:
     return "array(" + ", ".join(_text(value) for value in values) + ")"
 
 
-def split_words(
-    keywords: Sequence[tuple[str, Sequence[str]]],
-) -> list[tuple[str, list[list[str]]]]:
-    """Vocabulary entries with each word set split at its spaces."""
-    return [(name, [words.split(" ") for words in sets]) for name, sets in keywords]
-
-
 def recode(col: Column, pairs: Iterable[tuple[str, str]]) -> Column:
     """Replace exact values; everything else stays."""
     chain = None

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "__salt"
-# Keys broadcast to filter a big table: at most 8 MB of ids.
-BROADCAST_KEYS = 1_000_000
 
 
 def null_safe_join(
@@ -50,19 +48,6 @@ def null_safe_join(
     return joined.drop(*(f"__key_{name}" for name in names), _SALT)
 
 
-def prefiltered(rows: DataFrame, keys: DataFrame, key: str, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """``rows`` cut to the given keys in their own scan, when those are few.
-
-    Up to ``limit`` keys (counted first) are broadcast as a filter. More than
-    that are not used at all: the caller aggregates the rows before it joins the
-    keys, which copes with any number of keys and with hot ones.
-    """
-    wanted = keys.select(key)
-    if wanted.limit(limit + 1).count() > limit:
-        return rows
-    return rows.join(F.broadcast(wanted), key, "left_semi")
-
-
 def comparable(col: Column, collation: str | None) -> Column:
     """The text as it is compared: byte by byte, or under a collation.
 

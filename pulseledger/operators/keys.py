@@ -12,6 +12,8 @@ from pulseledger.session import materialise
 
 # Spread of one patient's readings or notes while they are matched to keys.
 FACT_SALT = 8
+# Spread of the rows of one name while its id is looked up.
+LOOKUP_SALT = 64
 
 
 def add_id_column(
@@ -63,21 +65,28 @@ def lookup_id(
     id_column: str,
     lookup_name: str = "name",
     collation: str | None = None,
+    salt: int = LOOKUP_SALT,
 ) -> DataFrame:
     """Fill ``id_column`` from the lookup row whose name equals ``name_column``.
 
     A name that is not listed gives null, a row without a name keeps the id it
     has, and a name listed more than once is an error as soon as a row uses it.
+    Rows are spread over ``salt`` copies of the (small) lookup, so that a name
+    most rows bear, or none, does not meet one task.
     """
-    listed = lookup.groupBy(comparable(F.col(lookup_name), collation).alias("__name")).agg(
-        F.min(id_column).alias("__id"), F.count(F.lit(1)).alias("__listed")
+    listed = (
+        lookup.groupBy(comparable(F.col(lookup_name), collation).alias("__name"))
+        .agg(F.min(id_column).alias("__id"), F.count(F.lit(1)).alias("__listed"))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
     )
     ambiguous = F.raise_error(F.concat(F.lit("more than one lookup row named "), F.col(name_column)))
     found = F.when(F.col("__listed") > 1, ambiguous.cast("bigint")).otherwise(F.col("__id"))
     if id_column in df.columns:
         found = F.when(F.col(name_column).isNull(), F.col(id_column)).otherwise(found)
-    joined = df.join(listed, comparable(F.col(name_column), collation) == F.col("__name"), "left")
-    return joined.withColumn(id_column, found).drop("__name", "__id", "__listed")
+    place = F.xxhash64(F.spark_partition_id(), *(F.col(f"`{name}`") for name in df.columns))
+    same = (comparable(F.col(name_column), collation) == F.col("__name")) & (F.col("__salt") == F.col("__copy"))
+    joined = df.withColumn("__salt", F.pmod(place, F.lit(salt))).join(listed, same, "left")
+    return joined.withColumn(id_column, found).drop("__name", "__id", "__listed", "__copy", "__salt")
 
 
 def assign_ids(

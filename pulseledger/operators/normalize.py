@@ -17,11 +17,22 @@ def _raw(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+_US_DATE = r"^\s*(\d{1,2}/\d{1,2}/\d{4})(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([AaPp][Mm])?)?\s*$"
+
+
 def parsed_timestamp(col: Column) -> Column:
-    """A date cell in US or ISO notation; anything else is null."""
-    return F.coalesce(
-        F.try_to_date(col, "M/d/yyyy").cast("timestamp_ntz"), col.try_cast("timestamp_ntz")
-    )
+    """A date cell in US or ISO notation, with or without a time; anything else is null."""
+
+    def part(group: int) -> Column:
+        return F.coalesce(F.regexp_extract(col, _US_DATE, group).try_cast("int"), F.lit(0))
+
+    half = F.upper(F.regexp_extract(col, _US_DATE, 5))
+    hour = F.when(half == "", part(2)).otherwise(part(2) % 12 + F.when(half == "PM", 12).otherwise(0))
+    day = F.try_to_date(F.regexp_extract(col, _US_DATE, 1), "M/d/yyyy")
+    time = F.make_dt_interval(F.lit(0), hour, part(3), part(4).cast("decimal(18,6)"))
+    us = F.when((hour < 24) & (part(3) < 60) & (part(4) < 60), day.cast("timestamp_ntz") + time)
+    # A bare year is not a date.
+    return F.coalesce(us, F.when(F.contains(col, F.lit("-")), col.try_cast("timestamp_ntz")))
 
 
 def normalize_users(directory: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pulseledger.functions.dates import (
     whole_minutes,
 )
 from pulseledger.operators import activity
-from pulseledger.operators.joins import comparable, prefiltered
+from pulseledger.operators.joins import comparable
 from pulseledger.schemas import MEDICAL_CODES
 
 STUDY_DIAGNOSIS = "E119"
@@ -150,13 +150,18 @@ def owned_devices(device: DataFrame) -> DataFrame:
 def _narrowed(
     patient: DataFrame, notes: DataFrame, device: DataFrame, glucose: DataFrame, pressure: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Notes, devices and readings cut to those of a selection of patients."""
-    device = device.join(patient.select("patient_id"), "patient_id", "left_semi")
+    """Notes, devices and readings cut to those of a selection of patients.
+
+    Plain semi-joins: Spark sends the keys along or shuffles by their measured size.
+    """
+    chosen = patient.select("patient_id")
+    device = device.join(chosen, "patient_id", "left_semi")
+    owned = device.select("device_id")
     return (
-        prefiltered(notes, patient, "patient_id"),
+        notes.join(chosen, "patient_id", "left_semi"),
         device,
-        prefiltered(glucose, device, "device_id"),
-        prefiltered(pressure, device, "device_id"),
+        glucose.join(owned, "device_id", "left_semi"),
+        pressure.join(owned, "device_id", "left_semi"),
     )
 
 
@@ -236,13 +241,12 @@ def patient_search(
 ) -> DataFrame:
     """The queue's columns for the patients that match the given values.
 
-    Values not given do not filter. A phone number is compared by the ten
-    characters the parameter holds.
+    Values not given do not filter; the others are compared whole.
     """
     wanted = {
         "first_name": first_name,
         "last_name": last_name,
-        "phone_number": phone_number[:10] if phone_number is not None else None,
+        "phone_number": phone_number,
         "patient_id": patient_id,
     }
     given = {name: value for name, value in wanted.items() if value is not None}
@@ -350,6 +354,10 @@ def study_extract(
 ) -> DataFrame:
     """Patients with the study diagnosis and at least 16 reading days of a kind."""
     diagnosed = necessity.where(F.col("temp_dx_code") == STUDY_DIAGNOSIS)
+    device = device.join(diagnosed.select("patient_id"), "patient_id", "left_semi")
+    owned = device.select("device_id")
+    glucose = glucose.join(owned, "device_id", "left_semi")
+    pressure = pressure.join(owned, "device_id", "left_semi")
     return (
         study_reading_days(device, glucose, pressure, as_of)
         .join(joined_codes(diagnosed, ","), "patient_id")

@@ -8,6 +8,7 @@ from pulseledger.functions.dates import Moment
 from pulseledger.operators.codes import code_tables
 from pulseledger.plans.billing import run_billing
 from pulseledger.plans.load import RawSources, load_tables
+from pulseledger.session import materialise, scratch
 from pulseledger.sources.readers import read_stored
 from pulseledger.sources.writers import (
     reset_billing_tables,
@@ -37,10 +38,17 @@ def load_month(
     loaded_at: Moment,
     snapshots: str | None = None,
 ) -> None:
-    """Empty the target tables under ``root`` and fill them from the sources."""
-    reset_billing_tables(spark, root)
-    for name, rows in load_tables(sources, start, end, loaded_at, snapshots).items():
-        write_table(rows, root, name, "append")
+    """Replace the target tables under ``root`` by what the sources hold.
+
+    Everything is computed before the first table is emptied, so a failing
+    source or look-up leaves the tables as they were.
+    """
+    with scratch(spark):
+        loaded = load_tables(sources, start, end, loaded_at, snapshots)
+        stored = {name: materialise(rows) for name, rows in loaded.items()}
+        reset_billing_tables(spark, root)
+        for name, rows in stored.items():
+            write_table(rows, root, name, "append")
 
 
 def bill_month(
@@ -53,11 +61,12 @@ def bill_month(
     report_path: str,
     report_format: str = "csv",
 ) -> None:
-    """Code the stored tables as of ``end``; store the codes and the report."""
+    """Code the stored tables as of ``end``; then store the codes and the report."""
     tables = {name: read_stored(spark, root, name) for name in BILLED_TABLES}
-    reset_code_tables(spark, root)
-    state, report = run_billing({**tables, "note_type": note_type}, start, end)
-    codes, links = code_tables(state, code_type)
-    write_table(codes, root, "medical_code", "append")
-    write_table(links, root, "medical_code_device", "append")
-    write_report(report, report_path, report_format)
+    with scratch(spark):
+        state, report = run_billing({**tables, "note_type": note_type}, start, end)
+        codes, links = (materialise(rows) for rows in code_tables(state, code_type))
+        reset_code_tables(spark, root)
+        write_table(codes, root, "medical_code", "append")
+        write_table(links, root, "medical_code_device", "append")
+        write_report(report, report_path, report_format)

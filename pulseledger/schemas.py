@@ -143,6 +143,11 @@ VENDORS: tuple[str, ...] = ("Tenovi", "Omron")
 STATUS_TYPES: tuple[str, ...] = ("Active", "Do Not Call", "Inactive", "Onboard")
 
 
+def target_columns(table: str) -> dict[str, str]:
+    """Names and types of a target table, without a session."""
+    return dict(column.split(" ") for column in TARGETS[table].split(", "))
+
+
 def target_schema(table: str) -> StructType:
     return StructType.fromDDL(TARGETS[table])
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,28 +35,52 @@ def build_session(app_name: str = "pulseledger", **settings: str) -> SparkSessio
 def shared_folder(spark: SparkSession) -> str:
     """The folder intermediate tables are written to.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster. Only a
-    local-mode session without that setting (tests, notebooks) falls back to a
-    temporary folder; elsewhere the missing setting is an error, because a
-    folder of one machine cannot be read by the other executors.
+    ``spark.checkpoint.dir`` names the shared folder. Only a session within one
+    process that has no such setting (a notebook) gets a temporary folder;
+    everywhere else the missing setting is an error, because a folder of one
+    machine cannot be read by the executors of others.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is None:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulseledger-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables stored within the block when it ends.
+
+    Results that read them must be written before.
+    """
+    stored: list[str] = []
+    token = _scopes.set((*_scopes.get(), stored))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        conf = spark._jsc.hadoopConfiguration()
+        for name in stored:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and read it back from a table in the shared folder.
 
     That cuts the lineage and survives lost executors. Parquet keeps the table
     small, lets every reader prune columns and filter row groups, and gives the
-    optimizer the real size for its join choices.
+    optimizer the real size for its join choices. Within ``scratch`` the table
+    goes when the block ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/pulseledger-{uuid.uuid4().hex}"
+    for stored in _scopes.get()[-1:]:
+        stored.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,19 +11,21 @@ from pyspark.sql import functions as F
 from pulseledger.functions.dates import Moment, between, moment
 from pulseledger.functions.vocabulary import CSV_NULLS, VENDORS_SUPPLIED
 from pulseledger.operators.normalize import parsed_timestamp
-from pulseledger.schemas import MONTH_OF, SOURCES, TARGETS
+from pulseledger.schemas import MONTH_OF, PATIENT_EXPORT_COLUMNS, SOURCES, TARGETS
 
 
-def read_patient_export(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_patient_export(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Patient export: every cell as text, the two dates parsed, by header name.
 
-    Cells holding one of the usual "no value" texts are null. With
-    ``multi_line`` quoted cells may contain line breaks and each file is one
-    task; pass ``False`` for exports without such cells, so that large files are
-    split.
+    Cells holding one of the usual "no value" texts are null. Large files are
+    split; pass ``multi_line=True`` for exports with line breaks in quoted
+    cells, which makes each file one task. A missing column is an error.
     """
     options = {"header": True, "escape": '"', "multiLine": multi_line}
     names = spark.read.options(**options).csv(path).columns
+    missing = [name for name in PATIENT_EXPORT_COLUMNS if name not in names]
+    if missing:
+        raise ValueError(f"the export lacks the columns {missing}")
     text = ", ".join(f"`{name}` string" for name in names)
     cells = spark.read.options(**options, enforceSchema=False).schema(text).csv(path)
     parsed = {"DOB", "On-board Date"}
@@ -162,14 +164,3 @@ def supplied_devices(fulfillment: DataFrame) -> DataFrame:
     return fulfillment.where(first & F.col("Vendor").isin(*VENDORS_SUPPLIED)).select(
         "Vendor", "Device_ID", "Device_Name", "Patient_ID"
     )
-
-
-# --- key tables ------------------------------------------------------------------
-
-
-def device_keys(device: DataFrame) -> DataFrame:
-    return device.select("device_id", "patient_id")
-
-
-def vendor_keys(vendor: DataFrame) -> DataFrame:
-    return vendor.select("vendor_id", "name")

@@ -23,17 +23,17 @@ def write_table(df: DataFrame, root: str, table: str, if_exists: str = "append")
 
     ``delete_rows`` empties the table and keeps its columns, as ``replace`` does
     here, since the columns are fixed. Fact tables are partitioned by month; the
-    rebalance evens out file sizes and splits a month that dominates.
+    rebalance evens out file sizes and splits a month that dominates. Overwriting
+    replaces all months, whatever the session says about dynamic partitions.
     """
     rows = conform(df, table) if table in TARGETS else df
     column = MONTH_OF.get(table)
-    if column is None:
-        rows.write.mode(WRITE_MODES[if_exists]).parquet(f"{root}/{table}")
-        return
-    monthly = rows.withColumn("month", F.date_format(column, "yyyy-MM"))
-    monthly.hint("rebalance", "month").write.mode(WRITE_MODES[if_exists]).partitionBy(
-        "month"
-    ).parquet(f"{root}/{table}")
+    if column is not None:
+        rows = rows.withColumn("month", F.date_format(column, "yyyy-MM")).hint("rebalance", "month")
+    writer = rows.write.mode(WRITE_MODES[if_exists]).option("partitionOverwriteMode", "static")
+    if column is not None:
+        writer = writer.partitionBy("month")
+    writer.parquet(f"{root}/{table}")
 
 
 def write_snapshots(frames: Mapping[str, DataFrame], root: str) -> None:

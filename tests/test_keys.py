@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseledger.operators import keys
-from pulseledger.operators.joins import null_safe_join, prefiltered
+from pulseledger.operators.joins import null_safe_join
 from pulseledger.plans import load
 
 
@@ -81,11 +81,28 @@ def test_ids_for_no_rows(spark):
     assert keys.assign_ids(spark.range(0), "row_id", ["id"]).count() == 0
 
 
-def test_prefilter_is_used_only_for_few_keys(spark):
-    rows_ = spark.range(100).withColumnRenamed("id", "k")
-    few = spark.createDataFrame([(3,), (5,)], "k bigint")
-    assert rows(prefiltered(rows_, few, "k", limit=2), "k") == [(3,), (5,)]
-    assert prefiltered(rows_, few, "k", limit=1).count() == 100
+def largest_share(df):
+    """The largest task's rows as a multiple of the mean, over the tasks of the join."""
+    sizes = [row["count"] for row in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    return max(sizes) * len(sizes) / sum(sizes)
+
+
+@pytest.mark.parametrize("hot", ["'author 1'", "cast(null as string)"])
+def test_rows_of_a_hot_name_are_spread(spark, hot):
+    notes = spark.range(0, 200_000, 1, 8).selectExpr(
+        "id AS n", f"if(id % 2 = 0, {hot}, concat('author ', id % 50)) AS author"
+    )
+    users = spark.range(50).selectExpr("id AS user_id", "concat('author ', id) AS name")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        found = keys.lookup_id(notes, users, "author", "user_id")
+        assert largest_share(found) < 2
+        assert found.count() == 200_000 and found.where("user_id is not null").count() >= 100_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_lookup_under_a_collation(spark):

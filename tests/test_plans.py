@@ -22,6 +22,7 @@ def test_no_quadratic_joins_and_no_row_python(name, spark, sf_dir):
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text
+    assert not re.search(r"Exchange SinglePartition.*\n.*LocalLimit", text)
     if not re.search("note", name):
         assert "ArrowEvalPython" not in text
 
