@@ -1,6 +1,6 @@
 """Benchmark passages in documents: SimHash of item-sized windows, multi-index Hamming search.
 
-Words are runs of letters and digits in lower case; shingles of five words weigh
+Words are runs of letters and digits, case folded; shingles of five words weigh
 between 1 and 2 by the length of their words. Every window of about an item's
 size that could reach the similarity is fingerprinted. Fingerprints are cut into
 four blocks; one of them differs in at most a quarter of the radius, so items
@@ -58,7 +58,7 @@ def class_size(number: int) -> int:
 
 def _weighted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Each text's shingles in order, and their weights."""
-    owner, starts, ends, hashes = word_hashes([text.lower() for text in texts], marks_part=True)
+    owner, starts, ends, hashes = word_hashes([text.casefold() for text in texts], marks_part=True)
     text, first, found = shingle_hashes(owner, hashes)
     letters = np.append(0, np.cumsum(ends - starts))
     last = np.minimum(first + SHINGLE_WORDS, np.searchsorted(owner, owner[first], side="right")) if len(first) else first

@@ -6,7 +6,9 @@ Windows of one anchor and one quarter of the offsets form a segment; the bytes
 common to all of them are its key, so equal windows have equal keys. Keys met
 once need no further look, and segments that are equal as wholes repeat in full.
 What remains, different segments under one key, is compared through a
-Burrows-Wheeler transform per shard of keys: intervals of suffixes grow by
+Burrows-Wheeler transform per shard of keys (a key too large for a shard, such
+as the edge of a passage that most texts share, is split down to its windows,
+where equal strings need no further comparison): intervals of suffixes grow by
 backward extension, breadth first, and mark where neighbouring suffixes part
 after 0, 1, 2, ... bytes. Growth stops at 400; neighbours never parted agree on
 at least that much.
@@ -42,8 +44,10 @@ GRAM = 16
 QUARTERS = 4
 # Segments are narrowed to runs of so many offsets before they are sorted.
 NARROW = 24
-# Bytes of segments that one transform is built over; a larger group of one key has a transform of its own.
+# Bytes of segments that one transform is built over.
 SHARD_BYTES = 250_000
+# Keys with more bytes of different segments than this are split into single windows.
+SPLIT_BYTES = 1_000_000
 
 
 class _Prefix:
@@ -282,11 +286,29 @@ def _segment_rows(docs: DataFrame, length: int) -> DataFrame:
     return map_slices(docs, ["row", "mark", "text"], build, schema)
 
 
+def _window_hashes(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for every window of the bytes."""
+    prefix = _Prefix(np.frombuffer(data, dtype=np.uint8))
+    starts = np.arange(len(data) - length + 1)
+    places = np.arange(len(data) - GRAM + 1)
+    sums = np.append(np.uint64(0), np.cumsum(mixed(prefix.of(places, places + GRAM) + np.uint64(1))))
+    return signed(prefix.of(starts, starts + length)), signed(mixed(sums[starts + length - GRAM + 1] - sums[starts]))
+
+
+def _split_windows(parts: DataFrame) -> DataFrame:
+    """``key, low, high, begin, end``: windows of large keys that occur more than once, one by one."""
+    each = parts.select(
+        "key", "low", "high", F.posexplode(F.arrays_zip("h1", "h2")).alias("begin", "h")
+    ).select("key", "low", "high", F.col("begin").cast("long").alias("begin"), "h.h1", "h.h2")
+    again = materialise(each.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    return each.join(again, ["h1", "h2"]).select("key", "low", "high", "begin", (F.col("begin") + 1).alias("end"))
+
+
 def _with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``key, low, high, windows, offset, bytes`` of the wanted segments."""
+    """``key, low, high, windows, offset`` of the wanted segments, with their ``bytes`` or, if ``large``, window hashes ``h1, h2``."""
     needed = membership_filter(wanted.select(filter_place("mark").alias("place")))
     per_text = wanted.groupBy("row", "mark").agg(
-        F.collect_list(F.struct("key", "low", "high", "first", "windows", "offset")).alias("wanted")
+        F.collect_list(F.struct("key", "low", "high", "first", "windows", "offset", "large")).alias("wanted")
     )
     place = docs.withColumn("place", filter_place("mark"))
 
@@ -295,21 +317,26 @@ def _with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             yield batch.filter(pa.array(in_filter(needed, batch.column("place").to_numpy())))
 
     texts = place.mapInArrow(keep, place.schema).join(per_text, ["row", "mark"]).select("text", "wanted")
+    names = ("key", "low", "high", "windows", "offset")
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
-            out: dict[str, list] = {name: [] for name in ("key", "low", "high", "windows", "offset", "bytes")}
+            out: dict[str, list] = {name: [] for name in (*names, "bytes", "h1", "h2")}
             for text, listed in zip(part["text"], part["wanted"]):
                 data = text.encode("utf-8", "surrogatepass")
                 for item in listed:
-                    for name in ("key", "low", "high", "windows", "offset"):
+                    for name in names:
                         out[name].append(item[name])
-                    out["bytes"].append(data[item["first"] : item["first"] + item["windows"] - 1 + length])
+                    cut = data[item["first"] : item["first"] + item["windows"] - 1 + length]
+                    one, two = _window_hashes(cut, length) if item["large"] else (None, None)
+                    for name, value in zip(("bytes", "h1", "h2"), (None if item["large"] else cut, one, two)):
+                        out[name].append(value)
             yield out
 
         return work
 
-    return map_slices(texts, ["text", "wanted"], build, "key long, low long, high long, windows long, offset long, bytes binary")
+    schema = "key long, low long, high long, windows long, offset long, bytes binary, h1 array<bigint>, h2 array<bigint>"
+    return map_slices(texts, ["text", "wanted"], build, schema)
 
 
 def _compared(parts: DataFrame, length: int) -> DataFrame:
@@ -364,8 +391,12 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             F.sum("met").alias("times"), F.min(F.struct("row", "mark", "first", "windows", "offset")).alias("one")
         )
     )
-    parts = _with_bytes(docs, one_each.select("key", "low", "high", "one.*"), length)
-    compared = _compared(parts, length)
+    volume = one_each.groupBy("key").agg(F.sum(F.col("one.windows") + length - 1).alias("volume"))
+    sized = one_each.join(materialise(volume), "key")
+    wanted = sized.select("key", "low", "high", "one.*", (F.col("volume") > SPLIT_BYTES).alias("large"))
+    parts = materialise(_with_bytes(docs, materialise(wanted), length))
+    shards = parts.where("bytes is not null").drop("h1", "h2")
+    compared = _compared(shards, length).unionByName(_split_windows(parts.where("bytes is null")))
     twice = one_each.where("times > 1").select("key", "low", "high", F.lit(0).cast("long").alias("begin"), F.col("one.windows").alias("end"))
     known = materialise(compared.unionByName(twice))
     differing = mixed_up.join(known, ["key", "low", "high"]).select(
