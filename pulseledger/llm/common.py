@@ -13,8 +13,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulseledger.session import materialise
 
-# Code points handed to numpy at once; bounds a worker's memory whatever the batch size.
-SLICE_CHARS = 1_000_000
+# Bytes of text and rows handed to numpy at once; bound a worker's memory whatever the batch size.
+SLICE_CHARS, SLICE_ROWS = 400_000, 2_000
 SHINGLE_WORDS = 5
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -23,12 +23,12 @@ _MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of rows with about ``SLICE_CHARS`` bytes of text each."""
+    """Bounds of runs of rows with about ``SLICE_CHARS`` bytes of text each; a longer text is alone."""
     sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     start = 0
     while start < len(sizes):
         stop, room = start, SLICE_CHARS
-        while stop < len(sizes) and (stop == start or room >= sizes[stop]):
+        while stop < min(len(sizes), start + SLICE_ROWS) and (stop == start or room >= sizes[stop]):
             room -= sizes[stop]
             stop += 1
         yield start, stop
@@ -54,6 +54,10 @@ def map_slices(
     """
     target = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
+    def encoded(out: dict[str, list | np.ndarray]) -> pa.RecordBatch:
+        arrays = [pa.array(out[field.name], field.type) for field in target]
+        return pa.RecordBatch.from_arrays(arrays, schema=target)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
         for batch in batches:
@@ -61,9 +65,7 @@ def map_slices(
             for start, stop in _slices(data[text]):
                 cut = {name: column.slice(start, stop - start) for name, column in data.items()}
                 part = {name: _filled(column) if name == text else column.to_pylist() for name, column in cut.items()}
-                for out in work(part):
-                    arrays = [pa.array(out[field.name], field.type) for field in target]
-                    yield pa.RecordBatch.from_arrays(arrays, schema=target)
+                yield from map(encoded, work(part))
 
     return df.select(*columns).mapInArrow(run, schema)
 
@@ -164,7 +166,7 @@ def shingle_hashes(
     whole = np.zeros(length, dtype=bool)
     if length >= size:
         whole[: length - size + 1] = owner[: length - size + 1] == owner[size - 1 :]
-    for step in range(size):
+    for step in range(min(size, length)):
         part = mixed(hashes + np.uint64((step + 1) * int(_ODD) % (1 << 64)))
         total[: length - step] += part[step:] if step else part
     first = np.flatnonzero(whole)
@@ -186,15 +188,21 @@ def shingle_hashes(
     return owner[first], first, found
 
 
-def shingle_sets(texts: Sequence[str]) -> list[np.ndarray]:
-    """Each text's sorted distinct shingle hashes."""
+def distinct_shingles(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text: text number and hash, in this order."""
     owner, _, _, hashes = word_hashes(texts)
     text, _, found = shingle_hashes(owner, hashes)
     order = np.lexsort((found, text))
     text, found = text[order], found[order]
     new = np.ones(len(found), dtype=bool)
     new[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
-    return np.split(found[new], np.searchsorted(text[new], np.arange(1, len(texts))))
+    return text[new], found[new]
+
+
+def shingle_sets(texts: Sequence[str]) -> list[np.ndarray]:
+    """Each text's sorted distinct shingle hashes."""
+    text, found = distinct_shingles(texts)
+    return np.split(found, np.searchsorted(text, np.arange(1, len(texts))))
 
 
 def signed(values: np.ndarray) -> np.ndarray:
@@ -313,6 +321,33 @@ def in_filter(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def parity_sketches(owner: np.ndarray, shingles: np.ndarray, count: int, bits: int) -> np.ndarray:
+    """For each set, whether an odd number of its shingles falls on each of so many bits, as longs.
+
+    Two sets differ in at least as many shingles as their sketches in bits.
+    """
+    place = owner * bits + (mixed(shingles + np.uint64(7)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(place, minlength=count * bits).reshape(count, bits) % 2
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
+def sketch_fact(bits: int) -> Column:
+    """A struct of ``n`` and the words of the array ``sketch``."""
+    return F.struct("n", *(F.element_at("sketch", n + 1).alias(f"s{n}") for n in range(bits // 64)))
+
+
+def sketch_distance(one: str, two: str, bits: int) -> Column:
+    """Sketch bits in which two facts differ."""
+    return sum((F.bit_count(F.col(one)[f"s{n}"].bitwiseXOR(F.col(two)[f"s{n}"])) for n in range(bits // 64)), F.lit(0))
+
+
+def sketches_allow(one: str, two: str, bits: int) -> Column:
+    """Whether sizes and sketches leave a similarity of 3/4 possible; no similar pair is denied."""
+    n_one, n_two = F.col(one)["n"], F.col(two)["n"]
+    total = n_one + n_two
+    return (7 * F.least(n_one, n_two) >= 3 * total) & (7 * sketch_distance(one, two, bits) <= total)
+
+
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """``sig, node, first`` of buckets with several nodes, stored; ``first`` is the smallest.
 
@@ -326,36 +361,78 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     )
 
 
-def verified_links(shared: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def verified_links(
+    shared: DataFrame,
+    similar: Callable[[DataFrame], DataFrame],
+    facts: DataFrame,
+    possible: Callable[[str, str], Column],
+    far: Callable[[str, str], Column] = lambda centre, node: F.lit(False),
+    lean: Callable[[str], Column] = F.col,
+    lean_possible: Callable[[str, str], Column] | None = None,
+) -> DataFrame:
     """Links ``a, b`` that connect exactly what the similar pairs within buckets connect.
 
-    Every member of a bucket is first compared with the bucket's smallest node;
-    only in buckets whose members are then still in different components are
-    the pairs across components compared.
+    Every member of a bucket is first compared with the bucket's smallest node,
+    its centre. Members linked to the centre are settled among themselves. Those
+    that are not are compared with each other, and with the settled ones unless
+    they are ``far``: then they cannot be similar to anything linked to the
+    centre. Pairs already in one component are left out. ``facts`` has a row per
+    ``node`` with a struct ``fact``; ``possible`` says of two such columns
+    whether the pair can be similar at all. ``lean`` makes of a fact the smaller
+    one that is carried with every row of an open bucket, for ``lean_possible``.
     """
-    stars = materialise(shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
-    links = materialise(similar(stars))
+
+    def known(rows: DataFrame, column: str) -> DataFrame:
+        return rows.join(facts.select(F.col("node").alias(column), F.col("fact").alias(f"fact_{column}")), column)
+
+    pairs = materialise(shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    stars = materialise(
+        known(known(pairs, "a"), "b").select(
+            "a", "b", possible("fact_a", "fact_b").alias("near"), far("fact_a", "fact_b").alias("far")
+        )
+    )
+    links = materialise(similar(stars.where("near").select("a", "b").distinct()))
     parts = connected_components(links)
 
     def part_of(column: str, name: str) -> DataFrame:
         return parts.select(F.col("node").alias(column), F.col("component_id").alias(name))
 
-    apart = materialise(
-        stars.join(part_of("a", "pa"), "a", "left")
+    unsettled = materialise(
+        stars.groupBy("a", "b")
+        .agg(F.min("far").alias("far"))
+        .join(links, ["a", "b"], "left_anti")
+        .join(part_of("a", "pa"), "a", "left")
         .join(part_of("b", "pb"), "b", "left")
-        .where(F.coalesce("pa", "a") != F.coalesce("pb", "b"))
-        .select(F.col("a").alias("first"), F.col("b").alias("node"))
+        .select(
+            F.col("a").alias("first"),
+            F.col("b").alias("node"),
+            (F.coalesce("pa", "a") != F.coalesce("pb", "b")).alias("apart"),
+            "far",
+        )
     )
-    open_buckets = materialise(shared.join(apart, ["first", "node"], "left_semi").select("sig").distinct())
+    loose = materialise(shared.join(unsettled, ["first", "node"]).select("sig", "node", "apart", "far"))
+    closer = loose.where("apart and not far").select("sig").distinct()
+    settled = shared.where("node <> first").join(materialise(closer), "sig", "left_semi").select("sig", "node")
+    settled = settled.join(loose, ["sig", "node"], "left_anti").select("sig", "node", F.lit(False).alias("loose"))
+    open_buckets = loose.where("apart").select("sig").distinct()
     members = materialise(
-        shared.where("node <> first")
-        .join(open_buckets, "sig", "left_semi")
-        .select("sig", "node")
+        loose.join(materialise(open_buckets), "sig", "left_semi")
+        .select("sig", "node", F.lit(True).alias("loose"))
         .distinct()
+        .unionByName(settled.distinct())
         .join(part_of("node", "part"), "node", "left")
-        .select("sig", "node", F.coalesce("part", "node").alias("part"))
+        .join(facts.select("node", lean("fact").alias("fact")), "node")
+        .select("sig", "node", "loose", "fact", F.coalesce("part", "node").alias("part"))
     )
-    one = members.select("sig", F.col("node").alias("a"), F.col("part").alias("pa"))
-    two = members.select("sig", F.col("node").alias("b"), F.col("part").alias("pb"))
-    others = materialise(one.join(two, "sig").where("a < b and pa <> pb").select("a", "b").distinct())
-    return links if others.isEmpty() else links.unionByName(materialise(similar(others)))
+    # Settled members are in one component; every other pair has a loose one.
+    one = members.where("loose").select("sig", F.col("node").alias("a"), F.col("part").alias("pa"), F.col("fact").alias("fact_a"))
+    two = members.select("sig", "loose", F.col("node").alias("b"), F.col("part").alias("pb"), F.col("fact").alias("fact_b"))
+    apart_yet = ((F.col("a") < F.col("b")) | ~two.loose) & (F.col("pa") != F.col("pb"))
+    if lean_possible is not None:
+        apart_yet &= lean_possible("fact_a", "fact_b")
+    met = one.join(two, (one.sig == two.sig) & apart_yet)
+    others = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if others.isEmpty():
+        return links
+    left = known(known(others, "a"), "b").where(possible("fact_a", "fact_b")).select("a", "b").distinct()
+    return links.unionByName(materialise(similar(left)))

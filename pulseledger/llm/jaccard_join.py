@@ -21,120 +21,134 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseledger.llm.common import (
     connected_components,
+    distinct_shingles,
     filter_place,
     in_filter,
     map_slices,
     membership_filter,
     mixed,
+    parity_sketches,
     shared_buckets,
     shingle_sets,
     signed,
+    sketch_distance,
+    sketch_fact,
+    sketches_allow,
     verified_links,
 )
 from pulseledger.session import materialise
 
 SMALL = 64
-# Common shingles: counted with an error of at most a 4096th of a task's shingles.
-COUNTERS, COMMON = 4096, 16384
+# Bits of the sketch that bounds how much two sets differ before they are fetched.
+SKETCH_BITS, LEAN_BITS = 2048, 256
+# Common shingles: every slice of texts reports its commonest, their counts are added up, and the
+# commonest of all are sent to the tasks (half a megabyte). They only decide which segments are indexed.
+REPORTED, COMMON = 1 << 12, 1 << 16
 
 
-class _CommonShingles:
-    """Counters for the commonest shingles of a stream of sets (Misra and Gries)."""
-
-    def __init__(self) -> None:
-        self.keys, self.counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
-
-    def add(self, sets: list[np.ndarray]) -> None:
-        keys, counts = np.unique(np.concatenate([*sets, np.empty(0, dtype=np.uint64)]), return_counts=True)
-        keys, place = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
-        counts = np.bincount(place, np.concatenate([self.counts, counts]), len(keys)).astype(np.int64)
-        if len(keys) > COUNTERS:
-            counts -= np.partition(counts, -COUNTERS - 1)[-COUNTERS - 1]
-        self.keys, self.counts = keys[counts > 0], counts[counts > 0]
+def _commonest(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several of a slice's sets have, and how many; at most ``REPORTED``."""
+    keys, counts = np.unique(shingles, return_counts=True)
+    top = np.argsort(-counts, kind="stable")[:REPORTED]
+    top = top[counts[top] > 1]
+    return keys[top], counts[top]
 
 
 def _digest(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Rows ``kind, id, n, low, high``: 0 a document's set size and fingerprint, 1 a common shingle."""
+    """Rows ``kind, id, n, low, high, sketch``: 0 a document's set size and fingerprint, 1 a common shingle."""
 
     def build():
-        common = _CommonShingles()
-
         def work(part: dict[str, list]) -> Iterator[dict]:
-            sets = shingle_sets(part[text_column])
-            common.add(sets)
-            total = lambda salt: np.array([np.add.reduce(mixed(s + np.uint64(salt)), dtype=np.uint64) for s in sets])
+            count = len(part[id_column])
+            owner, shingles = distinct_shingles(part[text_column])
+            starts = np.searchsorted(owner, np.arange(count))
+            sums = [np.append(0, np.cumsum(mixed(shingles + np.uint64(salt)))) for salt in (1, 2)]
+            ends = np.append(starts[1:], len(owner))
+            low, high = (signed(total[ends] - total[starts]) for total in sums)
             yield {
-                "kind": [0] * len(sets),
+                "kind": [0] * count,
                 "id": part[id_column],
-                "n": [len(s) for s in sets],
-                "low": signed(total(1)),
-                "high": signed(total(2)),
-            }
-            # Counters so far; the largest report of a task counts.
-            top = np.argsort(-common.counts)[: COUNTERS // 8]
-            yield {
-                "kind": [1] * len(top),
-                "id": [None] * len(top),
-                "n": common.counts[top],
-                "low": signed(common.keys[top]),
-                "high": [0] * len(top),
+                "n": ends - starts,
+                "low": low,
+                "high": high,
+                "sketch": list(parity_sketches(owner, shingles, count, SKETCH_BITS)),
             }
+            keys, counts = _commonest(shingles)
+            none = [None] * len(keys)
+            yield {"kind": [1] * len(keys), "id": none, "n": counts, "low": signed(keys), "high": none, "sketch": none}
 
         return work
 
-    schema = f"kind int, id {dict(df.dtypes)[id_column]}, n long, low long, high long"
+    schema = f"kind int, id {dict(df.dtypes)[id_column]}, n long, low long, high long, sketch array<bigint>"
     return map_slices(df, [id_column, text_column], build, schema, text_column)
 
 
-def allowed_difference(size: int) -> int:
+def allowed_difference(size: int | np.ndarray) -> int | np.ndarray:
     """The largest symmetric difference to any set within similarity 3/4."""
     return (size + 4 * size // 3) // 7
 
 
-def _bands(size: int) -> list[int]:
-    """The powers of two whose bands a set of this size belongs to."""
-    band = max(0, int(size - 1).bit_length())
-    return [band, band + 1] if 4 * size > 3 << band else [band]
-
+def signatures(
+    owner: np.ndarray, shingles: np.ndarray, sizes: np.ndarray, common: np.ndarray, salt: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of many sets at once: set number, signature; and the sets with too few segments in a band.
 
-def signatures(shingles: np.ndarray, common: np.ndarray, salt: int) -> tuple[list[np.ndarray], bool]:
-    """A set's signatures in all its bands, and whether any band had too few segments."""
-    found, lacking = [], False
-    least = allowed_difference(len(shingles)) + 1
-    for band in _bands(len(shingles)):
-        top = 1 << band
+    Bands are powers of two; a set also enters the next band if a partner may be there.
+    """
+    band_of = np.frexp(np.maximum(sizes - 1, 0))[1]
+    reaches = 4 * sizes > 3 * (1 << band_of)
+    least = allowed_difference(sizes) + 1
+    rare = common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] != shingles if len(common) else np.ones(len(shingles), dtype=bool)
+    owners, found, lacking = [], [], np.zeros(len(sizes), dtype=bool)
+    for band in np.unique(np.concatenate([band_of, band_of[reaches] + 1])):
+        members = (sizes > 0) & ((band_of == band) | (reaches & (band_of + 1 == band)))
+        chosen = members[owner]
+        if not chosen.any():
+            continue
+        top = 1 << int(band)
         whole = top > SMALL
         count = top // 2 if whole else max(2, (3 * top) // 10)
-        key = mixed(np.array([(salt << 8) + band + 1], dtype=np.uint64))
-        spread = mixed(shingles ^ key)
-        segment = (spread >> np.uint64(11)).astype(np.int64) % count
+        key = mixed(np.array([(salt << 8) + int(band) + 1], dtype=np.uint64))
+        spread = mixed(shingles[chosen] ^ key)
+        segment = owner[chosen] * count + (spread >> np.uint64(11)).astype(np.int64) % count
         order = np.argsort(segment, kind="stable")
         segment = segment[order]
         starts = np.flatnonzero(np.diff(segment, prepend=-1))
-        sizes = np.diff(np.append(starts, len(segment)))
+        widths = np.diff(np.append(starts, len(segment)))
         tokens = mixed(spread[order] + np.uint64(1))
         content = np.add.reduceat(tokens, starts)
-        base = mixed(segment[starts].astype(np.uint64) + key)
+        base = mixed((segment[starts] % count).astype(np.uint64) + key)
         exact = mixed(content + base)
+        of = segment[starts] // count
         if whole:
-            lacking |= len(starts) < least
-            if len(starts) > least:
-                rare = (~np.isin(shingles, common))[order].astype(np.int64)
-                rares = np.add.reduceat(rare, starts)
-                chosen = np.lexsort((exact, -sizes, rares == 0))[:least]
-                exact = exact[chosen]
-            found.append(exact)
+            lacking |= members & (np.bincount(of, minlength=len(sizes)) < least)
+            rares = np.add.reduceat(rare[chosen][order].astype(np.int64), starts)
+            cheapest = np.lexsort((exact, -widths, rares == 0, of))
+            of, exact = of[cheapest], exact[cheapest]
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            place = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
+            kept = place < least[of]
+            owners.append(of[kept])
+            found.append(exact[kept])
         else:
             # A lone shingle is found if the partner has it, several also if they differ by one.
-            lacking |= len(starts) + np.count_nonzero(sizes > 1) < least
-            owner = np.repeat(np.arange(len(starts)), sizes)
-            found += [exact, mixed(content[owner] - tokens + base[owner])[sizes[owner] > 1]]
-    return found, lacking
+            units = np.bincount(of, 1.0 + (widths > 1), minlength=len(sizes))
+            lacking |= members & (units < least)
+            at = np.repeat(np.arange(len(starts)), widths)
+            several = widths[at] > 1
+            owners += [of, of[at][several]]
+            found += [exact, mixed(content[at] - tokens + base[at])[several]]
+    none = np.empty(0, dtype=np.int64)
+    return (
+        np.concatenate([none, *owners]),
+        np.concatenate([none.view(np.uint64), *found]),
+        np.flatnonzero(lacking),
+    )
 
 
 def _signature_rows(df: DataFrame, id_column: str, text_column: str, common: np.ndarray, salt: int) -> DataFrame:
@@ -142,27 +156,53 @@ def _signature_rows(df: DataFrame, id_column: str, text_column: str, common: np.
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
-            sigs, docs, again = [], [], []
-            for doc, shingles in zip(part[id_column], shingle_sets(part[text_column])):
-                if not len(shingles):
-                    continue
-                own, lacking = signatures(shingles, common, salt)
-                sigs += own
-                docs.append(np.full(sum(map(len, own)), doc, dtype=np.int64))
-                if lacking:
-                    again.append(doc)
-            if sigs:
-                yield {"sig": signed(np.concatenate(sigs)), "node": np.concatenate(docs)}
-            if again:
-                yield {"sig": [None] * len(again), "node": again}
+            docs = np.array(part[id_column], dtype=np.int64)
+            owner, shingles = distinct_shingles(part[text_column])
+            sizes = np.bincount(owner, minlength=len(docs))
+            of, found, again = signatures(owner, shingles, sizes, common, salt)
+            yield {"sig": signed(found), "node": docs[of]}
+            if len(again):
+                yield {"sig": [None] * len(again), "node": docs[again]}
 
         return work
 
     return map_slices(df, [id_column, text_column], build, "sig long, node long", text_column)
 
 
+def _possible(one: str, two: str) -> Column:
+    return sketches_allow(one, two, SKETCH_BITS)
+
+
+def _folded(fact: str) -> Column:
+    """The fact with its sketch folded to ``LEAN_BITS``: the parities of bits a multiple apart, together."""
+    words, every = LEAN_BITS // 64, SKETCH_BITS // 64
+
+    def fold(n: int) -> Column:
+        word = F.col(fact)[f"s{n}"]
+        for more in range(n + words, every, words):
+            word = word.bitwiseXOR(F.col(fact)[f"s{more}"])
+        return word.alias(f"s{n}")
+
+    return F.struct(F.col(fact)["n"].alias("n"), *(fold(n) for n in range(words)))
+
+
+def _folded_possible(one: str, two: str) -> Column:
+    return sketches_allow(one, two, LEAN_BITS)
+
+
+def _far(centre: str, node: str) -> Column:
+    """Whether the node is too far from the centre to be similar to anything the centre is similar to.
+
+    Differences obey the triangle inequality: something similar to the centre
+    has at most 4/3 of its size, differs from it in a seventh of both sizes, and
+    would have to differ from the node in no more than a seventh of theirs.
+    """
+    return 21 * sketch_distance(centre, node, SKETCH_BITS) > 3 * F.col(node)["n"] + 11 * F.col(centre)["n"]
+
+
 def _similar(pairs: DataFrame, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The pairs ``a, b`` whose sets have 100 * intersection >= 75 * union."""
+    pairs = materialise(pairs)
     needed = membership_filter(
         pairs.select(F.explode(F.array("a", "b")).alias("doc")).select(filter_place("doc").alias("place"))
     )
@@ -203,9 +243,9 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
     docs = df.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"))
     digest = materialise(_digest(docs, "doc", "text"))
     sized = digest.where("kind = 0")
-    counted = digest.where("kind = 1").groupBy("low").agg(F.max("n").alias("n"))
+    counted = digest.where("kind = 1").groupBy("low").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "low").limit(COMMON).collect()
-    common = np.array([row.low for row in top], dtype=np.int64).view(np.uint64)
+    common = np.sort(np.array([row.low for row in top], dtype=np.int64).view(np.uint64))
 
     named = sized.where("id is not null and n > 0")
     classes = materialise(named.groupBy("n", "low", "high").agg(F.min("id").alias("a"), F.max("id").alias("b")))
@@ -218,13 +258,21 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
     spare = copies.select("b").distinct().join(ends, "b", "left_anti").select(F.col("b").alias("doc"))
     kept = docs.where("doc is not null").join(spare, "doc", "left_anti")
 
+    facts = named.select(F.col("id").alias("node"), sketch_fact(SKETCH_BITS).alias("fact"))
+
     links = materialise(copies.select("a", "b"))
     salt, rest = 0, kept
     while True:
         rows = _signature_rows(rest, "doc", "text", common, salt)
         buckets = shared_buckets(rows)
         found = verified_links(
-            buckets.where("sig is not null"), lambda pairs: _similar(pairs, kept, "doc", "text")
+            buckets.where("sig is not null"),
+            lambda pairs: _similar(pairs, kept, "doc", "text"),
+            facts,
+            _possible,
+            _far,
+            _folded,
+            _folded_possible,
         )
         links = links.unionByName(found)
         again = buckets.where("sig is null").select(F.col("node").alias("doc")).distinct()

@@ -80,3 +80,29 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.repeated_paragraphs(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op7_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(w[n : n + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS n FROM words WHERE len(w) > 0)),
+sized AS (
+    SELECT d.doc_id, count(s.s) AS n_shingles
+    FROM documents d LEFT JOIN shingle s ON s.doc_id = d.doc_id GROUP BY d.doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+    SELECT a, b FROM shared
+    JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+    WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM sized
+    UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other)
+SELECT s.doc_id, s.n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = s.doc_id) AS component_id
+FROM sized s"""
