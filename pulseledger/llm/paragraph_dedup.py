@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseledger.llm.common import (
@@ -22,9 +22,12 @@ from pulseledger.llm.common import (
     map_slices,
     membership_filter,
     mixed,
+    parity_sketches,
     shared_buckets,
     shingle_sets,
     signed,
+    sketch_fact,
+    sketches_allow,
     verified_links,
 )
 from pulseledger.session import materialise
@@ -32,6 +35,8 @@ from pulseledger.session import materialise
 MIN_WORDS = 20
 # Two paragraphs at the threshold of 0.75 meet in a band with probability 0.9995.
 BANDS, BAND_ROWS = 20, 4
+# Bits of the sketch that bounds how much two paragraphs differ before they are fetched.
+SKETCH_BITS = 256
 
 _FACTORS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 _BAND_SALTS = mixed(np.arange(1001, 1001 + BANDS, dtype=np.uint64))
@@ -75,6 +80,7 @@ def _paragraph_rows(df: DataFrame, id_column: str, text_column: str, min_words:
             ids, numbers, starts, words, lines = zip(*found)
             sets = shingle_sets(lines)
             low, high = _digests(sets)
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
             yield {
                 "id": ids,
                 "paragraph": numbers,
@@ -85,17 +91,22 @@ def _paragraph_rows(df: DataFrame, id_column: str, text_column: str, min_words:
                 "low": low,
                 "high": high,
                 "bands": list(_bands(sets)),
+                "sketch": list(parity_sketches(owner, np.concatenate(sets), len(sets), SKETCH_BITS)),
             }
 
         return work
 
     schema = (
         f"id {dict(df.dtypes)[id_column]}, paragraph long, begin long, end long, n_words long, "
-        "n long, low long, high long, bands array<bigint>"
+        "n long, low long, high long, bands array<bigint>, sketch array<bigint>"
     )
     return map_slices(df, [id_column, text_column], build, schema, text_column)
 
 
+def _possible(one: str, two: str) -> Column:
+    return sketches_allow(one, two, SKETCH_BITS)
+
+
 def _similar(pairs: DataFrame, classes: DataFrame, df: DataFrame, text_column: str, min_words: int) -> DataFrame:
     """The pairs ``a, b`` of classes whose sets have 100 * intersection >= 75 * union."""
     nodes = materialise(
@@ -151,16 +162,17 @@ def repeated_paragraphs(
     spot = F.struct("id", "paragraph")
     classes = materialise(
         rows.groupBy("n", "low", "high")
-        .agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"))
+        .agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     buckets = shared_buckets(classes.select(F.explode("bands").alias("sig"), "node"))
-    links = verified_links(buckets, lambda pairs: _similar(pairs, classes, df, text_column, min_words))
+    facts = classes.select("node", sketch_fact(SKETCH_BITS).alias("fact"))
+    links = verified_links(buckets, lambda pairs: _similar(pairs, classes, df, text_column, min_words), facts, _possible, lean_possible=_possible)
     parts = connected_components(links)
     placed = classes.join(parts, "node", "left").withColumn("part", F.coalesce("component_id", "node"))
     clusters = placed.groupBy("part").agg(F.min("first").alias("kept"), F.sum("copies").alias("n_copies")).where("n_copies > 1")
     repeats = materialise(placed.join(clusters, "part").select("n", "low", "high", "kept", "n_copies", F.col("first").alias("one")))
-    found = rows.drop("bands").join(repeats, ["n", "low", "high"])
+    found = rows.drop("bands", "sketch").join(repeats, ["n", "low", "high"])
     here = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("paragraph") == F.col("kept.paragraph"))
     return found.select(
         F.col("id").alias(id_column),
