@@ -9,8 +9,8 @@ almost their entropy.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import zstandard
@@ -35,6 +35,7 @@ SENSITIVE = re.compile(
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "credential", "bearer", "authorization", "private", "key")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~.-]{16,}")
+KEY_RUN = re.compile(r"[A-Za-z0-9+/_=~.-]+")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,}")
 # How far after a sensitive word a candidate may start, and how much text around it is compared.
 REACH, CONTEXT = 48, 160
@@ -66,36 +67,60 @@ def candidates(text: str) -> list[tuple[int, int]]:
         at = word.end()
         while (m := CANDIDATE.search(text, at)) and m.start() <= word.end() + REACH:
             run = m[0]
-            if any(c.isdigit() for c in run) and any(c.isalpha() for c in run):
+            if _mixed(run):
                 found[m.start()] = m.end()
             at = m.end()
     return sorted(found.items())
 
 
+def _mixed(run: str) -> bool:
+    return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
+
+
+def known_words(text: str) -> set[str]:
+    """Identifiers near the sensitive words of a text, without any part of a string that could be a key."""
+    if not any(word in text.lower() for word in SENSITIVE_WORDS):
+        return set()
+    words: set[str] = set()
+    done = 0
+    for m in SENSITIVE.finditer(text):
+        # Runs are taken whole where they reach into the surroundings, and once where surroundings overlap.
+        low, high = max(done, m.start() - CONTEXT), m.end() + CONTEXT
+        while low > done and KEY_RUN.match(text[low - 1]):
+            low -= 1
+        for run in KEY_RUN.finditer(text, low):
+            if run.start() >= high:
+                break
+            done = run.end()
+            if len(run[0]) < 16 or not _mixed(run[0]):
+                words.update(word for word in IDENTIFIER.findall(run[0]) if len(word) <= 32)
+    return words
+
+
 def identifiers(df: DataFrame, text_column: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:
     """The corpus's commonest identifiers near sensitive words, commonest first.
 
-    Counted over all texts; ``words`` bounds what reaches the driver (about 100 KB).
+    Counted once per distinct text, over all texts: neither copies of a text nor
+    repeats within one make a string known, and what could be a key never is.
+    ``words`` bounds what reaches the driver (about 100 KB).
     """
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
-            counts: Counter = Counter()
-            for text in part[text_column]:
-                low = text.lower()
-                if not any(word in low for word in SENSITIVE_WORDS):
-                    continue
-                for m in SENSITIVE.finditer(text):
-                    around = text[max(0, m.start() - CONTEXT) : m.end() + CONTEXT]
-                    counts.update(word for word in IDENTIFIER.findall(around) if len(word) <= 32)
-            if counts:
-                yield {"word": list(counts), "n": list(counts.values())}
+            found = {}
+            for text in dict.fromkeys(part[text_column]):
+                if known := known_words(text):
+                    found[hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:16]] = sorted(known)
+            if found:
+                yield {"digest": list(found), "words": list(found.values())}
 
         return work
 
-    counted = map_slices(df, [text_column], build, "word string, n long", text_column)
-    # Random strings occur once; the dictionary holds what the corpus repeats.
-    common = counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    met = map_slices(df, [text_column], build, "digest binary, words array<string>", text_column)
+    texts = met.groupBy("digest").agg(F.any_value("words").alias("words"))
+    counted = texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # The dictionary holds what different texts share.
+    common = counted.where("n > 1")
     return [row.word for row in common.orderBy(F.desc("n"), "word").limit(words).collect()]
 
 

@@ -52,3 +52,28 @@ def test_redaction_keeps_everything_else(awkward, frame, empty):
     assert same.columns == awkward.columns
     assert sorted(map(str, same.collect())) == sorted(map(str, awkward.collect()))
     assert secret_scan.redact(empty).collect() == [] and secret_scan.secret_report(empty).collect() == []
+
+
+TOKEN = "qT7vXk2LmZ9wRb4NcY8dPf3"
+
+
+@pytest.mark.parametrize("texts", [
+    [f"Authorization: Bearer {TOKEN} and the access key or secret of it"],
+    [f"Authorization: Bearer {TOKEN} here", f"we sent the bearer {TOKEN} there"],
+    [f"Authorization: Bearer {TOKEN} in a copy"] * 300,
+    [f"near copy {n}: Authorization: Bearer {TOKEN} to the private service" for n in range(300)],
+    [f"Bearer {TOKEN}.{TOKEN[::-1]} {n}" for n in range(5)],
+])
+def test_repeats_do_not_hide_a_token(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert not [word for word in secret_scan.identifiers(df) if word in TOKEN or word in TOKEN[::-1]]
+    for row in secret_scan.secret_report(df).collect():
+        start = texts[row.doc_id].index(TOKEN)
+        assert row.spans.startswith(f"novel:{start}:") and row.n_novel == 1
+
+
+def test_identifiers_count_distinct_texts(spark):
+    far = "x " * 200
+    texts = ["secret alpha_name secret alpha_name"] * 5 + ["the beta_name of a token", "my token, beta_name", f"gamma_name {far} secret", f"gamma_name {far} token"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert secret_scan.identifiers(df) == ["token", "beta_name", "secret"]
