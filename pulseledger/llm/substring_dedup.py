@@ -48,6 +48,9 @@ NARROW = 24
 SHARD_BYTES = 250_000
 # Keys with more bytes of different segments than this are split into single windows.
 SPLIT_BYTES = 1_000_000
+# Windows of so many bytes of text are worked on at once; places in them have to fit into PLACE_BITS.
+PIECE_BYTES = 1 << 22
+PLACE_BITS = 24
 
 
 class _Prefix:
@@ -68,8 +71,11 @@ class _Prefix:
 def _anchors(grams: np.ndarray, span: int) -> np.ndarray:
     """For every run of ``span`` grams, the place of the smallest; the first of equal ones."""
     size = len(grams)
+    if size > 1 << PLACE_BITS:
+        raise ValueError(f"{size} grams do not fit into {PLACE_BITS} bits")
+    low = np.uint64(PLACE_BITS)
     place = np.arange(size, dtype=np.uint64)
-    valued = (grams >> np.uint64(24) << np.uint64(24)) | place
+    valued = (grams >> low << low) | place
     blocks = -(-size // span)
     padded = np.full(blocks * span, np.iinfo(np.uint64).max, dtype=np.uint64)
     padded[:size] = valued
@@ -77,11 +83,47 @@ def _anchors(grams: np.ndarray, span: int) -> np.ndarray:
     before = np.minimum.accumulate(rows, axis=1).ravel()
     after = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(after[: size - span + 1], before[span - 1 : size])
-    return (least & np.uint64((1 << 24) - 1)).astype(np.int64)
-
-
-def segments(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
-    """All segments of the texts.
+    return (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+
+
+def _pieces(texts: list[bytes], length: int, piece: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Numbers, starts and bytes of texts, cut so that every window is in one piece; some ``piece`` bytes at once."""
+    numbers, begins, cuts, room = [], [], [], piece
+    for number, text in enumerate(texts):
+        for begin in range(0, max(len(text) - length + 1, 1), piece):
+            cut = text[begin : begin + piece + length - 1]
+            if cuts and len(cut) > room:
+                yield numbers, begins, cuts
+                numbers, begins, cuts, room = [], [], [], piece
+            numbers.append(number)
+            begins.append(begin)
+            cuts.append(cut)
+            room -= len(cut)
+    if cuts:
+        yield numbers, begins, cuts
+
+
+def segments(texts: list[bytes], length: int, piece: int = PIECE_BYTES) -> dict[str, np.ndarray]:
+    """All segments of the texts, as ``_segments`` gives them.
+
+    A long text is cut into pieces that share ``length - 1`` bytes. A window's
+    anchor and key follow from its own bytes, so a cut parts a segment in two
+    of one key and changes nothing else.
+    """
+    parts = []
+    for numbers, begins, cuts in _pieces(texts, length, piece):
+        found = _segments(cuts, length)
+        found["first"] = found["first"] + np.array(begins, dtype=np.int64)[found["text"]]
+        found["text"] = np.array(numbers, dtype=np.int64)[found["text"]]
+        parts.append(found)
+    if len(parts) == 1:
+        return parts[0]
+    parts = parts or [_segments([], length)]
+    return {name: np.concatenate([part[name] for part in parts]) for name in parts[0]}
+
+
+def _segments(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
+    """All segments of texts of no more than ``2**PLACE_BITS`` bytes together.
 
     ``text`` number, ``first`` window's start in it, ``windows``, the first
     window's ``offset`` before the anchor, ``key``, and ``low``/``high``, the
