@@ -1,15 +1,20 @@
 """Interleave sources so that every prefix follows the target weights (Pfair scheduling).
 
-Time is cut into slots, one block each. Block ``k`` of a source with weight ``w``
-is released at slot ``floor(k / w)`` and due by ``ceil((k + 1) / w)``; in every
-slot the released block with the earliest deadline goes. On one resource this
-meets all deadlines, so after any number of slots each source is less than one
-block away from its share. Weights are whole slots of a period; the period's
-schedule is worked out once and repeated.
+Time is cut into slots, one block each, and slots into periods. At the end of
+every period each source has been given its share of all slots so far, rounded
+by largest remainder: less than one block away, however many periods have
+passed. Within a period, block ``k`` of a source with quota ``q`` of ``p`` slots
+is released at slot ``floor(k * p / q)`` and due by ``ceil((k + 1) * p / q)``; in
+every slot the released block with the earliest deadline goes. On one resource
+this meets all deadlines, so within a period each source is less than one block
+away from the line between the period's ends, and less than two from its share.
+Periods with equal quotas have one schedule, worked out once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +23,10 @@ from pulseledger.session import materialise
 
 BLOCK_ROWS = 8
 PERIOD = 1000
-# A period has at least so many slots per source, so that small weights keep their proportions.
+# A period has at least so many slots per source, and one for the smallest weight.
 SLOTS_PER_SOURCE = 10
+# Slots whose order is appended at once.
+CHUNK = 256
 TEMPERATURE = 0.5
 
 
@@ -30,38 +37,57 @@ def tempered_weights(df: DataFrame, source: str = "source", temperature: float =
     )
 
 
-def quotas(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """One row: ``period`` and ``lanes``, an array of ``source, quota``, quotas summing to the period.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, not wherever it occurs."""
+    return F.transform(F.array(value), body)[0]
+
 
-    Every source with a positive weight gets at least one slot; the rest goes by
-    largest remainder, ties by source name. One row per source meets here.
+def _shares(weights: DataFrame, period: int) -> DataFrame:
+    """One row: ``period`` and ``lanes``, an array of ``source, share``. One row per source meets here.
+
+    The period has a slot for the smallest share, so no source's total ever falls.
     """
     positive = weights.where("weight > 0").groupBy("source").agg(F.sum("weight").alias("weight"))
     gathered = positive.agg(
         F.sort_array(F.collect_list(F.struct("source", "weight"))).alias("lanes"),
         F.sum("weight").alias("total"),
-    ).select("lanes", "total", F.greatest(F.lit(period), F.size("lanes") * SLOTS_PER_SOURCE).alias("period"))
-    # One slot each first; the others in proportion.
-    spare = F.col("period") - F.size("lanes")
-    exact = F.transform("lanes", lambda lane: lane["weight"] / F.col("total") * spare)
-    shared = gathered.withColumn("exact", exact)
-    left = spare - F.aggregate(F.transform("exact", lambda x: F.floor(x).cast("int")), F.lit(0), lambda a, x: a + x)
-    order = F.array_sort(
-        F.transform("exact", lambda x, n: F.struct((F.floor(x).cast("double") - x).alias("less"), n.alias("n")))
+        F.min("weight").alias("least"),
     )
-    shared = shared.withColumn("left", left).withColumn("winners", F.slice(F.transform(order, lambda o: o["n"]), 1, F.greatest("left", F.lit(1))))
-    lanes = F.transform(
-        "lanes",
-        lambda lane, n: F.struct(
-            lane["source"].alias("source"),
-            (
-                1
-                + F.floor(F.element_at("exact", n + 1)).cast("int")
-                + F.when((F.col("left") > 0) & F.array_contains("winners", n), 1).otherwise(0)
-            ).alias("quota"),
-        ),
+    slots = F.greatest(F.lit(period), F.size("lanes") * SLOTS_PER_SOURCE, F.ceil(F.col("total") / F.col("least")))
+    return gathered.select(
+        slots.cast("bigint").alias("period"),
+        F.transform(
+            "lanes", lambda lane: F.struct(lane["source"].alias("source"), (lane["weight"] / F.col("total")).alias("share"))
+        ).alias("lanes"),
     )
-    return shared.select("period", lanes.alias("lanes"))
+
+
+def _given(periods: Column) -> Column:
+    """What each lane has been given after so many periods: its share of the slots, by largest remainder."""
+    slots = F.col("period") * periods
+
+    def rounded(exact: Column) -> Column:
+        left = slots - F.aggregate(exact, F.lit(0).cast("bigint"), lambda total, x: total + F.floor(x))
+        order = F.array_sort(F.transform(exact, lambda x, n: F.struct((F.floor(x) - x).alias("less"), n.alias("n"))))
+        first = F.slice(F.transform(order, lambda o: o["n"]), 1, F.greatest(left, F.lit(0)).cast("int"))
+        return _let(
+            first,
+            lambda winners: F.transform(exact, lambda x, n: F.floor(x) + F.when(F.array_contains(winners, n), 1).otherwise(0)),
+        )
+
+    return _let(F.transform("lanes", lambda lane: lane["share"] * slots), rounded)
+
+
+def quotas(weights: DataFrame, period: int = PERIOD) -> DataFrame:
+    """One row: ``period`` and ``lanes``, an array of ``source, quota``: the first period's, which they sum to.
+
+    Every source with a positive weight gets at least one slot, since the
+    period is long enough; largest remainder, ties by source name.
+    """
+    lanes = F.zip_with(
+        "lanes", _given(F.lit(1)), lambda lane, quota: F.struct(lane["source"].alias("source"), quota.alias("quota"))
+    )
+    return _shares(weights, period).select("period", lanes.alias("lanes"))
 
 
 def _chosen(done: Column, slot: Column) -> Column:
@@ -78,27 +104,74 @@ def _chosen(done: Column, slot: Column) -> Column:
     return F.coalesce(F.array_min(offers)["n"], F.lit(-1))
 
 
-def period_schedule(lanes: DataFrame) -> DataFrame:
-    """``source, quota, period, turn, slot``: the slots of each source within one period."""
+def _turns(lanes: DataFrame) -> DataFrame:
+    """``lanes`` with one row per slot of a period: lane ``n``, its ``turn`` and ``slot`` within the period."""
 
     def step(state: Column, slot: Column) -> Column:
-        n = _chosen(state["done"], slot)
-        done = F.transform(state["done"], lambda count, at: F.when(at == n, count + 1).otherwise(count))
-        return F.struct(done.alias("done"), F.concat(state["order"], F.array(n)).alias("order"))
+        def serve(n: Column) -> Column:
+            done = F.transform(state["done"], lambda count, at: F.when(at == n, count + 1).otherwise(count))
+            return F.struct(done.alias("done"), F.concat(state["order"], F.array(n)).alias("order"))
+
+        return _let(_chosen(state["done"], slot), serve)
+
+    def chunk(state: Column, begin: Column) -> Column:
+        slots = F.sequence(begin, F.least(begin + CHUNK, F.col("period").cast("bigint")) - 1)
+        start = F.struct(state["done"].alias("done"), F.expr("cast(array() as array<int>)").alias("order"))
+        return _let(
+            F.aggregate(slots, start, step),
+            lambda after: F.struct(
+                after["done"].alias("done"), F.concat(state["orders"], F.array(after["order"])).alias("orders")
+            ),
+        )
 
     start = F.struct(
-        F.transform("lanes", lambda lane: F.lit(0)).alias("done"), F.expr("cast(array() as array<int>)").alias("order")
+        F.transform("lanes", lambda lane: F.lit(0)).alias("done"),
+        F.expr("cast(array() as array<array<int>>)").alias("orders"),
     )
-    slots = F.sequence(F.lit(0).cast("bigint"), F.col("period").cast("bigint") - 1)
-    order = F.aggregate(slots, start, step, lambda state: state["order"])
-    scheduled = lanes.where(F.size("lanes") > 0).select("lanes", "period", order.alias("order"))
-    placed = scheduled.select("period", F.posexplode("lanes").alias("n", "lane"), "order").select(
-        "lane.source",
-        "lane.quota",
-        "period",
+    begins = F.sequence(F.lit(0).cast("bigint"), F.col("period").cast("bigint") - 1, F.lit(CHUNK).cast("bigint"))
+    order = F.aggregate(begins, start, chunk, lambda state: F.flatten(state["orders"]))
+    scheduled = lanes.where(F.size("lanes") > 0).withColumn("order", order)
+    placed = scheduled.select(*lanes.columns, F.posexplode("lanes").alias("n", "lane"), "order").select(
+        *lanes.columns,
+        "n",
         F.expr("transform(filter(transform(order, (x, at) -> struct(x, at)), s -> s.x = n), s -> cast(s.at as bigint))").alias("slots"),
     )
-    return placed.select("source", "quota", "period", F.posexplode("slots").alias("turn", "slot"))
+    return placed.select(*lanes.columns, "n", F.posexplode("slots").alias("turn", "slot"))
+
+
+def period_schedule(lanes: DataFrame) -> DataFrame:
+    """``source, quota, period, turn, slot``: the slots of each source within one period."""
+    lane = F.element_at("lanes", F.col("n") + 1)
+    return _turns(lanes).select(lane["source"].alias("source"), lane["quota"].alias("quota"), "period", "turn", "slot")
+
+
+def schedule(shares: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``__source, __blocks, __block, __slot`` for every block of the sources and the one after.
+
+    ``shares`` as ``_shares`` gives them, ``sizes`` has ``source, __blocks``. One
+    row per period, then one per slot; periods are independent of each other.
+    """
+    tasks = int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lanes = shares.select("period", F.posexplode("lanes").alias("n", "lane")).select(
+        "period", "n", F.col("lane.source").alias("__source"), "lane.share"
+    )
+    held = materialise(sizes.join(lanes, F.col("source").eqNullSafe(F.col("__source"))).drop("source"))
+    # After so many periods every source has been given the block after its last.
+    count = held.agg(F.max(F.ceil((F.col("__blocks") + 2) / (F.col("share") * F.col("period")))).alias("periods"))
+    numbered = shares.crossJoin(count).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("periods") - 1)).alias("k"))
+    steps = materialise(
+        numbered.repartition(tasks, "k")
+        .withColumn("given", _given(F.col("k")))
+        .select("period", "k", "given", F.zip_with(_given(F.col("k") + 1), "given", lambda after, before: after - before).alias("quotas"))
+    )
+    kinds = steps.select("period", "quotas").distinct().repartition(tasks, "quotas")
+    lanes_of = F.transform("quotas", lambda quota: F.struct(quota.alias("quota")))
+    turns = materialise(_turns(kinds.withColumn("lanes", lanes_of)).select("quotas", "n", "turn", F.col("slot").alias("within")))
+    block = F.element_at("given", F.col("n") + 1) + F.col("turn")
+    slots = steps.join(turns, "quotas").select(
+        "n", block.alias("__block"), (F.col("k") * F.col("period") + F.col("within")).alias("__slot")
+    )
+    return slots.join(held, "n").where("__block <= __blocks").select("__source", "__blocks", "__block", "__slot")
 
 
 def mix(
@@ -125,31 +198,16 @@ def mix(
     ordered = numbered_within(
         rows.withColumn("__hash", F.xxhash64("__id")), "source", ["__hash", F.col("__id").asc_nulls_first()]
     ).withColumn("block", F.floor(F.col("nth") / block_rows))
-    # One row per slot of the period; stored, so that Spark knows its size when it plans the joins.
-    schedule = materialise(
-        period_schedule(quotas(weights, period)).select(
-            F.col("source").alias("__source"), "quota", "period", "turn", F.col("slot").alias("__slot")
-        )
-    )
-    lanes = schedule.select("__source", "quota", "period").distinct()
     sizes = ordered.groupBy("source").agg((F.max("block") + 1).alias("__blocks"))
-    same = F.col("source").eqNullSafe(F.col("__source"))
+    # Stored, so that Spark knows its size when it plans the joins, and weights are summed once.
+    slots = materialise(schedule(materialise(_shares(weights, period)), sizes))
     # The slot in which a source would need the block after its last.
-    ends = (
-        sizes.join(lanes, same)
-        .join(schedule.select(F.col("__source").alias("__again"), "turn", "__slot"), F.col("source").eqNullSafe(F.col("__again")) & (F.pmod("__blocks", "quota") == F.col("turn")))
-        .agg(F.min(F.floor(F.col("__blocks") / F.col("quota")) * F.col("period") + F.col("__slot")).alias("__horizon"))
-    )
-    turned = ordered.join(lanes, same, "left")
-    turn = F.pmod("block", "quota")
-    slots = schedule.select(F.col("__source").alias("__again"), F.col("turn").alias("__turn"), "__slot")
-    placed = turned.join(
-        slots, F.col("source").eqNullSafe(F.col("__again")) & (turn == F.col("__turn")), "left"
-    )
-    slot = F.floor(F.col("block") / F.col("quota")) * F.col("period") + F.col("__slot")
+    ends = slots.where("__block = __blocks").agg(F.min("__slot").alias("__horizon"))
+    same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block"))
+    placed = ordered.join(slots.where("__block < __blocks"), same, "left")
     late = F.lit(1 << 62) + F.col("nth")
     return (
-        placed.withColumn("slot", slot)
+        placed.withColumn("slot", F.col("__slot"))
         .crossJoin(ends)
         .select(
             F.col("__id").alias(id_column),

@@ -69,3 +69,36 @@ def test_few_sources(spark, count):
     rows = [("only", 2.0)][:count]
     lanes = mixing.quotas(spark.createDataFrame(rows, "source string, weight double"), 10)
     assert mixing.period_schedule(lanes).count() == 10 * count
+
+
+@pytest.mark.parametrize("weights", [
+    [1.0] * 22,
+    [3000.0**0.5] + [float(n) ** 0.5 for n in range(1, 20)],
+    [0.003, 1.0, 2.0, 0.7],
+])
+def test_prefixes_follow_the_weights_over_many_periods(spark, weights):
+    frame = spark.createDataFrame([(f"s{n:02}", w) for n, w in enumerate(weights)], "source string, weight double")
+    shares = mixing._shares(frame, 100)
+    period = shares.collect()[0].period
+    periods = 15
+    sizes = frame.selectExpr("source", f"cast(floor(weight / {sum(weights)} * {period * periods}) + 2 as bigint) AS __blocks")
+    found = sorted((r.__getitem__("__slot"), r.__getitem__("__source")) for r in mixing.schedule(shares, sizes).collect())
+    found = [x for x in found if x[0] < period * periods]
+    assert [slot for slot, _ in found] == list(range(period * periods))
+    share = {f"s{n:02}": Fraction(w) / sum(map(Fraction, weights)) for n, w in enumerate(weights)}
+    served = dict.fromkeys(share, 0)
+    for slot, source in found:
+        served[source] += 1
+        within = 1 if (slot + 1) % period == 0 else 2
+        assert all(abs(served[name] - part * (slot + 1)) < within for name, part in share.items())
+
+
+def test_blocks_keep_their_order_over_periods(spark):
+    rows = [(n, "ab"[n % 3 > 1]) for n in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = spark.createDataFrame([("a", 2.0**0.5), ("b", 1.0)], "source string, weight double")
+    found = mixing.mix(df, weights, block_rows=1, period=20).collect()
+    for source in "ab":
+        slots = [r.slot for r in sorted(found, key=lambda r: r.block) if r.source == source]
+        share = (2.0**0.5 if source == "a" else 1.0) / (1 + 2.0**0.5)
+        assert slots == sorted(set(slots)) and all(abs(n + 1 - share * (slot + 1)) < 2 for n, slot in enumerate(slots))
