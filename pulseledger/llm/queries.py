@@ -19,6 +19,7 @@ from pulseledger.llm import (
     secret_scan,
     substring_dedup,
     token_counts,
+    vector_search,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +85,11 @@ def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.repeated_paragraphs(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.manifest(_table(spark, sf_dir, "documents"))
