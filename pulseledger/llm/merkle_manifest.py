@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pulseledger.llm.common import numbered_within
 from pulseledger.session import materialise
 
-STRIDE = 8
+# Neighbouring nodes that meet in one row: 2 ** STRIDE.
+STRIDE = 10
 # The columns of a leaf, in the order in which they are hashed.
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 TAMPER_EVERY = 7
@@ -82,7 +83,8 @@ def _one_stride(nodes: DataFrame, stride: int) -> DataFrame:
             kinds |= {"path": pa.list_(pa.binary()), "start": pa.binary(), "up": pa.bool_()}
             inner = batch.column("members").values.type
             kinds |= {name: inner.field(name).type for name in carried}
-            for row in batch.to_pylist():
+            for n in range(batch.num_rows):
+                (row,) = batch.slice(n, 1).to_pylist()
                 tree, block, width, members = row["tree"], row["block"], row["width"], row["members"]
                 whole = width > 1 << stride
                 levels = stride if whole else (width - 1).bit_length()
@@ -90,7 +92,7 @@ def _one_stride(nodes: DataFrame, stride: int) -> DataFrame:
                 found = [m | {"tree": tree, "width": width, "path": path, "up": False} for m, path in zip(members, paths)]
                 over = {"tree": tree, "place": block, "digest": above, "up": True}
                 found.append(dict.fromkeys(carried) | over | {"path": None, "start": None, "width": -(-width >> stride)})
-                yield pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], kinds[n]) for n in names], names)
+                yield pa.RecordBatch.from_arrays([pa.array([f[name] for f in found], kinds[name]) for name in names], names)
 
     return materialise(blocks.mapInArrow(run, rows))
 
