@@ -1009,3 +1009,12 @@ _add_cleansing()
 _add_keys()
 _add_pipeline()
 _add_files()
+
+
+# Stored summaries give what the readings and notes themselves give.
+ORACLE |= {
+    "billing_fold_stored": ORACLE["billing_fold"],
+    "coach_queue_stored": ORACLE["coach_queue"],
+    "patient_search_stored": ORACLE["patient_search_all"],
+    "study_extract_stored": ORACLE["study_extract"],
+}

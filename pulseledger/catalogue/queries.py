@@ -19,10 +19,10 @@ from pulseledger.catalogue.domain import (
 from pulseledger.functions import cleanse
 from pulseledger.functions.dates import last_billing_cycle, moment
 from pulseledger.operators import activity, codes, entities, keys, normalize, quality, reports
-from pulseledger.plans import billing, load
-from pulseledger.schemas import MEDICAL_CODES
+from pulseledger.plans import billing, dashboards, load, month
+from pulseledger.schemas import CODE_TABLES, MEDICAL_CODES, MONTH_OF, TARGETS
 from pulseledger.session import materialise, shared_folder
-from pulseledger.sources import readers, writers
+from pulseledger.sources import readers, versions, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,16 @@ CODE_COLUMNS = MEDICAL_CODES
 ANY_CASE = "UTF8_LCASE_RTRIM"
 FIRST_RUN = "2024-01-20"
 OPEN_REPORT_START = "2024-01-15"
+# Stored before the readings and notes are added.
+STORED_TABLES = (
+    "user",
+    "patient",
+    "patient_address",
+    "patient_insurance",
+    "medical_necessity",
+    "patient_status",
+    "device",
+)
 SCAN_START, SCAN_END = "2024-01-05", "2024-01-25"
 
 
@@ -629,22 +639,26 @@ def append_twice(d: Domain) -> DataFrame:
 
 @_query
 def reset_then_append(d: Domain) -> DataFrame:
-    """Only what is written after a reset is left."""
+    """A reset and what is written after it, as one change of a stored table."""
     root = _landing(d)
-    writers.write_table(d["patient_note"], root, "patient_note")
-    writers.reset_billing_tables(d.spark, root)
-    writers.write_table(_until(d, FIRST_RUN)["patient_note"], root, "patient_note")
+    with versions.change(d.spark, root) as new:
+        new.append(d["patient_note"], "patient_note")
+    with versions.change(d.spark, root) as new:
+        new.reset(TARGETS)
+        new.append(_until(d, FIRST_RUN)["patient_note"], "patient_note")
     return readers.read_stored(d.spark, root, "patient_note", since=SCAN_START)
 
 
 @_query
 def replaced_codes(d: Domain) -> DataFrame:
-    """A code table that is reset, then filled by the ids of a run."""
+    """A code table that is reset and filled anew by the ids of a run, as one change."""
     root, code_type = _landing(d), d["medical_code_type"]
     rows, _ = codes.code_tables(billing.run_codes(d, AS_OF), code_type)
-    writers.write_table(rows, root, "medical_code", "replace")
-    writers.reset_code_tables(d.spark, root)
-    writers.write_table(rows.where("med_code_type_id = 1"), root, "medical_code")
+    with versions.change(d.spark, root) as new:
+        new.append(rows, "medical_code")
+    with versions.change(d.spark, root) as new:
+        new.reset(CODE_TABLES)
+        new.append(rows.where("med_code_type_id = 1"), "medical_code")
     return readers.read_stored(d.spark, root, "medical_code").drop("med_code_id")
 
 
@@ -662,3 +676,45 @@ def snapshots(d: Domain) -> DataFrame:
     path = _landing(d)
     writers.write_snapshots({"patient": split_patient(d)}, path)
     return readers.read_table(d.spark, f"{path}/snap_patient", ["date_of_birth"])
+
+
+# --- over stored summaries ---------------------------------------------------------------
+
+
+def _in_two_loads(d: Domain) -> str:
+    """The tables stored by two loads, the second adding its readings and notes to the summaries."""
+    root, facts = _landing(d), (*month.READING_TABLES, "patient_note")
+    with versions.change(d.spark, root) as new:
+        for name in STORED_TABLES:
+            new.append(d[name], name)
+        for name in facts:
+            new.append(_until(d, FIRST_RUN)[name], name)
+        month.add_activity(new)
+    with versions.change(d.spark, root) as new:
+        for name in facts:
+            early = F.coalesce(F.col(MONTH_OF[name]) < moment(FIRST_RUN), F.lit(False))
+            new.append(d[name].where(~early), name)
+        month.add_activity(new)
+    return root
+
+
+@_query
+def billing_fold_stored(d: Domain) -> DataFrame:
+    """The fold over stored summaries; no reading or note is read."""
+    tables = month.summed_tables(d.spark, _in_two_loads(d), d["note_type"])
+    return _code_rows(billing.run_codes(tables, AS_OF).codes)
+
+
+@_query
+def coach_queue_stored(d: Domain) -> DataFrame:
+    return dashboards.coach_queue(d.spark, _in_two_loads(d), COACH, DASHBOARD_TIME)
+
+
+@_query
+def patient_search_stored(d: Domain) -> DataFrame:
+    return dashboards.patient_search(d.spark, _in_two_loads(d), DASHBOARD_TIME)
+
+
+@_query
+def study_extract_stored(d: Domain) -> DataFrame:
+    return dashboards.study_extract(d.spark, _in_two_loads(d), f"{AS_OF} 12:00:00")

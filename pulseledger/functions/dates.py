@@ -41,6 +41,12 @@ def month_start(as_of: Moment) -> Column:
     return F.trunc(day(as_of), "MM")
 
 
+def month_start_of(as_of: Moment) -> str:
+    """The same outside a query."""
+    text = as_of if isinstance(as_of, str) else as_of.isoformat()
+    return f"{text[:7]}-01"
+
+
 def last_billing_cycle(today: Column) -> tuple[Column, Column]:
     """First and last day of the month before ``today``."""
     last_month = F.add_months(today, -1)

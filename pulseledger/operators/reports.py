@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseledger.functions.dates import (
@@ -13,7 +15,7 @@ from pulseledger.functions.dates import (
     month_start,
     whole_minutes,
 )
-from pulseledger.operators import activity
+from pulseledger.operators import activity, summaries
 from pulseledger.operators.joins import comparable
 from pulseledger.schemas import MEDICAL_CODES
 
@@ -123,15 +125,46 @@ def month_minutes(patient: DataFrame, notes: DataFrame, as_of: Moment) -> DataFr
     )
 
 
+@dataclass(frozen=True)
+class Readings:
+    """Glucose and blood-pressure readings, as the dashboards read them."""
+
+    glucose: DataFrame
+    pressure: DataFrame
+
+    def of(self, owned: DataFrame) -> Readings:
+        """Those of the given devices."""
+        return Readings(*(part.join(owned, "device_id", "left_semi") for part in (self.glucose, self.pressure)))
+
+    def month_to_date(self, as_of: Moment) -> DataFrame:
+        """Per device: reading days this month, and the latest reading of all time."""
+        in_month = _month_to_date(F.col("received_datetime"), as_of)
+        return activity.device_month(self.glucose, self.pressure, in_month)
+
+
+@dataclass(frozen=True)
+class SummedReadings:
+    """The same from the stored summaries; no reading is read."""
+
+    days: DataFrame
+    last: DataFrame
+
+    def of(self, owned: DataFrame) -> SummedReadings:
+        return SummedReadings(*(part.join(owned, "device_id", "left_semi") for part in (self.days, self.last)))
+
+    def month_to_date(self, as_of: Moment) -> DataFrame:
+        days = summaries.window_days(self.days, month_start(as_of), moment(as_of))
+        return self.last.join(days, "device_id", "left")
+
+
 def month_readings(
-    patient: DataFrame, device: DataFrame, glucose: DataFrame, pressure: DataFrame, as_of: Moment
+    patient: DataFrame, device: DataFrame, readings: Readings | SummedReadings, as_of: Moment
 ) -> DataFrame:
     """Reading days this month and latest reading, per patient and device.
 
     A patient without a device has one row with no days.
     """
-    in_month = _month_to_date(F.col("received_datetime"), as_of)
-    per_device = activity.device_month(glucose, pressure, in_month)
+    per_device = readings.month_to_date(as_of)
     owned = patient.select("patient_id").join(
         device.select("patient_id", "device_id"), "patient_id", "left"
     )
@@ -148,21 +181,15 @@ def owned_devices(device: DataFrame) -> DataFrame:
 
 
 def _narrowed(
-    patient: DataFrame, notes: DataFrame, device: DataFrame, glucose: DataFrame, pressure: DataFrame
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    patient: DataFrame, notes: DataFrame, device: DataFrame, readings: Readings | SummedReadings
+) -> tuple[DataFrame, DataFrame, Readings | SummedReadings]:
     """Notes, devices and readings cut to those of a selection of patients.
 
     Plain semi-joins: Spark sends the keys along or shuffles by their measured size.
     """
     chosen = patient.select("patient_id")
     device = device.join(chosen, "patient_id", "left_semi")
-    owned = device.select("device_id")
-    return (
-        notes.join(chosen, "patient_id", "left_semi"),
-        device,
-        glucose.join(owned, "device_id", "left_semi"),
-        pressure.join(owned, "device_id", "left_semi"),
-    )
+    return notes.join(chosen, "patient_id", "left_semi"), device, readings.of(device.select("device_id"))
 
 
 def _patient_board(
@@ -171,16 +198,15 @@ def _patient_board(
     address: DataFrame,
     notes: DataFrame,
     device: DataFrame,
-    glucose: DataFrame,
-    pressure: DataFrame,
+    readings: Readings | SummedReadings,
     as_of: Moment,
     narrowed: bool,
     distinct: bool,
 ) -> DataFrame:
     if narrowed:
-        notes, device, glucose, pressure = _narrowed(patient, notes, device, glucose, pressure)
+        notes, device, readings = _narrowed(patient, notes, device, readings)
     minutes = month_minutes(patient, notes, as_of)
-    readings = month_readings(patient, device, glucose, pressure, as_of)
+    readings = month_readings(patient, device, readings, as_of)
     board = (
         patient.join(status, "patient_id")
         .join(address, "patient_id")
@@ -201,15 +227,14 @@ def _patient_board(
     return board.distinct() if distinct else board
 
 
-def coach_queue(
+def coach_board(
     patient: DataFrame,
     user: DataFrame,
     status: DataFrame,
     address: DataFrame,
     notes: DataFrame,
     device: DataFrame,
-    glucose: DataFrame,
-    pressure: DataFrame,
+    readings: Readings | SummedReadings,
     display_name: str,
     as_of: Moment,
     distinct: bool = True,
@@ -219,19 +244,37 @@ def coach_queue(
     named = comparable(F.col("display_name"), collation) == display_name
     coach = user.where(named).select("user_id")
     coached = patient.join(coach, "user_id", "left_semi")
-    return _patient_board(
-        coached, status, address, notes, device, glucose, pressure, as_of, True, distinct
-    )
+    return _patient_board(coached, status, address, notes, device, readings, as_of, True, distinct)
 
 
-def patient_search(
+def coach_queue(
     patient: DataFrame,
+    user: DataFrame,
     status: DataFrame,
     address: DataFrame,
     notes: DataFrame,
     device: DataFrame,
     glucose: DataFrame,
     pressure: DataFrame,
+    display_name: str,
+    as_of: Moment,
+    distinct: bool = True,
+    collation: str | None = None,
+) -> DataFrame:
+    """``coach_board`` over the readings themselves."""
+    readings = Readings(glucose, pressure)
+    return coach_board(
+        patient, user, status, address, notes, device, readings, display_name, as_of, distinct, collation
+    )
+
+
+def search_board(
+    patient: DataFrame,
+    status: DataFrame,
+    address: DataFrame,
+    notes: DataFrame,
+    device: DataFrame,
+    readings: Readings | SummedReadings,
     as_of: Moment,
     first_name: str | None = None,
     last_name: str | None = None,
@@ -253,9 +296,23 @@ def patient_search(
     for name, value in given.items():
         text = comparable(F.col(name), collation) if isinstance(value, str) else F.col(name)
         patient = patient.where(text == value)
-    return _patient_board(
-        patient, status, address, notes, device, glucose, pressure, as_of, bool(given), True
-    )
+    return _patient_board(patient, status, address, notes, device, readings, as_of, bool(given), True)
+
+
+def patient_search(
+    patient: DataFrame,
+    status: DataFrame,
+    address: DataFrame,
+    notes: DataFrame,
+    device: DataFrame,
+    glucose: DataFrame,
+    pressure: DataFrame,
+    as_of: Moment,
+    **wanted,
+) -> DataFrame:
+    """``search_board`` over the readings themselves."""
+    readings = Readings(glucose, pressure)
+    return search_board(patient, status, address, notes, device, readings, as_of, **wanted)
 
 
 def patient_overview(
@@ -273,11 +330,12 @@ def patient_overview(
 
     Patients without a device are left out.
     """
+    in_month = _month_to_date(F.col("received_datetime"), as_of)
+    readings = Readings(glucose.where(in_month), pressure.where(in_month))
     if patient_id is not None:
         patient = patient.where(F.col("patient_id") == patient_id)
-        notes, device, glucose, pressure = _narrowed(patient, notes, device, glucose, pressure)
-    in_month = _month_to_date(F.col("received_datetime"), as_of)
-    readings = month_readings(patient, device, glucose.where(in_month), pressure.where(in_month), as_of)
+        notes, device, readings = _narrowed(patient, notes, device, readings)
+    readings = month_readings(patient, device, readings, as_of)
     return (
         patient.join(status, "patient_id")
         .join(address, "patient_id")
@@ -316,16 +374,17 @@ def study_reading_days(
     days = readings.groupBy(
         "device_id", "kind", F.to_date("received_datetime").alias("reading_day")
     ).agg((F.max("received_datetime") >= since).alias("recent"))
-    # At most one row per kind and calendar day in a device's window.
-    of_device = Window.partitionBy("device_id")
-
-    def any_recent(kind: str) -> Column:
-        return F.max(F.when(F.col("kind") == kind, F.col("recent"))).over(of_device)
-
-    other = F.when(F.col("kind") == "glucose", any_recent("pressure")).otherwise(any_recent("glucose"))
-    counted = days.withColumn("other_recent", other).where(
-        F.col("reading_day").isNotNull()
-        & (F.col("recent") | F.coalesce("other_recent", F.lit(False)))
+    # A device without any recent reading has no day that counts.
+    glucose_recent = F.bool_or(F.when(F.col("kind") == "glucose", F.col("recent")))
+    pressure_recent = F.bool_or(F.when(F.col("kind") == "pressure", F.col("recent")))
+    devices = (
+        days.groupBy("device_id")
+        .agg(glucose_recent.alias("glucose_recent"), pressure_recent.alias("pressure_recent"))
+        .where("glucose_recent or pressure_recent")
+    )
+    other = F.when(F.col("kind") == "glucose", F.col("pressure_recent")).otherwise(F.col("glucose_recent"))
+    counted = days.join(devices, "device_id").where(
+        F.col("reading_day").isNotNull() & (F.col("recent") | F.coalesce(other, F.lit(False)))
     )
     per_day = (
         counted.join(device.select("device_id", "patient_id"), "device_id")

@@ -127,11 +127,27 @@ TARGETS: dict[str, str] = {
     "medical_code_device": "med_code_id bigint, device_id bigint",
 }
 
+# Summaries of the readings and notes, added to by every load. A device and day (a patient, type
+# and day) may have one row per load; ``device_last_reading`` has one row per device.
+SUMMARIES: dict[str, str] = {
+    "reading_day": (
+        "device_id bigint, kind string, reading_day date, first_reading timestamp_ntz, "
+        "last_reading timestamp_ntz"
+    ),
+    "device_last_reading": "device_id bigint, last_reading_date timestamp_ntz",
+    "talk_day": (
+        "patient_id bigint, note_type_id bigint, note_day date, call_seconds bigint, "
+        "last_note timestamp_ntz"
+    ),
+}
+
 # Tables stored by month, and the column the month is of (their readers filter on it).
 MONTH_OF: dict[str, str] = {
     "glucose_reading": "received_datetime",
     "blood_pressure_reading": "received_datetime",
     "patient_note": "note_datetime",
+    "reading_day": "reading_day",
+    "talk_day": "note_day",
 }
 
 CODE_TABLES: tuple[str, ...] = ("medical_code_device", "medical_code")
@@ -148,8 +164,13 @@ def target_columns(table: str) -> dict[str, str]:
     return dict(column.split(" ") for column in TARGETS[table].split(", "))
 
 
+def stored_columns(table: str) -> str:
+    """Columns of a target or summary table."""
+    return TARGETS[table] if table in TARGETS else SUMMARIES[table]
+
+
 def target_schema(table: str) -> StructType:
-    return StructType.fromDDL(TARGETS[table])
+    return StructType.fromDDL(stored_columns(table))
 
 
 def empty_frame(spark: SparkSession, ddl: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -64,10 +64,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.reset(token)
-        conf = spark._jsc.hadoopConfiguration()
-        for name in stored:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        delete_folders(spark, stored)
+
+
+def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    conf = spark._jsc.hadoopConfiguration()
+    for name in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseledger.functions.dates import Moment, between, moment
+from pulseledger.functions.dates import Moment, between
 from pulseledger.functions.vocabulary import CSV_NULLS, VENDORS_SUPPLIED
 from pulseledger.operators.normalize import parsed_timestamp
-from pulseledger.schemas import MONTH_OF, PATIENT_EXPORT_COLUMNS, SOURCES, TARGETS
+from pulseledger.schemas import PATIENT_EXPORT_COLUMNS, SOURCES
+from pulseledger.sources import versions
 
 
 def read_patient_export(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -63,20 +64,14 @@ def read_table(
 def read_stored(
     spark: SparkSession, root: str, table: str, since: Moment | None = None
 ) -> DataFrame:
-    """A target table under its declared schema.
+    """A target or summary table under its declared schema.
 
-    For the tables stored by month, ``since`` reads only the months from then on
+    Under a root whose tables are versioned (see ``versions``) that is the
+    current version. For the tables stored by month, ``since`` reads only the months from then on
     (and within them only the rows from then on).
     """
-    column = MONTH_OF.get(table)
-    columns = TARGETS[table] if column is None else f"{TARGETS[table]}, month string"
-    rows = spark.read.schema(columns).parquet(f"{root}/{table}")
-    if column is None:
-        return rows
-    if since is not None:
-        first = F.date_format(moment(since), "yyyy-MM")
-        rows = rows.where((F.col("month") >= first) & (F.col(column) >= moment(since)))
-    return rows.drop("month")
+    folders = versions.current_folders(spark, root).get(table, [f"{root}/{table}"])
+    return versions.read_folders(spark, folders, table, since)
 
 
 def with_timestamps(df: DataFrame, date_columns: Iterable[str]) -> DataFrame:

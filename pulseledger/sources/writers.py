@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseledger.schemas import CODE_TABLES, MONTH_OF, TARGETS, conform, empty_frame
+from pulseledger.schemas import CODE_TABLES, MONTH_OF, SUMMARIES, TARGETS, conform, empty_frame
 
 # What to do when the table is already there.
 WRITE_MODES: dict[str, str] = {
@@ -26,14 +26,19 @@ def write_table(df: DataFrame, root: str, table: str, if_exists: str = "append")
     rebalance evens out file sizes and splits a month that dominates. Overwriting
     replaces all months, whatever the session says about dynamic partitions.
     """
-    rows = conform(df, table) if table in TARGETS else df
+    write_rows(df, table, f"{root}/{table}", WRITE_MODES[if_exists])
+
+
+def write_rows(df: DataFrame, table: str, path: str, mode: str) -> None:
+    """The rows of a table in a folder, in its declared columns and by month."""
+    rows = conform(df, table) if table in TARGETS or table in SUMMARIES else df
     column = MONTH_OF.get(table)
     if column is not None:
         rows = rows.withColumn("month", F.date_format(column, "yyyy-MM")).hint("rebalance", "month")
-    writer = rows.write.mode(WRITE_MODES[if_exists]).option("partitionOverwriteMode", "static")
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "static")
     if column is not None:
         writer = writer.partitionBy("month")
-    writer.parquet(f"{root}/{table}")
+    writer.parquet(path)
 
 
 def write_snapshots(frames: Mapping[str, DataFrame], root: str) -> None:
