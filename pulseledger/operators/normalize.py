@@ -17,22 +17,29 @@ def _raw(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-_US_DATE = r"^\s*(\d{1,2}/\d{1,2}/\d{4})(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([AaPp][Mm])?)?\s*$"
+_US_DATE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([AaPp][Mm])?)?\s*$"
 
 
 def parsed_timestamp(col: Column) -> Column:
-    """A date cell in US or ISO notation, with or without a time; anything else is null."""
+    """A date cell in US or ISO notation, with or without a time; anything else is null.
 
-    def part(group: int) -> Column:
-        return F.coalesce(F.regexp_extract(col, _US_DATE, group).try_cast("int"), F.lit(0))
+    The cell is matched once; its parts are then taken from one split text.
+    """
+
+    def us(parts: Column) -> Column:
+        def part(place: int) -> Column:
+            return F.coalesce(F.get(parts, F.lit(place)).try_cast("int"), F.lit(0))
+
+        half = F.upper(F.get(parts, F.lit(6)))
+        hour = F.when(half == "", part(3)).otherwise(part(3) % 12 + F.when(half == "PM", 12).otherwise(0))
+        stamp = F.try_make_timestamp_ntz(part(2), part(0), part(1), hour, part(4), part(5).cast("decimal(16,6)"))
+        return F.when((part(2) > 0) & (hour < 24) & (part(4) < 60) & (part(5) < 60), stamp)
 
-    half = F.upper(F.regexp_extract(col, _US_DATE, 5))
-    hour = F.when(half == "", part(2)).otherwise(part(2) % 12 + F.when(half == "PM", 12).otherwise(0))
-    day = F.try_to_date(F.regexp_extract(col, _US_DATE, 1), "M/d/yyyy")
-    time = F.make_dt_interval(F.lit(0), hour, part(3), part(4).cast("decimal(18,6)"))
-    us = F.when((hour < 24) & (part(3) < 60) & (part(4) < 60), day.cast("timestamp_ntz") + time)
+    # The one-element array binds the parts, so that they are found once.
+    dated = F.when(col.rlike(_US_DATE), F.split(F.regexp_replace(col, _US_DATE, "$1|$2|$3|$4|$5|$6|$7"), "[|]"))
+    stamp = F.element_at(F.transform(F.array(dated), us), 1)
     # A bare year is not a date.
-    return F.coalesce(us, F.when(F.contains(col, F.lit("-")), col.try_cast("timestamp_ntz")))
+    return F.coalesce(stamp, F.when(F.contains(col, F.lit("-")), col.try_cast("timestamp_ntz")))
 
 
 def normalize_users(directory: DataFrame) -> DataFrame:

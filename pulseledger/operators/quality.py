@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseledger.operators.joins import null_safe_join
+from pulseledger.session import materialise
 
 # Longest text each target column takes.
 MAX_LENGTHS: dict[str, int] = {
@@ -49,9 +50,11 @@ def _computed_once(df: DataFrame) -> DataFrame:
 def rejects(cleansed: DataFrame) -> DataFrame:
     """One row per patient and broken expectation, with ``error_type`` in front.
 
-    Duplicates are found from grouped counts joined back, so a name shared by
-    very many rows is never gathered in one task.
+    The cleansed rows are stored first, so that they are computed once for the
+    counts and the checks. Duplicates are found from grouped counts joined back,
+    so a name shared by very many rows is never gathered in one task.
     """
+    cleansed = materialise(cleansed)
     identity = ("first_name", "last_name", "date_of_birth")
     repeated = (
         cleansed.groupBy(*identity)
