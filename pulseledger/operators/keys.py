@@ -7,13 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseledger.operators.joins import comparable, null_safe_join
+from pulseledger.operators.joins import comparable, null_safe_join, spread_join
 from pulseledger.session import materialise
 
-# Spread of one patient's readings or notes while they are matched to keys.
-FACT_SALT = 8
-# Spread of the rows of one name while its id is looked up.
-LOOKUP_SALT = 64
+# A look-up of up to so many bytes is sent to every task; a larger one is shuffled.
+SMALL_LOOKUP = 8 << 20
 
 
 def add_id_column(
@@ -27,6 +25,17 @@ def add_id_column(
     return null_safe_join(df, ids, key, salt=salt, spread=spread).drop(key)
 
 
+def add_id_to_facts(facts: DataFrame, ids: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:
+    """``add_id_column`` for readings and notes, of which one key may hold most rows.
+
+    Their keys are counted first; the rows of a heavy one are dealt out over as
+    many tasks as its share asks for.
+    """
+    found = ids.select(*(F.col(f"`{name}`").alias("__key" if name == key else name) for name in ids.columns))
+    places = [F.col(name) for name in spread]
+    return spread_join(facts, found, F.col(key), "__key", "inner", True, places).drop("__key", key)
+
+
 def patient_keys(patient: DataFrame) -> DataFrame:
     return patient.select("patient_id", "sharepoint_id")
 
@@ -37,9 +46,7 @@ def resolve_to_patient(df: DataFrame, patient: DataFrame) -> DataFrame:
 
 
 def resolve_notes(notes: DataFrame, patient: DataFrame) -> DataFrame:
-    return add_id_column(
-        notes, patient_keys(patient), "sharepoint_id", FACT_SALT, ["note_datetime"]
-    )
+    return add_id_to_facts(notes, patient_keys(patient), "sharepoint_id", ["note_datetime"])
 
 
 def resolve_devices(devices: DataFrame, patient: DataFrame, vendor: DataFrame) -> DataFrame:
@@ -55,7 +62,7 @@ def resolve_readings(readings: DataFrame, patient: DataFrame, device: DataFrame)
     beside the readings), so the readings themselves are shuffled once.
     """
     owned = add_id_column(device.select("device_id", "patient_id"), patient_keys(patient), "patient_id")
-    return add_id_column(readings, owned, "sharepoint_id", FACT_SALT, ["received_datetime"])
+    return add_id_to_facts(readings, owned, "sharepoint_id", ["received_datetime"])
 
 
 def lookup_id(
@@ -65,28 +72,32 @@ def lookup_id(
     id_column: str,
     lookup_name: str = "name",
     collation: str | None = None,
-    salt: int = LOOKUP_SALT,
+    small: int = SMALL_LOOKUP,
 ) -> DataFrame:
     """Fill ``id_column`` from the lookup row whose name equals ``name_column``.
 
     A name that is not listed gives null, a row without a name keeps the id it
     has, and a name listed more than once is an error as soon as a row uses it.
-    Rows are spread over ``salt`` copies of the (small) lookup, so that a name
-    most rows bear, or none, does not meet one task.
+    A lookup that measures up to ``small`` bytes is sent to every task, so that
+    the rows stay where they are. A larger one meets them by a shuffle, in which
+    the rows of a heavy name, or of none, are dealt out over several tasks.
     """
-    listed = (
-        lookup.groupBy(comparable(F.col(lookup_name), collation).alias("__name"))
-        .agg(F.min(id_column).alias("__id"), F.count(F.lit(1)).alias("__listed"))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+    listed = lookup.groupBy(comparable(F.col(lookup_name), collation).alias("__name")).agg(
+        F.min(id_column).alias("__id"), F.count(F.lit(1)).alias("__listed")
     )
+    name = comparable(F.col(name_column), collation)
+    # A name, its id and count, and the place they take in a hash table.
+    (size,) = lookup.agg(F.sum(F.coalesce(F.octet_length(lookup_name), F.lit(0)) + 64)).first()
+    if (size or 0) <= small:
+        joined = df.join(F.broadcast(listed), name == F.col("__name"), "left")
+    else:
+        places = [F.col(f"`{column}`") for column in df.columns]
+        joined = spread_join(df, listed, name, "__name", "left", False, places)
     ambiguous = F.raise_error(F.concat(F.lit("more than one lookup row named "), F.col(name_column)))
     found = F.when(F.col("__listed") > 1, ambiguous.cast("bigint")).otherwise(F.col("__id"))
     if id_column in df.columns:
         found = F.when(F.col(name_column).isNull(), F.col(id_column)).otherwise(found)
-    place = F.xxhash64(F.spark_partition_id(), *(F.col(f"`{name}`") for name in df.columns))
-    same = (comparable(F.col(name_column), collation) == F.col("__name")) & (F.col("__salt") == F.col("__copy"))
-    joined = df.withColumn("__salt", F.pmod(place, F.lit(salt))).join(listed, same, "left")
-    return joined.withColumn(id_column, found).drop("__name", "__id", "__listed", "__copy", "__salt")
+    return joined.withColumn(id_column, found).drop("__name", "__id", "__listed")
 
 
 def assign_ids(

@@ -75,12 +75,13 @@ def billing_report(
     Patients without address, insurance or diagnosis are left out, several
     addresses or insurances repeat the line. All joins share ``patient_id``.
     """
+    daily = daily_codes(codes, start, end)
+    coded = necessity.join(daily.select("patient_id"), "patient_id", "left_semi")
     lines = (
-        daily_codes(codes, start, end)
-        .join(patient, "patient_id")
+        daily.join(patient, "patient_id")
         .join(address, "patient_id")
         .join(insurance, "patient_id")
-        .join(joined_codes(necessity, ", "), "patient_id")
+        .join(joined_codes(coded, ", "), "patient_id")
     )
     if ordered:
         lines = lines.orderBy("patient_id")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -36,32 +35,31 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder intermediate tables are written to.
 
     ``spark.checkpoint.dir`` names the shared folder. Only a session within one
-    process that has no such setting (a notebook) gets a temporary folder;
-    everywhere else the missing setting is an error, because a folder of one
-    machine cannot be read by the executors of others.
+    process that has no such setting (a notebook) uses a folder in its warehouse;
+    everywhere else the missing setting is an error.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is None:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulseledger-"))
-    return spark.sparkContext.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/pulseledger-intermediate"
 
 
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
     """Delete the intermediate tables stored within the block when it ends.
 
-    Results that read them must be written before.
+    Results that read them must be written before. The folders so far are given,
+    in the order of storing; one taken out of the list stays.
     """
     stored: list[str] = []
     token = _scopes.set((*_scopes.get(), stored))
     try:
-        yield
+        yield stored
     finally:
         _scopes.reset(token)
         delete_folders(spark, stored)

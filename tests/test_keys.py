@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseledger.operators import keys
-from pulseledger.operators.joins import null_safe_join
+from pulseledger.operators.joins import heavy_keys, null_safe_join
 from pulseledger.plans import load
 
 
@@ -87,8 +87,9 @@ def largest_share(df):
     return max(sizes) * len(sizes) / sum(sizes)
 
 
+@pytest.mark.parametrize("small", [0, keys.SMALL_LOOKUP])
 @pytest.mark.parametrize("hot", ["'author 1'", "cast(null as string)"])
-def test_rows_of_a_hot_name_are_spread(spark, hot):
+def test_rows_of_a_hot_name_are_spread(spark, hot, small):
     notes = spark.range(0, 200_000, 1, 8).selectExpr(
         "id AS n", f"if(id % 2 = 0, {hot}, concat('author ', id % 50)) AS author"
     )
@@ -97,7 +98,7 @@ def test_rows_of_a_hot_name_are_spread(spark, hot):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
-        found = keys.lookup_id(notes, users, "author", "user_id")
+        found = keys.lookup_id(notes, users, "author", "user_id", small=small)
         assert largest_share(found) < 2
         assert found.count() == 200_000 and found.where("user_id is not null").count() >= 100_000
     finally:
@@ -105,6 +106,43 @@ def test_rows_of_a_hot_name_are_spread(spark, hot):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_copies_of_a_large_lookup_follow_from_the_counts(spark):
+    rows_of = spark.range(0, 10_000, 1, 4).selectExpr("if(id < 5000, 'many', concat('few ', id)) AS name")
+    heavy = {row.heavy: row.copies for row in heavy_keys(rows_of, F.col("name")).collect()}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(heavy) == {"many"} and heavy["many"] == pytest.approx(4 * tasks, abs=1)
+    assert heavy_keys(rows_of.limit(0), F.col("name")).count() == 0
+
+
+@pytest.mark.parametrize("small", [0, keys.SMALL_LOOKUP])
+def test_large_and_small_lookups_agree(spark, small):
+    notes = spark.createDataFrame([("a ",), ("A",), ("b",), (None,), ("c",)] * 40, "author string")
+    users = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "z"), (5, "z")], "user_id bigint, name string")
+    found = keys.lookup_id(notes, users, "author", "user_id", collation="UTF8_LCASE_RTRIM", small=small)
+    assert rows(found.distinct(), "author", "user_id") == sorted(
+        [("a ", 1), ("A", 1), ("b", 2), (None, None), ("c", None)], key=repr
+    )
+    assert found.count() == 200
+    assert keys.lookup_id(notes, users.limit(0), "author", "user_id", small=small).where("user_id is null").count() == 200
+
+
+def test_half_the_readings_on_one_patient_are_spread(spark):
+    patient = spark.range(40).selectExpr("id AS patient_id", "if(id = 39, null, id + 100) AS sharepoint_id")
+    device = spark.range(40).selectExpr("id AS device_id", "id AS patient_id")
+    readings = spark.range(0, 200_000, 1, 8).selectExpr(
+        "if(id % 2 = 0, if(id % 4 = 0, 107, null), 100 + id % 38) AS sharepoint_id",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS received_datetime",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        found = keys.resolve_readings(readings, patient, device)
+        assert largest_share(found) < 2 and found.count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_lookup_under_a_collation(spark):
     status = spark.createDataFrame([(1, "ALERT "), (2, "alert"), (3, "other")], "n int, kind string")
     types = spark.createDataFrame([(1, "Alert")], "type_id bigint, name string")
