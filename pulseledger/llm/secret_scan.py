@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import zstandard
@@ -34,7 +35,8 @@ SENSITIVE = re.compile(
 )
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "credential", "bearer", "authorization", "private", "key")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~.-]{16,}")
+LEAST_RUN = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~.-]{%d,}" % LEAST_RUN)
 KEY_RUN = re.compile(r"[A-Za-z0-9+/_=~.-]+")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,}")
 # How far after a sensitive word a candidate may start, and how much text around it is compared.
@@ -58,19 +60,36 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Long key-like runs that start shortly after a sensitive word and mix letters with digits."""
+    """Long key-like runs that start shortly after a sensitive word and mix letters with digits.
+
+    A run that itself holds sensitive words is a candidate from the first and
+    from the last place after one. Every run is read once.
+    """
     low = text.lower()
     if not any(word in low for word in SENSITIVE_WORDS):
         return []
-    found = {}
+    starts: dict[int, tuple[int, int]] = {}
+    runs: list[int] = []
+    ends: list[int] = []
     for word in SENSITIVE.finditer(text):
-        at = word.end()
-        while (m := CANDIDATE.search(text, at)) and m.start() <= word.end() + REACH:
-            run = m[0]
-            if _mixed(run):
-                found[m.start()] = m.end()
-            at = m.end()
-    return sorted(found.items())
+        at, last = word.end(), word.end() + REACH
+        n = bisect_right(ends, at)
+        while True:
+            if n == len(ends):
+                m = CANDIDATE.search(text, at, last + LEAST_RUN)
+                if not m:
+                    break
+                runs.append(m.start())
+                ends.append(CANDIDATE.match(text, m.start()).end())
+            # The word may stand before a run found earlier or inside it.
+            start, end = max(at, runs[n]), ends[n]
+            if start > last:
+                break
+            if end - start >= LEAST_RUN:
+                starts[end] = (starts.get(end, (start,))[0], start)
+            at, n = end, n + 1
+    found = {(start, end) for end, both in starts.items() for start in both}
+    return sorted((start, end) for start, end in found if _mixed(text[start:end]))
 
 
 def _mixed(run: str) -> bool:
@@ -86,6 +105,8 @@ def known_words(text: str) -> set[str]:
     for m in SENSITIVE.finditer(text):
         # Runs are taken whole where they reach into the surroundings, and once where surroundings overlap.
         low, high = max(done, m.start() - CONTEXT), m.end() + CONTEXT
+        if low >= high:
+            continue
         while low > done and KEY_RUN.match(text[low - 1]):
             low -= 1
         for run in KEY_RUN.finditer(text, low):
@@ -178,8 +199,12 @@ def find_secrets(
 def spans_of(text: str, novelty: Novelty, threshold: float) -> list[dict]:
     base = base_spans(text)
     measured = [(start, end, kind, novelty(text, start, end)) for start, end, kind in base]
+    starts, furthest = sorted(start for start, *_ in base), []
+    for _, end, _ in sorted(base):
+        furthest.append(max(end, furthest[-1]) if furthest else end)
     for start, end in candidates(text):
-        if not any(start < b_end and b_start < end for b_start, b_end, _ in base):
+        before = bisect_left(starts, end)
+        if not (before and furthest[before - 1] > start):
             value = novelty(text, start, end)
             if value >= threshold:
                 measured.append((start, end, "novel", value))

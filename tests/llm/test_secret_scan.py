@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import brute
 import pytest
@@ -77,3 +79,28 @@ def test_identifiers_count_distinct_texts(spark):
     texts = ["secret alpha_name secret alpha_name"] * 5 + ["the beta_name of a token", "my token, beta_name", f"gamma_name {far} secret", f"gamma_name {far} token"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     assert secret_scan.identifiers(df) == ["token", "beta_name", "secret"]
+
+
+@pytest.mark.parametrize("text", ["token " * 170_000, "token" * 200_000, "secret=abcdefgh1 " * 60_000, "api_key 0123456789abcdefX " * 40_000])
+def test_a_megabyte_of_sensitive_words_takes_linear_time(text):
+    novelty = lambda *_: 0.1
+    began = time.perf_counter()
+    secret_scan.spans_of(text, novelty, 0.5)
+    secret_scan.known_words(text)
+    assert time.perf_counter() - began < 4
+
+
+def test_candidates_equal_an_unbounded_search(docs):
+    draw = random.Random(5)
+    pieces = ["token ", "secret", " ", "Bearer ", "aB3dE6gH9jK2mN5p", "-key ", "x" * 30, "9", "api_key=", ". ", "é"]
+    texts = ["".join(draw.choices(pieces, k=60)) for _ in range(400)] + [r.text or "" for r in docs.collect()]
+    for text in texts:
+        every: dict = {}
+        for word in secret_scan.SENSITIVE.finditer(text):
+            at = word.end()
+            while (m := secret_scan.CANDIDATE.search(text, at)) and m.start() <= word.end() + secret_scan.REACH:
+                every.setdefault(m.end(), []).append(m.start())
+                at = m.end()
+        expected = {(start, end) for end, starts in every.items() for start in (min(starts), max(starts))}
+        mixed = sorted((s, e) for s, e in expected if secret_scan._mixed(text[s:e]))
+        assert secret_scan.candidates(text) == mixed
