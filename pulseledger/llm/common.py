@@ -361,9 +361,35 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     )
 
 
+# Rounds in which buckets get a further centre before members are compared with each other: at most so
+# many, and another one only if one in so many comparisons of the last gave a link.
+CENTRES, WORTHWHILE = 8, 20
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` (``a, b, ...``; stored) whose sets have 100 * intersection >= 75 * union."""
+
+    def side(column: str, name: str) -> DataFrame:
+        # Sets that no pair asks for stay where they are.
+        asked = pairs.select(F.col(column).alias("node")).distinct()
+        return sets.join(asked, "node", "left_semi").select(F.col("node").alias(column), F.col("shingles").alias(name))
+
+    left, right = side("a", "left"), side("b", "right")
+    both = F.size(F.array_intersect("left", "right"))
+    together = F.size("left") + F.size("right") - both
+    alike = (100 * both >= 75 * together) & (both > 0)
+    return pairs.join(right, "b").join(left, "a").where(alike).select(*pairs.columns)
+
+
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """The rows ``sig, node, part, ...`` of buckets whose members are in several parts, stored."""
+    several = members.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return materialise(members.join(several.select("sig"), "sig", "left_semi"))
+
+
 def verified_links(
     shared: DataFrame,
-    similar: Callable[[DataFrame], DataFrame],
+    sets_of: Callable[[DataFrame], DataFrame],
     facts: DataFrame,
     possible: Callable[[str, str], Column],
     far: Callable[[str, str], Column] = lambda centre, node: F.lit(False),
@@ -373,25 +399,43 @@ def verified_links(
     """Links ``a, b`` that connect exactly what the similar pairs within buckets connect.
 
     Every member of a bucket is first compared with the bucket's smallest node,
-    its centre. Members linked to the centre are settled among themselves. Those
-    that are not are compared with each other, and with the settled ones unless
-    they are ``far``: then they cannot be similar to anything linked to the
-    centre. Pairs already in one component are left out. ``facts`` has a row per
-    ``node`` with a struct ``fact``; ``possible`` says of two such columns
-    whether the pair can be similar at all. ``lean`` makes of a fact the smaller
-    one that is carried with every row of an open bucket, for ``lean_possible``.
+    its centre. Buckets whose members are then in several components get further
+    centres, drawn by a hash of the node, so that overlapping buckets draw the
+    same: members outside the centre's component are compared with it. A round
+    is linear in the members, and what one centre misses another links. Only
+    members that no round has brought into their bucket's components are
+    compared with each other, unless they are ``far`` from the first centre:
+    then they cannot be similar to anything linked to it. Buckets of equal
+    members count once, and pairs already in one component are left out.
+
+    ``facts`` has a row per ``node`` with a struct ``fact``; ``possible`` says of
+    two such columns whether the pair can be similar at all. ``lean`` makes of a
+    fact the smaller one that travels with every row of an open bucket, for
+    ``lean_possible``. ``sets_of`` gives ``node, shingles`` for a table of nodes.
     """
+    lean_possible = lean_possible or possible
 
     def known(rows: DataFrame, column: str) -> DataFrame:
         return rows.join(facts.select(F.col("node").alias(column), F.col("fact").alias(f"fact_{column}")), column)
 
+    def nodes_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def with_sets(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+        wanted = materialise(nodes_of(pairs).join(sets.select("node"), "node", "left_anti"))
+        return sets if wanted.isEmpty() else sets.unionByName(materialise(sets_of(wanted)))
+
     pairs = materialise(shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    if pairs.isEmpty():
+        return pairs
     stars = materialise(
         known(known(pairs, "a"), "b").select(
             "a", "b", possible("fact_a", "fact_b").alias("near"), far("fact_a", "fact_b").alias("far")
         )
     )
-    links = materialise(similar(stars.where("near").select("a", "b").distinct()))
+    near = materialise(stars.where("near").select("a", "b").distinct())
+    sets = materialise(sets_of(materialise(nodes_of(near))))
+    links = materialise(_similar(near, sets))
     parts = connected_components(links)
 
     def part_of(column: str, name: str) -> DataFrame:
@@ -411,28 +455,50 @@ def verified_links(
         )
     )
     loose = materialise(shared.join(unsettled, ["first", "node"]).select("sig", "node", "apart", "far"))
-    closer = loose.where("apart and not far").select("sig").distinct()
-    settled = shared.where("node <> first").join(materialise(closer), "sig", "left_semi").select("sig", "node")
-    settled = settled.join(loose, ["sig", "node"], "left_anti").select("sig", "node", F.lit(False).alias("loose"))
-    open_buckets = loose.where("apart").select("sig").distinct()
-    members = materialise(
-        loose.join(materialise(open_buckets), "sig", "left_semi")
-        .select("sig", "node", F.lit(True).alias("loose"))
-        .distinct()
-        .unionByName(settled.distinct())
-        .join(part_of("node", "part"), "node", "left")
-        .join(facts.select("node", lean("fact").alias("fact")), "node")
-        .select("sig", "node", "loose", "fact", F.coalesce("part", "node").alias("part"))
+    apart = loose.where("apart").select("sig").distinct()
+    closer = materialise(loose.where("apart and not far").select("sig").distinct())
+    # The first centre has been compared with everyone; what is linked to it need not meet what is far from it.
+    settled = shared.where("node <> first").join(closer, "sig", "left_semi").select("sig", "node")
+    settled = settled.join(loose, ["sig", "node"], "left_anti").distinct()
+    told = loose.join(materialise(apart), "sig", "left_semi").groupBy("sig", "node").agg(F.min("far").alias("far"))
+    others = told.select("sig", "node", F.lit(True).alias("loose"), "far").unionByName(
+        settled.select("sig", "node", F.lit(False).alias("loose"), F.lit(False).alias("far"))
+    )
+    others = materialise(
+        others.join(part_of("node", "part"), "node", "left").select("sig", "node", "loose", "far", F.coalesce("part", "node").alias("part"))
     )
-    # Settled members are in one component; every other pair has a loose one.
-    one = members.where("loose").select("sig", F.col("node").alias("a"), F.col("part").alias("pa"), F.col("fact").alias("fact_a"))
-    two = members.select("sig", "loose", F.col("node").alias("b"), F.col("part").alias("pb"), F.col("fact").alias("fact_b"))
-    apart_yet = ((F.col("a") < F.col("b")) | ~two.loose) & (F.col("pa") != F.col("pb"))
-    if lean_possible is not None:
-        apart_yet &= lean_possible("fact_a", "fact_b")
-    met = one.join(two, (one.sig == two.sig) & apart_yet)
-    others = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    if others.isEmpty():
-        return links
-    left = known(known(others, "a"), "b").where(possible("fact_a", "fact_b")).select("a", "b").distinct()
-    return links.unionByName(materialise(similar(left)))
+    # Of buckets with equal members one is enough; 128 bits tell them apart.
+    mark = [F.bit_xor(F.xxhash64(F.lit(salt), "node", "loose", "far")).alias(f"mark{salt}") for salt in (1, 2)]
+    marks = others.groupBy("sig").agg(*mark, F.min("part").alias("low"), F.max("part").alias("high"))
+    single = marks.where("low <> high").groupBy("mark1", "mark2").agg(F.min("sig").alias("sig"))
+    members = materialise(others.join(single.select("sig"), "sig", "left_semi"))
+    facts = materialise(facts.join(members.select("node").distinct(), "node", "left_semi"))
+
+    for n in range(CENTRES):
+        if members.isEmpty():
+            return links
+        drawn = F.struct(F.xxhash64(F.lit(n), "node").alias("draw"), F.col("node").alias("a"), F.col("part").alias("pa"))
+        centres = members.groupBy("sig").agg(F.min(drawn).alias("centre")).select("sig", "centre.a", "centre.pa")
+        met = members.join(centres, "sig").where("part <> pa")
+        met = materialise(met.select("a", "pa", F.col("node").alias("b"), F.col("part").alias("pb")).distinct())
+        fit = materialise(known(known(met, "a"), "b").where(possible("fact_a", "fact_b")).select(*met.columns))
+        sets = with_sets(sets, fit)
+        found = materialise(_similar(fit, sets))
+        linked = found.count()
+        if linked:
+            links = links.unionByName(found.select("a", "b"))
+            joined = connected_components(found.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
+            joined = joined.select(F.col("node").alias("part"), F.col("component_id").alias("now"))
+            moved = members.join(joined, "part", "left").withColumn("part", F.coalesce("now", "part")).drop("now")
+            members = _open_buckets(moved)
+        if linked * WORTHWHILE < met.count():
+            break
+
+    rest = materialise(members.join(facts.select("node", lean("fact").alias("fact")), "node"))
+    one = rest.where("loose").select("sig", F.col("node").alias("a"), F.col("part").alias("pa"), "far", F.col("fact").alias("fact_a"))
+    two = rest.select("sig", "loose", F.col("node").alias("b"), F.col("part").alias("pb"), F.col("fact").alias("fact_b"))
+    due = F.when(two.loose, F.col("a") < F.col("b")).otherwise(~one.far) & (F.col("pa") != F.col("pb"))
+    met = one.join(two, (one.sig == two.sig) & due & lean_possible("fact_a", "fact_b"))
+    met = materialise(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    fit = materialise(known(known(met, "a"), "b").where(possible("fact_a", "fact_b")).select("a", "b").distinct())
+    return links.unionByName(materialise(_similar(fit, with_sets(sets, fit))))

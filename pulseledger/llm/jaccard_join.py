@@ -12,8 +12,9 @@ Sets with fewer than ``H + 1`` segments that hold anything are partitioned anew
 among themselves, until none is left.
 
 Documents that share a segment are checked exactly. First every member of a
-bucket is compared with the bucket's smallest document; only buckets whose
-members are still in different components are compared pair by pair.
+bucket is compared with the bucket's smallest document, then, where members are
+in different components, with further documents drawn from the bucket; what is
+still apart is compared pair by pair.
 """
 
 from __future__ import annotations
@@ -45,7 +46,9 @@ from pulseledger.session import materialise
 
 SMALL = 64
 # Bits of the sketch that bounds how much two sets differ before they are fetched.
-SKETCH_BITS, LEAN_BITS = 2048, 256
+SKETCH_BITS, LEAN_BITS = 2048, 1024
+# Sets of more shingles than the sketch has bits fill it, so they have a wider one besides.
+WIDE_BITS = 16_384
 # Common shingles: every slice of texts reports its commonest, their counts are added up, and the
 # commonest of all are sent to the tasks (half a megabyte). They only decide which segments are indexed.
 REPORTED, COMMON = 1 << 12, 1 << 16
@@ -60,7 +63,7 @@ def _commonest(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _digest(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Rows ``kind, id, n, low, high, sketch``: 0 a document's set size and fingerprint, 1 a common shingle."""
+    """Rows ``kind, id, n, low, high, sketch, wide``: 0 a document's set size and fingerprint, 1 a common shingle."""
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
@@ -70,6 +73,13 @@ def _digest(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
             sums = [np.append(0, np.cumsum(mixed(shingles + np.uint64(salt)))) for salt in (1, 2)]
             ends = np.append(starts[1:], len(owner))
             low, high = (signed(total[ends] - total[starts]) for total in sums)
+            wide: list = [None] * count
+            large = np.flatnonzero(ends - starts > SKETCH_BITS)
+            if len(large):
+                chosen = np.isin(owner, large)
+                renamed = np.searchsorted(large, owner[chosen])
+                for at, sketch in zip(large, parity_sketches(renamed, shingles[chosen], len(large), WIDE_BITS)):
+                    wide[at] = sketch
             yield {
                 "kind": [0] * count,
                 "id": part[id_column],
@@ -77,14 +87,15 @@ def _digest(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 "low": low,
                 "high": high,
                 "sketch": list(parity_sketches(owner, shingles, count, SKETCH_BITS)),
+                "wide": wide,
             }
             keys, counts = _commonest(shingles)
             none = [None] * len(keys)
-            yield {"kind": [1] * len(keys), "id": none, "n": counts, "low": signed(keys), "high": none, "sketch": none}
+            yield {"kind": [1] * len(keys), "id": none, "n": counts, "low": signed(keys), "high": none, "sketch": none, "wide": none}
 
         return work
 
-    schema = f"kind int, id {dict(df.dtypes)[id_column]}, n long, low long, high long, sketch array<bigint>"
+    schema = f"kind int, id {dict(df.dtypes)[id_column]}, n long, low long, high long, sketch array<bigint>, wide array<bigint>"
     return map_slices(df, [id_column, text_column], build, schema, text_column)
 
 
@@ -170,7 +181,10 @@ def _signature_rows(df: DataFrame, id_column: str, text_column: str, common: np.
 
 
 def _possible(one: str, two: str) -> Column:
-    return sketches_allow(one, two, SKETCH_BITS)
+    both = F.zip_with(F.col(one)["wide"], F.col(two)["wide"], lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(both, F.lit(0), lambda total, x: total + x)
+    wide_enough = F.coalesce(7 * apart <= F.col(one)["n"] + F.col(two)["n"], F.lit(True))
+    return sketches_allow(one, two, SKETCH_BITS) & wide_enough
 
 
 def _folded(fact: str) -> Column:
@@ -200,12 +214,13 @@ def _far(centre: str, node: str) -> Column:
     return 21 * sketch_distance(centre, node, SKETCH_BITS) > 3 * F.col(node)["n"] + 11 * F.col(centre)["n"]
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """The pairs ``a, b`` whose sets have 100 * intersection >= 75 * union."""
-    pairs = materialise(pairs)
-    needed = membership_filter(
-        pairs.select(F.explode(F.array("a", "b")).alias("doc")).select(filter_place("doc").alias("place"))
-    )
+def _sets_of(nodes: DataFrame, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``node, shingles`` of the given documents, one row per text.
+
+    The filter spares work on most other texts, the semi-join drops the rest
+    before anything is stored.
+    """
+    needed = membership_filter(nodes.select(filter_place("node").alias("place")))
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
@@ -213,20 +228,15 @@ def _similar(pairs: DataFrame, docs: DataFrame, id_column: str, text_column: str
             texts = [text for text, wanted in zip(part[text_column], there) if wanted]
             if texts:
                 yield {
-                    "doc": [doc for doc, wanted in zip(part[id_column], there) if wanted],
+                    "node": [doc for doc, wanted in zip(part[id_column], there) if wanted],
                     "shingles": [signed(s) for s in shingle_sets(texts)],
                 }
 
         return work
 
     placed = docs.withColumn("place", filter_place(id_column))
-    sets = map_slices(placed, [id_column, text_column, "place"], build, "doc long, shingles array<bigint>", text_column)
-    sets = materialise(sets)
-    left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right"))
-    both = F.size(F.array_intersect("left", "right"))
-    together = F.size("left") + F.size("right") - both
-    return pairs.join(right, "b").join(left, "a").where((100 * both >= 75 * together) & (both > 0)).select("a", "b")
+    sets = map_slices(placed, [id_column, text_column, "place"], build, "node long, shingles array<bigint>", text_column)
+    return sets.join(nodes, "node", "left_semi")
 
 
 def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -258,7 +268,8 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
     spare = copies.select("b").distinct().join(ends, "b", "left_anti").select(F.col("b").alias("doc"))
     kept = docs.where("doc is not null").join(spare, "doc", "left_anti")
 
-    facts = named.select(F.col("id").alias("node"), sketch_fact(SKETCH_BITS).alias("fact"))
+    fact = sketch_fact(SKETCH_BITS).withField("wide", F.col("wide"))
+    facts = named.select(F.col("id").alias("node"), fact.alias("fact"))
 
     links = materialise(copies.select("a", "b"))
     salt, rest = 0, kept
@@ -267,7 +278,7 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
         buckets = shared_buckets(rows)
         found = verified_links(
             buckets.where("sig is not null"),
-            lambda pairs: _similar(pairs, kept, "doc", "text"),
+            lambda nodes: _sets_of(nodes, kept, "doc", "text"),
             facts,
             _possible,
             _far,

@@ -107,13 +107,9 @@ def _possible(one: str, two: str) -> Column:
     return sketches_allow(one, two, SKETCH_BITS)
 
 
-def _similar(pairs: DataFrame, classes: DataFrame, df: DataFrame, text_column: str, min_words: int) -> DataFrame:
-    """The pairs ``a, b`` of classes whose sets have 100 * intersection >= 75 * union."""
-    nodes = materialise(
-        classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select(
-            "node", "n", "low", "high"
-        )
-    )
+def _sets_of(wanted: DataFrame, classes: DataFrame, df: DataFrame, text_column: str, min_words: int) -> DataFrame:
+    """``node, shingles`` of the given classes."""
+    nodes = materialise(classes.join(wanted, "node").select("node", "n", "low", "high"))
     needed = membership_filter(nodes.select(hash_place("low").alias("place")))
 
     def build():
@@ -135,14 +131,7 @@ def _similar(pairs: DataFrame, classes: DataFrame, df: DataFrame, text_column: s
         return work
 
     sets = map_slices(df, [text_column], build, "n long, low long, high long, shingles array<bigint>", text_column)
-    known = materialise(
-        sets.join(nodes, ["n", "low", "high"]).groupBy("node").agg(F.any_value("shingles").alias("shingles"))
-    )
-    left = known.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = known.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = F.size(F.array_intersect("left", "right"))
-    together = F.size("left") + F.size("right") - both
-    return pairs.join(right, "b").join(left, "a").where(100 * both >= 75 * together).select("a", "b")
+    return sets.join(nodes, ["n", "low", "high"]).groupBy("node").agg(F.any_value("shingles").alias("shingles"))
 
 
 def repeated_paragraphs(
@@ -167,7 +156,7 @@ def repeated_paragraphs(
     )
     buckets = shared_buckets(classes.select(F.explode("bands").alias("sig"), "node"))
     facts = classes.select("node", sketch_fact(SKETCH_BITS).alias("fact"))
-    links = verified_links(buckets, lambda pairs: _similar(pairs, classes, df, text_column, min_words), facts, _possible, lean_possible=_possible)
+    links = verified_links(buckets, lambda nodes: _sets_of(nodes, classes, df, text_column, min_words), facts, _possible)
     parts = connected_components(links)
     placed = classes.join(parts, "node", "left").withColumn("part", F.coalesce("component_id", "node"))
     clusters = placed.groupBy("part").agg(F.min("first").alias("kept"), F.sum("copies").alias("n_copies")).where("n_copies > 1")
