@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseledger.llm import decontamination, jaccard_join, mixing, quality, secret_scan
-from pulseledger.session import materialise
+from pulseledger.session import delete_folders, materialise, scratch
 
 
 def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +61,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again for the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written as Parquet and read again for the next.
+
+    What a stage stores on its way goes when its result is stored, and that when
+    the next one is.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     *first, (_, last) = STAGES
     for _, stage in first:
-        docs = materialise(stage(spark, docs, sf_dir))
+        with scratch(spark) as stored:
+            docs = materialise(stage(spark, docs, sf_dir))
+            result = stored.pop()
+        delete_folders(spark, before)
+        before = [result]
     return last(spark, docs, sf_dir)
