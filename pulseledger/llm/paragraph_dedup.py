@@ -33,6 +33,8 @@ from pulseledger.llm.common import (
 from pulseledger.session import materialise
 
 MIN_WORDS = 20
+# Tells rows apart that share an id, or have none.
+_ROW = "__row"
 # Two paragraphs at the threshold of 0.75 meet in a band with probability 0.9995.
 BANDS, BAND_ROWS = 20, 4
 # Bits of the sketch that bounds how much two paragraphs differ before they are fetched.
@@ -73,16 +75,19 @@ def _paragraph_rows(df: DataFrame, id_column: str, text_column: str, min_words:
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
             found = [
-                (key, *paragraph) for key, text in zip(part[id_column], part[text_column]) for paragraph in paragraphs(text, min_words)
+                (key, row, *paragraph)
+                for key, row, text in zip(part[id_column], part[_ROW], part[text_column])
+                for paragraph in paragraphs(text, min_words)
             ]
             if not found:
                 return
-            ids, numbers, starts, words, lines = zip(*found)
+            ids, rows, numbers, starts, words, lines = zip(*found)
             sets = shingle_sets(lines)
             low, high = _digests(sets)
             owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
             yield {
                 "id": ids,
+                "row": rows,
                 "paragraph": numbers,
                 "begin": starts,
                 "end": [start + len(line) for start, line in zip(starts, lines)],
@@ -97,10 +102,10 @@ def _paragraph_rows(df: DataFrame, id_column: str, text_column: str, min_words:
         return work
 
     schema = (
-        f"id {dict(df.dtypes)[id_column]}, paragraph long, begin long, end long, n_words long, "
+        f"id {dict(df.dtypes)[id_column]}, row long, paragraph long, begin long, end long, n_words long, "
         "n long, low long, high long, bands array<bigint>, sketch array<bigint>"
     )
-    return map_slices(df, [id_column, text_column], build, schema, text_column)
+    return map_slices(df, [id_column, _ROW, text_column], build, schema, text_column)
 
 
 def _possible(one: str, two: str) -> Column:
@@ -147,8 +152,18 @@ def repeated_paragraphs(
     gives an empty one. Classes and clusters are counted before anything is
     joined, so a passage that most documents share is one class.
     """
+    found = _found(_marked(df.select(id_column, text_column)), id_column, text_column, min_words)
+    return found.drop(_ROW)
+
+
+def _marked(df: DataFrame) -> DataFrame:
+    return df.withColumn(_ROW, F.monotonically_increasing_id())
+
+
+def _found(df: DataFrame, id_column: str, text_column: str, min_words: int) -> DataFrame:
+    """The rows of ``repeated_paragraphs`` with the mark of their row."""
     rows = materialise(_paragraph_rows(df, id_column, text_column, min_words))
-    spot = F.struct("id", "paragraph")
+    spot = F.struct("id", "row", "paragraph")
     classes = materialise(
         rows.groupBy("n", "low", "high")
         .agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
@@ -162,8 +177,9 @@ def repeated_paragraphs(
     clusters = placed.groupBy("part").agg(F.min("first").alias("kept"), F.sum("copies").alias("n_copies")).where("n_copies > 1")
     repeats = materialise(placed.join(clusters, "part").select("n", "low", "high", "kept", "n_copies", F.col("first").alias("one")))
     found = rows.drop("bands", "sketch").join(repeats, ["n", "low", "high"])
-    here = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("paragraph") == F.col("kept.paragraph"))
+    here = (F.col("row") == F.col("kept.row")) & (F.col("paragraph") == F.col("kept.paragraph"))
     return found.select(
+        F.col("row").alias(_ROW),
         F.col("id").alias(id_column),
         "paragraph",
         "begin",
@@ -178,13 +194,14 @@ def repeated_paragraphs(
 
 def remove_paragraphs(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``df`` with the repeated paragraphs cut out of ``text_column``; all rows and other columns stay."""
+    rows = materialise(_marked(df))
     cuts = materialise(
-        repeated_paragraphs(df, id_column, text_column, min_words)
+        _found(rows, id_column, text_column, min_words)
         .where("removed")
-        .groupBy(F.col(id_column).alias("__id"))
+        .groupBy(_ROW)
         .agg(F.collect_set("paragraph").alias("__cut"))
     )
-    joined = df.join(cuts, F.col(id_column).eqNullSafe(F.col("__id")), "left")
+    joined = rows.join(cuts, _ROW, "left")
     lines = F.transform(F.split(text_column, "\n", -1), lambda line, n: F.struct(line.alias("line"), n.cast("long").alias("n")))
     kept = F.filter(lines, lambda x: ~F.array_contains("__cut", x["n"]))
     cut = F.concat_ws("\n", F.transform(kept, lambda x: x["line"]))

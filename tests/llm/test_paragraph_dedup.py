@@ -36,5 +36,17 @@ def test_cutting_and_awkward_rows(spark, awkward, empty):
     found = paragraph_dedup.repeated_paragraphs(awkward).collect()
     assert {(r.doc_id, r.removed) for r in found} == {(3, False), (4, True)}
     same = paragraph_dedup.remove_paragraphs(awkward)
-    assert same.schema == awkward.schema and same.count() == awkward.count()
+    assert same.dtypes == awkward.dtypes and same.count() == awkward.count()
     assert paragraph_dedup.repeated_paragraphs(empty).collect() == []
+
+
+def test_repeated_null_and_shared_ids_keep_what_is_theirs(spark):
+    one, two, three = (" ".join(f"{kind}{n}" for n in range(30)) for kind in ("ab", "cd", "ef"))
+    rows = [(1, f"{one}\n{two}"), (1, f"{one}\n{two}"), (1, f"{three}\nx"), (None, f"x\n{one}"), (None, f"{three} y\nz"), (2, "clean\nlines")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = paragraph_dedup.repeated_paragraphs(df).collect()
+    assert "__row" not in found[0] and len(found) == 7
+    # Each of the three passages stays once: two of them under the missing id, which comes first.
+    assert sorted(str(r.doc_id) for r in found if not r.removed) == ["1", "None", "None"]
+    kept = sorted(str(r.text) for r in paragraph_dedup.remove_paragraphs(df).collect())
+    assert kept == sorted([two, "", "x", f"x\n{one}", f"{three} y\nz", "clean\nlines"])
