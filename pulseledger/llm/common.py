@@ -395,6 +395,7 @@ def verified_links(
     far: Callable[[str, str], Column] = lambda centre, node: F.lit(False),
     lean: Callable[[str], Column] = F.col,
     lean_possible: Callable[[str, str], Column] | None = None,
+    at_once: bool = False,
 ) -> DataFrame:
     """Links ``a, b`` that connect exactly what the similar pairs within buckets connect.
 
@@ -411,7 +412,8 @@ def verified_links(
     ``facts`` has a row per ``node`` with a struct ``fact``; ``possible`` says of
     two such columns whether the pair can be similar at all. ``lean`` makes of a
     fact the smaller one that travels with every row of an open bucket, for
-    ``lean_possible``. ``sets_of`` gives ``node, shingles`` for a table of nodes.
+    ``lean_possible``. ``sets_of`` gives ``node, shingles`` for a table of nodes; ``at_once`` asks
+    it once for every node that shares a bucket, which suits small sets.
     """
     lean_possible = lean_possible or possible
 
@@ -434,7 +436,7 @@ def verified_links(
         )
     )
     near = materialise(stars.where("near").select("a", "b").distinct())
-    sets = materialise(sets_of(materialise(nodes_of(near))))
+    sets = materialise(sets_of(materialise(nodes_of(pairs if at_once else near))))
     links = materialise(_similar(near, sets))
     parts = connected_components(links)
 

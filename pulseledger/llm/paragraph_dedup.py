@@ -171,7 +171,7 @@ def _found(df: DataFrame, id_column: str, text_column: str, min_words: int) -> D
     )
     buckets = shared_buckets(classes.select(F.explode("bands").alias("sig"), "node"))
     facts = classes.select("node", sketch_fact(SKETCH_BITS).alias("fact"))
-    links = verified_links(buckets, lambda nodes: _sets_of(nodes, classes, df, text_column, min_words), facts, _possible)
+    links = verified_links(buckets, lambda nodes: _sets_of(nodes, classes, df, text_column, min_words), facts, _possible, at_once=True)
     parts = connected_components(links)
     placed = classes.join(parts, "node", "left").withColumn("part", F.coalesce("component_id", "node"))
     clusters = placed.groupBy("part").agg(F.min("first").alias("kept"), F.sum("copies").alias("n_copies")).where("n_copies > 1")
