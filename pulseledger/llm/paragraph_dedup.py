@@ -1,18 +1,25 @@
-"""Repeated paragraphs across documents: MinHash banding, exact Jaccard, components.
-
-A paragraph is a line of at least ``MIN_WORDS`` words. Paragraphs with equal
-sets of five-word shingles are one class; classes that collide in a band of
+"""Repeated passages across documents: MinHash banding, exact Jaccard, components.
+
+Texts are compared in units of some 15 words. Lines of ``LINE_WORDS`` words or
+more are blocks of their own, shorter ones in a row are one block. A block is cut
+before every word whose two-word hash is the smallest of ``REACH`` words around
+it, so a passage is cut in the same places wherever it stands and however it is
+wrapped: one of 50 words or more nearly always holds a whole unit. Units with
+equal sets of five-word shingles are one class; classes that collide in a band of
 MinHashes are compared exactly, and connected classes form a cluster. The
-cluster's first paragraph (by document id and place) stays, the others go.
+cluster's first unit (by document id and place) stays, the others go.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pulseledger.llm.common import (
     FILTER_BITS,
@@ -24,86 +31,157 @@ from pulseledger.llm.common import (
     mixed,
     parity_sketches,
     shared_buckets,
-    shingle_sets,
+    shingle_hashes,
     signed,
     sketch_fact,
     sketches_allow,
     verified_links,
+    word_hashes,
 )
 from pulseledger.session import materialise
 
-MIN_WORDS = 20
+LINE_WORDS = 20
+# Cuts lie further apart than this, and from a block's ends; units are on average twice as long.
+REACH = 7
+# A unit without a cut for so many words (one phrase over and over) is cut anyway.
+UNIT_WORDS = 64
 # Tells rows apart that share an id, or have none.
 _ROW = "__row"
-# Two paragraphs at the threshold of 0.75 meet in a band with probability 0.9995.
-BANDS, BAND_ROWS = 20, 4
-# Bits of the sketch that bounds how much two paragraphs differ before they are fetched.
-SKETCH_BITS = 256
+# Two units at the threshold of 0.75 meet in a band with probability 0.984, equal ones always.
+BANDS, BAND_ROWS = 5, 2
+# Bits of the sketch that bounds how much two units differ before they are fetched.
+SKETCH_BITS = 64
 
 _FACTORS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 _BAND_SALTS = mixed(np.arange(1001, 1001 + BANDS, dtype=np.uint64))
 
 
-def paragraphs(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, str]]:
-    """Number, start (code points), words and text of every paragraph that is long enough."""
-    at = 0
-    for number, line in enumerate(text.split("\n")):
-        words = len(line.encode("utf-8", "surrogatepass").split())
-        if words >= min_words:
-            yield number, at, words, line
-        at += len(line) + 1
-
-
-def _bands(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of band hashes per set."""
-    every = np.concatenate(sets)
-    starts = np.append(0, np.cumsum([len(s) for s in sets])[:-1])
-    total = np.zeros((len(sets), BANDS), dtype=np.uint64)
-    for n, factor in enumerate(_FACTORS):
-        smallest = np.minimum.reduceat(every * factor, starts)
-        band = n // BAND_ROWS
-        total[:, band] = mixed(total[:, band] ^ smallest)
-    return signed(total ^ _BAND_SALTS)
-
-
-def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    total = lambda salt: np.array([np.add.reduce(mixed(s + np.uint64(salt)), dtype=np.uint64) for s in sets], dtype=np.uint64)
-    return signed(total(1)), signed(total(2))
-
-
-def _paragraph_rows(df: DataFrame, id_column: str, text_column: str, min_words: int) -> DataFrame:
+class Units(NamedTuple):
+    """Units of several texts: text number, number within it, span in code points, words; hashed shingles."""
+
+    text: np.ndarray
+    number: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    n_words: np.ndarray
+    # Distinct shingles in order of their units, the unit of each, and where each unit's begin.
+    shingles: np.ndarray
+    owner: np.ndarray
+    at: np.ndarray
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(np.append(self.at, len(self.shingles)))
+
+    def digests(self) -> tuple[np.ndarray, np.ndarray]:
+        low, high = (np.add.reduceat(mixed(self.shingles + np.uint64(salt)), self.at) for salt in (1, 2))
+        return signed(low), signed(high)
+
+    def bands(self) -> np.ndarray:
+        """A row of band hashes per unit."""
+        total = np.zeros((len(self.at), BANDS), dtype=np.uint64)
+        for n, factor in enumerate(_FACTORS):
+            smallest = np.minimum.reduceat(self.shingles * factor, self.at)
+            band = n // BAND_ROWS
+            total[:, band] = mixed(total[:, band] ^ smallest)
+        return signed(total ^ _BAND_SALTS)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.empty(0, dtype=np.int64)
+
+
+def _blocks(owner: np.ndarray, line: np.ndarray, line_words: int) -> np.ndarray:
+    """The number of each word's block."""
+    begins = _runs(line)
+    long = np.diff(np.append(begins, len(line))) >= line_words
+    text = owner[begins]
+    new = np.ones(len(begins), dtype=bool)
+    new[1:] = long[1:] | long[:-1] | (text[1:] != text[:-1])
+    return np.repeat(np.cumsum(new) - 1, np.diff(np.append(begins, len(line))))
+
+
+def _cuts(block: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Numbers of the words before which a unit begins."""
+    count = len(hashes)
+    begins = _runs(block)
+    length = np.diff(np.append(begins, count))
+    place = np.arange(count) - np.repeat(begins, length)
+    inner = (place > REACH) & (place + REACH < np.repeat(length, length))
+    pair = hashes.copy()
+    pair[:-1] = mixed(hashes[:-1] * np.uint64(3) ^ hashes[1:])
+    lowest = inner
+    for step in range(1, REACH + 1):
+        # Words within reach of an inner one are in its block.
+        before, after = np.roll(pair, step), np.roll(pair, -step)
+        lowest = lowest & (pair < before) & ((pair <= after) | (place + step + 1 == np.repeat(length, length)))
+    begin = lowest | (place == 0)
+    units = np.flatnonzero(begin)
+    since = np.arange(count) - np.repeat(units, np.diff(np.append(units, count)))
+    return np.flatnonzero(since % UNIT_WORDS == 0)
+
+
+def units_of(texts: list[str], line_words: int = LINE_WORDS) -> Units:
+    """The units of some texts; runs of up to ``REACH`` words that stand alone are none."""
+    owner, starts, ends, hashes = word_hashes(texts)
+    data = np.frombuffer(" ".join(texts).encode("utf-8", "surrogatepass") + b" ", dtype=np.uint8)
+    line = np.cumsum(data == 10)[starts]
+    # Lines of different texts are different lines.
+    line = np.cumsum(np.append(False, (line[1:] != line[:-1]) | (owner[1:] != owner[:-1]))) if len(owner) else line
+    block = _blocks(owner, line, line_words)
+    first = _cuts(block, hashes)
+    words = np.diff(np.append(first, len(hashes)))
+    unit = np.repeat(np.arange(len(first)), words)
+    found, _, shingles = shingle_hashes(unit, hashes)
+    enough = words > REACH
+    renumbered = np.cumsum(enough) - 1
+    kept = enough[found]
+    found, shingles = renumbered[found[kept]], shingles[kept]
+    order = np.lexsort((shingles, found))
+    found, shingles = found[order], shingles[order]
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = (found[1:] != found[:-1]) | (shingles[1:] != shingles[:-1])
+    found, shingles = found[new], shingles[new]
+    # Code points before each byte, and before each text.
+    points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+    sizes = np.array([len(text) + 1 for text in texts], dtype=np.int64)
+    offset = np.append(0, np.cumsum(sizes)[:-1]) if len(sizes) else sizes
+    first, words = first[enough], words[enough]
+    text = owner[first]
+    if not len(first):
+        return Units(text, first, first, first, words, shingles, found, first)
+    numbers = np.arange(len(first)) - np.repeat(_runs(text), np.diff(np.append(_runs(text), len(text))))
+    begin = points[starts[first]] - offset[text]
+    end = points[ends[first + words - 1]] - offset[text]
+    return Units(text, numbers, begin, end, words, shingles, found, _runs(found))
+
+
+def _unit_rows(df: DataFrame, id_column: str, text_column: str, line_words: int) -> DataFrame:
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
-            found = [
-                (key, row, *paragraph)
-                for key, row, text in zip(part[id_column], part[_ROW], part[text_column])
-                for paragraph in paragraphs(text, min_words)
-            ]
-            if not found:
+            units = units_of(part[text_column], line_words)
+            if not len(units.text):
                 return
-            ids, rows, numbers, starts, words, lines = zip(*found)
-            sets = shingle_sets(lines)
-            low, high = _digests(sets)
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            low, high = units.digests()
             yield {
-                "id": ids,
-                "row": rows,
-                "paragraph": numbers,
-                "begin": starts,
-                "end": [start + len(line) for start, line in zip(starts, lines)],
-                "n_words": words,
-                "n": [len(s) for s in sets],
+                "id": [part[id_column][n] for n in units.text],
+                "row": [part[_ROW][n] for n in units.text],
+                "paragraph": units.number,
+                "begin": units.begin,
+                "end": units.end,
+                "n_words": units.n_words,
+                "n": units.sizes(),
                 "low": low,
                 "high": high,
-                "bands": list(_bands(sets)),
-                "sketch": list(parity_sketches(owner, np.concatenate(sets), len(sets), SKETCH_BITS)),
+                "bands": list(units.bands()),
+                "sketch": parity_sketches(units.owner, units.shingles, len(units.at), SKETCH_BITS).reshape(-1),
             }
 
         return work
 
     schema = (
         f"id {dict(df.dtypes)[id_column]}, row long, paragraph long, begin long, end long, n_words long, "
-        "n long, low long, high long, bands array<bigint>, sketch array<bigint>"
+        "n long, low long, high long, bands array<bigint>, sketch long"
     )
     return map_slices(df, [id_column, _ROW, text_column], build, schema, text_column)
 
@@ -112,25 +190,27 @@ def _possible(one: str, two: str) -> Column:
     return sketches_allow(one, two, SKETCH_BITS)
 
 
-def _sets_of(wanted: DataFrame, classes: DataFrame, df: DataFrame, text_column: str, min_words: int) -> DataFrame:
+def _sets_of(wanted: DataFrame, classes: DataFrame, df: DataFrame, text_column: str, line_words: int) -> DataFrame:
     """``node, shingles`` of the given classes."""
     nodes = materialise(classes.join(wanted, "node").select("node", "n", "low", "high"))
     needed = membership_filter(nodes.select(hash_place("low").alias("place")))
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
-            lines = list(dict.fromkeys(line for text in part[text_column] for *_, line in paragraphs(text, min_words)))
-            if not lines:
+            units = units_of(part[text_column], line_words)
+            if not len(units.text):
                 return
-            sets = shingle_sets(lines)
-            low, high = _digests(sets)
+            low, high = units.digests()
             there = np.flatnonzero(in_filter(needed, low & (FILTER_BITS - 1)))
+            # Copies within the slice once.
+            there = there[np.unique(low[there], return_index=True)[1]]
+            stop = np.append(units.at[1:], len(units.shingles))
             if len(there):
                 yield {
-                    "n": [len(sets[n]) for n in there],
+                    "n": units.sizes()[there],
                     "low": low[there],
                     "high": high[there],
-                    "shingles": [signed(sets[n]) for n in there],
+                    "shingles": [signed(units.shingles[units.at[n] : stop[n]]) for n in there],
                 }
 
         return work
@@ -140,19 +220,19 @@ def _sets_of(wanted: DataFrame, classes: DataFrame, df: DataFrame, text_column:
 
 
 def repeated_paragraphs(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", line_words: int = LINE_WORDS
 ) -> DataFrame:
-    """One row per paragraph that has a near copy, in another document or the same.
-
-    ``id, paragraph`` (number of the line), ``begin, end`` (code points),
-    ``n_words``, ``kept_doc_id, kept_paragraph`` (the cluster's first paragraph,
-    a null id before all others), ``n_copies`` of the cluster, ``removed``
-    (false for the one that stays). Empty and null texts have no paragraphs;
-    repeated rows are copies of each other, of which one stays; an empty table
-    gives an empty one. Classes and clusters are counted before anything is
-    joined, so a passage that most documents share is one class.
+    """One row per unit that has a near copy, in another document or the same.
+
+    ``id, paragraph`` (number of the unit in its text), ``begin, end`` (code
+    points), ``n_words``, ``kept_doc_id, kept_paragraph`` (the cluster's first
+    unit, a null id before all others), ``n_copies`` of the cluster, ``removed``
+    (false for the one that stays). Empty and null texts have no units; repeated
+    rows are copies of each other, of which one stays; an empty table gives an
+    empty one. Classes and clusters are counted before anything is joined, so a
+    passage that most documents share is a few classes.
     """
-    found = _found(_marked(df.select(id_column, text_column)), id_column, text_column, min_words)
+    found = _found(_marked(df.select(id_column, text_column)), id_column, text_column, line_words)
     return found.drop(_ROW)
 
 
@@ -160,9 +240,9 @@ def _marked(df: DataFrame) -> DataFrame:
     return df.withColumn(_ROW, F.monotonically_increasing_id())
 
 
-def _found(df: DataFrame, id_column: str, text_column: str, min_words: int) -> DataFrame:
+def _found(df: DataFrame, id_column: str, text_column: str, line_words: int) -> DataFrame:
     """The rows of ``repeated_paragraphs`` with the mark of their row."""
-    rows = materialise(_paragraph_rows(df, id_column, text_column, min_words))
+    rows = materialise(_unit_rows(df, id_column, text_column, line_words))
     spot = F.struct("id", "row", "paragraph")
     classes = materialise(
         rows.groupBy("n", "low", "high")
@@ -170,8 +250,8 @@ def _found(df: DataFrame, id_column: str, text_column: str, min_words: int) -> D
         .withColumn("node", F.monotonically_increasing_id())
     )
     buckets = shared_buckets(classes.select(F.explode("bands").alias("sig"), "node"))
-    facts = classes.select("node", sketch_fact(SKETCH_BITS).alias("fact"))
-    links = verified_links(buckets, lambda nodes: _sets_of(nodes, classes, df, text_column, min_words), facts, _possible, at_once=True)
+    facts = classes.select("node", F.array("sketch").alias("sketch"), "n").select("node", sketch_fact(SKETCH_BITS).alias("fact"))
+    links = verified_links(buckets, lambda nodes: _sets_of(nodes, classes, df, text_column, line_words), facts, _possible, at_once=True)
     parts = connected_components(links)
     placed = classes.join(parts, "node", "left").withColumn("part", F.coalesce("component_id", "node"))
     clusters = placed.groupBy("part").agg(F.min("first").alias("kept"), F.sum("copies").alias("n_copies")).where("n_copies > 1")
@@ -192,17 +272,32 @@ def _found(df: DataFrame, id_column: str, text_column: str, min_words: int) -> D
     )
 
 
-def remove_paragraphs(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``df`` with the repeated paragraphs cut out of ``text_column``; all rows and other columns stay."""
+@F.pandas_udf(StringType())
+def _without(texts: pd.Series, cuts: pd.Series) -> pd.Series:
+    """Each text without its spans and the white space that follows them."""
+
+    def rest(text: str, spans) -> str:
+        pieces, at = [], 0
+        for span in sorted(spans, key=lambda s: s["begin"]):
+            pieces.append(text[at : span["begin"]])
+            at = span["end"]
+            while at < len(text) and text[at] in " \t\n\x0b\x0c\r":
+                at += 1
+        return "".join(pieces) + text[at:]
+
+    return pd.Series([text if spans is None else rest(text, spans) for text, spans in zip(texts, cuts)], dtype=object)
+
+
+def remove_paragraphs(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", line_words: int = LINE_WORDS) -> DataFrame:
+    """``df`` with the repeated units cut out of ``text_column``; all rows and other columns stay.
+
+    The white space after a unit goes with it.
+    """
     rows = materialise(_marked(df))
     cuts = materialise(
-        _found(rows, id_column, text_column, min_words)
+        _found(rows, id_column, text_column, line_words)
         .where("removed")
         .groupBy(_ROW)
-        .agg(F.collect_set("paragraph").alias("__cut"))
+        .agg(F.collect_list(F.struct("begin", "end")).alias("__cut"))
     )
-    joined = rows.join(cuts, _ROW, "left")
-    lines = F.transform(F.split(text_column, "\n", -1), lambda line, n: F.struct(line.alias("line"), n.cast("long").alias("n")))
-    kept = F.filter(lines, lambda x: ~F.array_contains("__cut", x["n"]))
-    cut = F.concat_ws("\n", F.transform(kept, lambda x: x["line"]))
-    return joined.withColumn(text_column, F.when(F.col("__cut").isNull(), F.col(text_column)).otherwise(cut)).select(*df.columns)
+    return rows.join(cuts, _ROW, "left").withColumn(text_column, _without(text_column, "__cut")).select(*df.columns)
