@@ -1,11 +1,11 @@
 """Repeated passages across documents: MinHash banding, exact Jaccard, components.
 
-Texts are compared in units of some 15 words. Lines of ``LINE_WORDS`` words or
+Texts are compared in units of some 17 words. Lines of ``LINE_WORDS`` words or
 more are blocks of their own, shorter ones in a row are one block. A block is cut
 before every word whose two-word hash is the smallest of ``REACH`` words around
 it, so a passage is cut in the same places wherever it stands and however it is
-wrapped: one of 50 words or more nearly always holds a whole unit. Units with
-equal sets of five-word shingles are one class; classes that collide in a band of
+wrapped: 19 in 20 of 50 words hold a whole unit, nearly all of 60 do. Units with
+equal sets of five-word shingles are one class, told by 64 bits; classes that collide in a band of
 MinHashes are compared exactly, and connected classes form a cluster. The
 cluster's first unit (by document id and place) stays, the others go.
 """
@@ -38,17 +38,17 @@ from pulseledger.llm.common import (
     verified_links,
     word_hashes,
 )
-from pulseledger.session import materialise
+from pulseledger.session import materialise, scratch
 
 LINE_WORDS = 20
 # Cuts lie further apart than this, and from a block's ends; units are on average twice as long.
-REACH = 7
+REACH = 8
 # A unit without a cut for so many words (one phrase over and over) is cut anyway.
 UNIT_WORDS = 64
 # Tells rows apart that share an id, or have none.
 _ROW = "__row"
-# Two units at the threshold of 0.75 meet in a band with probability 0.984, equal ones always.
-BANDS, BAND_ROWS = 5, 2
+# Two units meet in a band with probability 0.963 at the threshold of 0.75, 0.991 at 5/6; equal ones always.
+BANDS, BAND_ROWS = 4, 2
 # Bits of the sketch that bounds how much two units differ before they are fetched.
 SKETCH_BITS = 64
 
@@ -72,9 +72,11 @@ class Units(NamedTuple):
     def sizes(self) -> np.ndarray:
         return np.diff(np.append(self.at, len(self.shingles)))
 
-    def digests(self) -> tuple[np.ndarray, np.ndarray]:
-        low, high = (np.add.reduceat(mixed(self.shingles + np.uint64(salt)), self.at) for salt in (1, 2))
-        return signed(low), signed(high)
+    def digests(self) -> np.ndarray:
+        return signed(mixed(np.add.reduceat(mixed(self.shingles + np.uint64(1)), self.at)))
+
+    def sketches(self) -> np.ndarray:
+        return parity_sketches(self.owner, self.shingles, len(self.at), SKETCH_BITS).reshape(-1)
 
     def bands(self) -> np.ndarray:
         """A row of band hashes per unit."""
@@ -157,66 +159,77 @@ def units_of(texts: list[str], line_words: int = LINE_WORDS) -> Units:
 
 
 def _unit_rows(df: DataFrame, id_column: str, text_column: str, line_words: int) -> DataFrame:
+    """A row per unit: where it is, and its class ``node``."""
+
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
             units = units_of(part[text_column], line_words)
-            if not len(units.text):
-                return
-            low, high = units.digests()
-            yield {
-                "id": [part[id_column][n] for n in units.text],
-                "row": [part[_ROW][n] for n in units.text],
-                "paragraph": units.number,
-                "begin": units.begin,
-                "end": units.end,
-                "n_words": units.n_words,
-                "n": units.sizes(),
-                "low": low,
-                "high": high,
-                "bands": list(units.bands()),
-                "sketch": parity_sketches(units.owner, units.shingles, len(units.at), SKETCH_BITS).reshape(-1),
-            }
+            if len(units.text):
+                yield {
+                    "node": units.digests(),
+                    "id": [part[id_column][n] for n in units.text],
+                    "row": [part[_ROW][n] for n in units.text],
+                    "paragraph": units.number,
+                    "begin": units.begin,
+                    "end": units.end,
+                    "n_words": units.n_words,
+                }
 
         return work
 
-    schema = (
-        f"id {dict(df.dtypes)[id_column]}, row long, paragraph long, begin long, end long, n_words long, "
-        "n long, low long, high long, bands array<bigint>, sketch long"
-    )
+    schema = f"node long, id {dict(df.dtypes)[id_column]}, row long, paragraph long, begin long, end long, n_words long"
     return map_slices(df, [id_column, _ROW, text_column], build, schema, text_column)
 
 
+def _bands(df: DataFrame, text_column: str, line_words: int) -> DataFrame:
+    """``sig, node``: the bands of every class, once however many copies it has."""
+    names = [f"band{n}" for n in range(BANDS)]
+
+    def build():
+        def work(part: dict[str, list]) -> Iterator[dict]:
+            units = units_of(part[text_column], line_words)
+            if len(units.text):
+                node, first = np.unique(units.digests(), return_index=True)
+                yield {"node": node, **dict(zip(names, units.bands()[first].T))}
+
+        return work
+
+    schema = "node long, " + ", ".join(f"{name} long" for name in names)
+    units = map_slices(df, [text_column], build, schema, text_column)
+    classes = units.groupBy("node").agg(*(F.any_value(name).alias(name) for name in names))
+    return classes.select(F.explode(F.array(*names)).alias("sig"), "node")
+
+
 def _possible(one: str, two: str) -> Column:
     return sketches_allow(one, two, SKETCH_BITS)
 
 
-def _sets_of(wanted: DataFrame, classes: DataFrame, df: DataFrame, text_column: str, line_words: int) -> DataFrame:
-    """``node, shingles`` of the given classes."""
-    nodes = materialise(classes.join(wanted, "node").select("node", "n", "low", "high"))
-    needed = membership_filter(nodes.select(hash_place("low").alias("place")))
+def _sets_of(nodes: DataFrame, df: DataFrame, text_column: str, line_words: int) -> DataFrame:
+    """``node, shingles, n, sketch`` of the given classes."""
+    needed = membership_filter(nodes.select(hash_place("node").alias("place")))
 
     def build():
         def work(part: dict[str, list]) -> Iterator[dict]:
             units = units_of(part[text_column], line_words)
             if not len(units.text):
                 return
-            low, high = units.digests()
-            there = np.flatnonzero(in_filter(needed, low & (FILTER_BITS - 1)))
-            # Copies within the slice once.
-            there = there[np.unique(low[there], return_index=True)[1]]
+            node, there = np.unique(units.digests(), return_index=True)
+            found = in_filter(needed, node & (FILTER_BITS - 1))
+            node, there = node[found], there[found]
             stop = np.append(units.at[1:], len(units.shingles))
             if len(there):
                 yield {
-                    "n": units.sizes()[there],
-                    "low": low[there],
-                    "high": high[there],
+                    "node": node,
                     "shingles": [signed(units.shingles[units.at[n] : stop[n]]) for n in there],
+                    "n": units.sizes()[there],
+                    "sketch": units.sketches()[there],
                 }
 
         return work
 
-    sets = map_slices(df, [text_column], build, "n long, low long, high long, shingles array<bigint>", text_column)
-    return sets.join(nodes, ["n", "low", "high"]).groupBy("node").agg(F.any_value("shingles").alias("shingles"))
+    schema = "node long, shingles array<bigint>, n long, sketch long"
+    sets = map_slices(df, [text_column], build, schema, text_column).join(nodes, "node", "left_semi")
+    return sets.groupBy("node").agg(*(F.any_value(name).alias(name) for name in ("shingles", "n", "sketch")))
 
 
 def repeated_paragraphs(
@@ -243,22 +256,15 @@ def _marked(df: DataFrame) -> DataFrame:
 def _found(df: DataFrame, id_column: str, text_column: str, line_words: int) -> DataFrame:
     """The rows of ``repeated_paragraphs`` with the mark of their row."""
     rows = materialise(_unit_rows(df, id_column, text_column, line_words))
+    parts = _parts(df, text_column, line_words)
+    copied = rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("node")
+    wanted = parts.join(copied, "node", "full_outer").select("node", F.coalesce("component_id", "node").alias("part"))
+    # Units without a copy go before anything else is done with them.
+    repeats = materialise(rows.join(wanted, "node").drop("node"))
     spot = F.struct("id", "row", "paragraph")
-    classes = materialise(
-        rows.groupBy("n", "low", "high")
-        .agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
-        .withColumn("node", F.monotonically_increasing_id())
-    )
-    buckets = shared_buckets(classes.select(F.explode("bands").alias("sig"), "node"))
-    facts = classes.select("node", F.array("sketch").alias("sketch"), "n").select("node", sketch_fact(SKETCH_BITS).alias("fact"))
-    links = verified_links(buckets, lambda nodes: _sets_of(nodes, classes, df, text_column, line_words), facts, _possible, at_once=True)
-    parts = connected_components(links)
-    placed = classes.join(parts, "node", "left").withColumn("part", F.coalesce("component_id", "node"))
-    clusters = placed.groupBy("part").agg(F.min("first").alias("kept"), F.sum("copies").alias("n_copies")).where("n_copies > 1")
-    repeats = materialise(placed.join(clusters, "part").select("n", "low", "high", "kept", "n_copies", F.col("first").alias("one")))
-    found = rows.drop("bands", "sketch").join(repeats, ["n", "low", "high"])
+    clusters = repeats.groupBy("part").agg(F.min(spot).alias("kept"), F.count(F.lit(1)).alias("n_copies"))
     here = (F.col("row") == F.col("kept.row")) & (F.col("paragraph") == F.col("kept.paragraph"))
-    return found.select(
+    return repeats.join(clusters, "part").select(
         F.col("row").alias(_ROW),
         F.col("id").alias(id_column),
         "paragraph",
@@ -272,6 +278,20 @@ def _found(df: DataFrame, id_column: str, text_column: str, line_words: int) ->
     )
 
 
+def _parts(df: DataFrame, text_column: str, line_words: int) -> DataFrame:
+    """``node, component_id`` of the classes that have a near class, stored; what it took is deleted."""
+    with scratch(df.sparkSession) as stored:
+        buckets = shared_buckets(_bands(df, text_column, line_words))
+        nodes = materialise(buckets.select("node").distinct())
+        sets = materialise(_sets_of(nodes, df, text_column, line_words))
+        facts = sets.select("node", "n", F.array("sketch").alias("sketch")).select("node", sketch_fact(SKETCH_BITS).alias("fact"))
+        fetched = sets.select("node", "shingles")
+        links = verified_links(buckets, lambda asked: fetched.join(asked, "node", "left_semi"), facts, _possible)
+        parts = materialise(connected_components(links))
+        stored.pop()
+    return parts
+
+
 @F.pandas_udf(StringType())
 def _without(texts: pd.Series, cuts: pd.Series) -> pd.Series:
     """Each text without its spans and the white space that follows them."""

@@ -81,7 +81,7 @@ def test_passages_are_found_within_longer_lines_and_wrapped(spark, length):
     texts = dict(rows)
     found = paragraph_dedup.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     hit = {r.doc_id for r in found}
-    assert len(hit) >= 0.95 * 2 * count and min(hit) >= 0
+    assert len(hit) >= 0.9 * 2 * count and min(hit) >= 0
     for r in found:
         assert r.kept_doc_id // 2 == r.doc_id // 2 and r.removed == (r.doc_id % 2 == 1)
         assert len(texts[r.doc_id][r.begin : r.end].split()) == r.n_words
@@ -95,6 +95,6 @@ def test_units_cover_blocks_and_do_not_depend_on_the_neighbours():
     got = list(zip(*(x.tolist() for x in (together.text, together.number, together.begin, together.end, together.n_words))))
     assert got == alone
     assert sum(r[4] for r in alone if r[0] == 1) == 500
-    assert all(8 <= words <= 64 and len(texts[n][begin:end].split()) == words for n, _, begin, end, words in alone)
+    assert all(9 <= words <= 64 and len(texts[n][begin:end].split()) == words for n, _, begin, end, words in alone)
     # Lines of 25 and 40 words are blocks; the 22 words of the short lines between them are one; two words are none.
     assert sum(r[4] for r in alone if r[0] == 4) == 87
