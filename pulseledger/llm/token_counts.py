@@ -4,16 +4,18 @@ The encoding of a prefix is the encoding of a shorter prefix and one more token,
 so ``count[i] = count[i - len(t)] + 1``, where ``t`` is the one vocabulary piece
 ending at ``i`` that the piece before it does not merge with. No piece spans a
 blank or a line break, so a text falls into chunks and its table is the running
-sum over them. One encoding of the text gives the recurrence's values wherever a
-token ends (the whole text's count is the last of them); prefixes that end inside
-a token are solved per distinct chunk. With the table, "how many tokens has this
-prefix" and "where must the text be cut for a budget" need no further encoding.
+sum over them. The recurrence is solved once per distinct chunk, and its end is
+compared with the library's count of that chunk. The whole text's count is the
+last entry of its table; "how many tokens has this prefix" and "where must the
+text be cut for a budget" are read from it without another encoding.
 """
 
 from __future__ import annotations
 
+import operator
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -25,16 +27,19 @@ from pulseledger.llm.common import map_slices
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 # Distinct chunks remembered per task; beyond it the memory starts anew.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 1_000_000
 
 _CHUNK = re.compile("▁*[^▁\n]*\n*")
 
 
-def _characters(piece: str) -> int:
-    """Code points a piece covers; of a character's byte pieces, the first counts."""
-    if len(piece) == 6 and piece.startswith("<0x"):
-        return int(int(piece[3:5], 16) & 0xC0 != 0x80)
-    return len(piece)
+# Where a nested table holds the pieces met on the way to it, longest first; no code point is empty.
+PIECES = ""
+
+
+def split(text: str) -> list[str]:
+    """The chunks of a text, ▁ for blanks and one before it."""
+    parts = _CHUNK.findall("▁" + text.replace(" ", "▁")) if text else []
+    return parts[:-1] if parts and not parts[-1] else parts
 
 
 class PrefixCounter:
@@ -48,12 +53,25 @@ class PrefixCounter:
             for n in range(model.get_piece_size())
             if not (model.is_control(n) or model.is_unknown(n) or model.is_byte(n) or model.is_unused(n))
         )
-        self._pieces = {model.id_to_piece(n) for n in plain}
-        self._longest = max(map(len, self._pieces))
-        if any(re.search("[^▁]▁|[\n ]", piece) for piece in self._pieces):
-            raise ValueError("a piece of this vocabulary spans a blank or a line break")
-        self._pairs: dict[tuple[str, str], bool] = {}
+        # Pieces read from their ends, a level of the nested tables per code point.
+        self._endings: dict = {}
+        for number in plain:
+            piece = model.id_to_piece(number)
+            if re.search("[^▁]▁|[\n ]", piece):
+                raise ValueError("a piece of this vocabulary spans a blank or a line break")
+            node = self._endings
+            for character in reversed(piece):
+                node = node.setdefault(character, {})
+            node[PIECES] = ((len(piece), number),)
+        levels = [(self._endings, ())]
+        while levels:
+            node, shorter = levels.pop()
+            node[PIECES] = node.get(PIECES, ()) + shorter
+            levels.extend((below, node[PIECES]) for character, below in node.items() if character != PIECES)
+        self._pairs: dict[int, bool] = {}
         self._chunks: dict[str, np.ndarray] = {}
+        self._totals: dict[str, int] = {}
+        self.differing = 0
 
     def _encoded(self, inner: str) -> list[str]:
         """The pieces of a text written with ▁ for blanks, no blank added before it."""
@@ -61,84 +79,125 @@ class PrefixCounter:
             return self._model.encode(inner[1:], out_type=str) or ["▁"]
         return self._model.encode("\n" + inner, out_type=str)[2:]
 
-    def _stands(self, left: str, right: str) -> bool:
-        """Whether the two pieces stay apart when they meet."""
-        key = (left, right)
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) > 4 * CACHE_CHUNKS:
-                self._pairs.clear()
-            known = self._pairs[key] = self._encoded(left + right) == [left, right]
-        return known
+    def _lengths(self, inners: list[str]) -> list[int]:
+        """The number of pieces of each, as ``_encoded`` gives them."""
+        texts = [inner[1:] if inner.startswith("▁") else "\n" + inner for inner in inners]
+        found = [len(ids) for ids in self._model.encode(texts, num_threads=1)] if texts else []
+        # Before a line break stand two pieces; a blank alone is one, though the library gives none.
+        return [
+            count - 2 if not inner.startswith("▁") else count or 1 for inner, count in zip(inners, found)
+        ]
 
-    def _solve(self, chunk: str) -> np.ndarray:
-        """Counts of the chunk's prefixes of 1, 2, ... code points."""
-        length = len(chunk)
-        counts = [0] * (length + 1)
-        last: list[str | None] = [None] * (length + 1)
-        for end in range(1, length + 1):
-            # Not in the vocabulary: one token per UTF-8 byte, merging with nothing.
-            counts[end] = counts[end - 1] + len(chunk[end - 1].encode())
-            for start in range(end - 1, max(-1, end - 1 - self._longest), -1):
-                piece = chunk[start:end]
-                if piece not in self._pieces:
-                    continue
+    def _stands(self, left: int, right: int) -> bool:
+        """Whether the two pieces stay apart when they meet."""
+        inner = self._model.id_to_piece(left) + self._model.id_to_piece(right)
+        if inner.startswith("▁"):
+            return self._model.encode(inner[1:]) == [left, right]
+        return self._model.encode("\n" + inner)[2:] == [left, right]
+
+    def _extend(self, chunk: str, counts: list[int], last: list[int]) -> None:
+        """Continue ``counts`` and the ``last`` pieces of a beginning of the chunk to its end."""
+        endings, pairs = self._endings, self._pairs
+        for end in range(len(counts), len(chunk) + 1):
+            node, start = endings, end
+            while start and (longer := node.get(chunk[start - 1])) is not None:
+                node = longer
+                start -= 1
+            for size, piece in node[PIECES]:
+                start = end - size
                 before = last[start]
-                if before is None or self._stands(before, piece):
-                    last[end], counts[end] = piece, counts[start] + 1
-                    break
-        if counts[length] != len(self._encoded(chunk)):
-            # A piece that merges by another rule: ask the library prefix by prefix.
-            counts[1:] = [len(self._encoded(chunk[:end])) for end in range(1, length + 1)]
-        return np.array(counts[1:], dtype=np.int64)
+                if before >= 0:
+                    key = before << 32 | piece
+                    stands = pairs.get(key)
+                    if stands is None:
+                        stands = pairs[key] = self._stands(before, piece)
+                    if not stands:
+                        continue
+                last.append(piece)
+                counts.append(counts[start] + 1)
+                break
+            else:
+                # Not in the vocabulary: one token per UTF-8 byte, merging with nothing.
+                last.append(-1)
+                counts.append(counts[end - 1] + len(chunk[end - 1].encode()))
+
+    def _recurrence(self, chunk: str) -> list[int]:
+        """Counts of the chunk's prefixes of 0, 1, 2, ... code points."""
+        counts, last = [0], [-1]
+        self._extend(chunk, counts, last)
+        return counts
+
+    def learn(self, chunks: Iterable[str]) -> None:
+        """The last entries of the tables of chunks not met before.
+
+        In sorted order, so that a table is continued from the beginning it shares
+        with the one before.
+        """
+        if len(self._totals) > CACHE_CHUNKS:
+            self._totals.clear()
+        if len(self._pairs) > CACHE_CHUNKS:
+            self._pairs.clear()
+        new = sorted(chunk for chunk in set(chunks) if chunk not in self._totals)
+        found, known, counts, last = [], "", [0], [-1]
+        for chunk in new:
+            same = next((n for n, (a, b) in enumerate(zip(known, chunk)) if a != b), min(len(known), len(chunk)))
+            del counts[same + 1 :], last[same + 1 :]
+            self._extend(chunk, counts, last)
+            found.append(counts[-1])
+            known = chunk
+        # The library decides, should a piece merge by another rule.
+        exact = self._lengths(new)
+        self.differing += sum(map(operator.ne, found, exact))
+        self._totals.update(zip(new, exact))
 
     def chunk(self, chunk: str) -> np.ndarray:
+        """Counts of the chunk's prefixes of 1, 2, ... code points."""
         known = self._chunks.get(chunk)
         if known is None:
             if len(self._chunks) > CACHE_CHUNKS:
                 self._chunks.clear()
-            known = self._chunks[chunk] = self._solve(chunk)
+            counts = self._recurrence(chunk)
+            if counts[-1] != len(self._encoded(chunk)):
+                # Ask the library prefix by prefix.
+                counts = [len(self._encoded(chunk[:end])) for end in range(len(chunk) + 1)]
+            known = self._chunks[chunk] = np.array(counts[1:], dtype=np.int64)
         return known
 
-    def totals(self, texts: list[str]) -> list[int]:
-        """The counts of the whole texts, the last entry of each text's table."""
-        return [len(ids) for ids in self._model.encode(texts, num_threads=1)]
+    def chunks(self, text: str) -> tuple[list[str], np.ndarray]:
+        """The text's chunks and the running sum of their counts."""
+        parts = split(text)
+        self.learn(parts)
+        return parts, self._sums(parts)
 
-    def chunks(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The text's chunks, the prefix lengths at which they end, and the counts there.
+    def _sums(self, parts: list[str]) -> np.ndarray:
+        return np.cumsum(np.fromiter(map(self._totals.__getitem__, parts), np.int64, len(parts)))
 
-        One encoding gives the count wherever a token ends, and chunks end with a
-        token; prefixes that end inside a token are left to ``chunk``.
-        """
-        parts = _CHUNK.findall("▁" + text.replace(" ", "▁"))
-        if not parts[-1]:
-            parts.pop()
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-        pieces = self._model.encode(text, out_type=str)
-        sizes = np.fromiter((_characters(piece) for piece in pieces), np.int64, len(pieces))
-        # Bytes that continue a character have no length; the count stands after the last of them.
-        tokens = np.searchsorted(np.cumsum(sizes), ends, side="right")
-        return parts, ends - 1, tokens
+    def all_chunks(self, texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+        """``chunks`` of each text; tables are worked out for all of them at once."""
+        lists = [split(text) for text in texts]
+        self.learn(chain.from_iterable(lists))
+        return ((parts, self._sums(parts)) for parts in lists)
 
     def table(self, text: str) -> np.ndarray:
         """Token counts of the prefixes of 0, 1, ..., len(text) code points."""
         if not text:
             return np.zeros(1, dtype=np.int64)
-        parts, _, tokens = self.chunks(text)
+        parts, tokens = self.chunks(text)
         before = np.concatenate([[0], tokens[:-1]])
         counts = np.concatenate([self.chunk(part) + base for part, base in zip(parts, before)])
         counts[0] = 0
         return counts
 
-    def cut(self, parts: list[str], ends: np.ndarray, tokens: np.ndarray, budget: int) -> int:
+    def cut(self, parts: list[str], tokens: np.ndarray, budget: int) -> int:
         """Code points of the longest prefix with at most ``budget`` tokens, from the tables alone."""
         nth = int(np.searchsorted(tokens, budget, side="right"))
-        longest = int(ends[nth - 1]) if nth else 0
+        # The blank before the text is no code point of it.
+        longest = sum(map(len, parts[:nth])) - 1
         if nth < len(parts):
             base = int(tokens[nth - 1]) if nth else 0
             fitting = np.flatnonzero(self.chunk(parts[nth]) + base <= budget)
             if len(fitting):
-                longest = max(longest, (int(ends[nth - 1]) if nth else -1) + 1 + int(fitting[-1]))
+                longest += 1 + int(fitting[-1])
         return max(longest, 0)
 
 
@@ -154,7 +213,7 @@ def count_tokens(
     ``cut_chars`` is the length in code points of the longest prefix within
     ``limit`` tokens. Null texts count as empty (0 tokens, cut 0); a null id,
     repeated rows and other columns change nothing; an empty table gives an
-    empty one. Memory holds a slice of texts and a bounded chunk cache.
+    empty one. Memory holds a slice of texts and bounded caches of chunks.
     """
     path = public_tokenizers.path(model)
 
@@ -162,11 +221,10 @@ def count_tokens(
         counter = PrefixCounter(path)
 
         def work(part: dict[str, list]) -> Iterator[dict]:
-            totals = counter.totals(part[text_column])
-            cuts = [
-                len(text) if total <= limit else counter.cut(*counter.chunks(text), limit)
-                for text, total in zip(part[text_column], totals)
-            ]
+            totals, cuts = [], []
+            for text, (parts, tokens) in zip(part[text_column], counter.all_chunks(part[text_column])):
+                totals.append(int(tokens[-1]) if parts else 0)
+                cuts.append(len(text) if totals[-1] <= limit else counter.cut(parts, tokens, limit))
             yield {
                 id_column: part[id_column],
                 "n_bytes": [len(text.encode()) for text in part[text_column]],

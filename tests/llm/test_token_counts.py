@@ -35,3 +35,18 @@ def test_prefix_tables_and_empty_table(awkward, empty):
     rows = token_counts.prefix_tables(awkward.where("doc_id in (1, 2, 5)")).collect()
     assert [r.prefix_tokens for r in rows if r.doc_id in (1, 2)] == [[0], [0]]
     assert token_counts.count_tokens(empty).collect() == []
+
+
+def test_tables_give_the_counts_of_whole_texts(docs):
+    counter = token_counts.PrefixCounter(public_tokenizers.path(token_counts.MODEL))
+    texts = TRICKY + [row.text or "" for row in docs.collect()]
+    found = [int(tokens[-1]) if parts else 0 for parts, tokens in counter.all_chunks(texts)]
+    assert found == [len(ids) for ids in library().encode(texts)]
+    assert counter.differing == 0
+
+
+def test_long_text_without_blanks():
+    counter = token_counts.PrefixCounter(public_tokenizers.path(token_counts.MODEL))
+    text = "日本語テスト" * 5_000 + "abcdefg" * 5_000
+    parts, tokens = counter.chunks(text)
+    assert len(parts) == 1 and tokens[-1] == len(library().encode(text))
