@@ -1,14 +1,19 @@
 """Interleave sources so that every prefix follows the target weights (Pfair scheduling).
 
-Time is cut into slots, one block each, and slots into periods. At the end of
-every period each source has been given its share of all slots so far, rounded
-by largest remainder: less than one block away, however many periods have
-passed. Within a period, block ``k`` of a source with quota ``q`` of ``p`` slots
-is released at slot ``floor(k * p / q)`` and due by ``ceil((k + 1) * p / q)``; in
-every slot the released block with the earliest deadline goes. On one resource
-this meets all deadlines, so within a period each source is less than one block
-away from the line between the period's ends, and less than two from its share.
-Periods with equal quotas have one schedule, worked out once.
+Time is cut into slots, one block each. Block ``k`` of a source with share ``w``
+is released at slot ``floor(k / w)`` and due by ``ceil((k + 1) / w)``; in every
+slot the released block with the earliest deadline goes. Shares sum to one, so
+all deadlines are met and at every slot each source is less than one block away
+from its share.
+
+It is one schedule for all slots, worked out in periods that do not wait for each
+other. What has been served when a period starts follows from the blocks whose
+window spans that slot alone: earliest deadline first over the blocks released
+within ``reach`` slots before it, the longest window, serves a set of them, and
+the first of these by deadline, as many as slots are left over, are those that
+the whole schedule has served (unit blocks before a common end form a matroid, and
+serving by deadline is its greedy choice). Blocks released earlier are due by
+then. Shares are integers of ``UNITS`` parts, so that no rounding adds up.
 """
 
 from __future__ import annotations
@@ -22,9 +27,11 @@ from pulseledger.llm.common import numbered_within
 from pulseledger.session import materialise
 
 BLOCK_ROWS = 8
+# Slots worked out in one row, or the longest window if that is more; the result is the same for any.
 PERIOD = 1000
-# A period has at least so many slots per source, and one for the smallest weight.
-SLOTS_PER_SOURCE = 10
+# Shares are multiples of 1 / UNITS and at least about LEAST / UNITS, which bounds the windows.
+UNITS = 1 << 40
+LEAST = 1 << 20
 # Slots whose order is appended at once.
 CHUNK = 256
 TEMPERATURE = 0.5
@@ -42,136 +49,176 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _shares(weights: DataFrame, period: int) -> DataFrame:
-    """One row: ``period`` and ``lanes``, an array of ``source, share``. One row per source meets here.
+def _div(value: Column, by: Column) -> Column:
+    """Whole quotient of non-negative integers."""
+    return F.call_function("div", value, by)
 
-    The period has a slot for the smallest share, so no source's total ever falls.
+
+def _shares(weights: DataFrame, period: int = PERIOD) -> DataFrame:
+    """One row: ``period``, ``reach`` and ``lanes``, an array of ``source, units``. One row per source meets here.
+
+    The units sum to ``UNITS``; the largest share takes what rounding leaves.
     """
     positive = weights.where("weight > 0").groupBy("source").agg(F.sum("weight").alias("weight"))
     gathered = positive.agg(
-        F.sort_array(F.collect_list(F.struct("source", "weight"))).alias("lanes"),
-        F.sum("weight").alias("total"),
-        F.min("weight").alias("least"),
+        F.sort_array(F.collect_list(F.struct("source", "weight"))).alias("lanes"), F.sum("weight").alias("total")
     )
-    slots = F.greatest(F.lit(period), F.size("lanes") * SLOTS_PER_SOURCE, F.ceil(F.col("total") / F.col("least")))
-    return gathered.select(
-        slots.cast("bigint").alias("period"),
-        F.transform(
-            "lanes", lambda lane: F.struct(lane["source"].alias("source"), (lane["weight"] / F.col("total")).alias("share"))
-        ).alias("lanes"),
+    parts = F.transform("lanes", lambda lane: F.greatest(lane["weight"] / F.col("total"), F.lit(LEAST / UNITS)))
+    whole = F.aggregate("parts", F.lit(0.0), lambda sum_, part: sum_ + part)
+    rounded = F.transform("parts", lambda part: F.floor(part / F.col("whole") * UNITS))
+    left = F.lit(UNITS) - F.aggregate("units", F.lit(0).cast("bigint"), lambda sum_, units: sum_ + units)
+    largest = F.array_position("units", F.array_max("units")) - 1
+    exact = F.transform("units", lambda units, n: units + F.when(n == F.col("largest"), F.col("left")).otherwise(0))
+    lanes = F.zip_with(
+        "lanes", "exact", lambda lane, units: F.struct(lane["source"].alias("source"), units.alias("units"))
+    )
+    reach = F.coalesce(_div(F.lit(UNITS), F.array_min("exact")), F.lit(0)) + 2
+    return (
+        gathered.withColumn("parts", parts)
+        .withColumn("whole", whole)
+        .withColumn("units", rounded)
+        .withColumn("left", left)
+        .withColumn("largest", largest)
+        .withColumn("exact", exact)
+        .select(F.greatest(F.lit(period), reach).cast("bigint").alias("period"), reach.alias("reach"), lanes.alias("lanes"))
     )
 
 
-def _given(periods: Column) -> Column:
-    """What each lane has been given after so many periods: its share of the slots, by largest remainder."""
-    slots = F.col("period") * periods
-
-    def rounded(exact: Column) -> Column:
-        left = slots - F.aggregate(exact, F.lit(0).cast("bigint"), lambda total, x: total + F.floor(x))
-        order = F.array_sort(F.transform(exact, lambda x, n: F.struct((F.floor(x) - x).alias("less"), n.alias("n"))))
-        first = F.slice(F.transform(order, lambda o: o["n"]), 1, F.greatest(left, F.lit(0)).cast("int"))
-        return _let(
-            first,
-            lambda winners: F.transform(exact, lambda x, n: F.floor(x) + F.when(F.array_contains(winners, n), 1).otherwise(0)),
-        )
-
-    return _let(F.transform("lanes", lambda lane: lane["share"] * slots), rounded)
-
+def quotas(weights: DataFrame) -> DataFrame:
+    """One row: ``period``, that is ``UNITS``, and ``lanes``, an array of ``source, quota``: each source's slots of them."""
+    lanes = F.transform(
+        "lanes", lambda lane: F.struct(lane["source"].alias("source"), lane["units"].alias("quota"))
+    )
+    return _shares(weights).select(F.lit(UNITS).alias("period"), lanes.alias("lanes"))
 
-def quotas(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """One row: ``period`` and ``lanes``, an array of ``source, quota``: the first period's, which they sum to.
 
-    Every source with a positive weight gets at least one slot, since the
-    period is long enough; largest remainder, ties by source name.
-    """
-    lanes = F.zip_with(
-        "lanes", _given(F.lit(1)), lambda lane, quota: F.struct(lane["source"].alias("source"), quota.alias("quota"))
-    )
-    return _shares(weights, period).select("period", lanes.alias("lanes"))
+def _due(lane: Column, block: Column) -> Column:
+    return _div((block + 1) * UNITS - lane["past"] + lane["units"] - 1, lane["units"])
 
 
 def _chosen(done: Column, slot: Column) -> Column:
     """Number of the lane whose released block has the earliest deadline; -1 if none is released."""
-    period = F.col("period").cast("bigint")
 
     def offer(lane: Column, n: Column) -> Column:
-        served = F.element_at(done, n + 1).cast("bigint")
-        released = F.floor(served * period / lane["quota"]) <= slot
-        due = F.ceil((served + 1) * period / lane["quota"])
-        return F.when(released & (served < lane["quota"]), F.struct(due.alias("due"), n.alias("n")))
+        block = F.element_at(done, n + 1)
+        released = block * UNITS - lane["past"] < (slot + 1) * lane["units"]
+        return F.when(released, F.struct(_due(lane, block).alias("due"), n.alias("n")))
 
     offers = F.filter(F.transform("lanes", offer), lambda x: x.isNotNull())
     return F.coalesce(F.array_min(offers)["n"], F.lit(-1))
 
 
-def _turns(lanes: DataFrame) -> DataFrame:
-    """``lanes`` with one row per slot of a period: lane ``n``, its ``turn`` and ``slot`` within the period."""
+def _served(done: Column, n: Column) -> Column:
+    return F.transform(done, lambda count, at: F.when(at == n, count + 1).otherwise(count))
+
+
+def _slots(begin: Column, end: Column) -> Column:
+    return F.when(begin < end, F.sequence(begin, end - 1)).otherwise(F.expr("cast(array() as array<bigint>)"))
+
+
+def _starts(periods: DataFrame) -> DataFrame:
+    """``k, lead, period, lanes, given``: what the whole schedule has served where period ``k`` starts.
+
+    Slots and blocks count from ``lead`` slots before that; ``lanes`` has ``units``,
+    the number ``base`` of the first block counted and its part ``past`` by then.
+    """
+    begin = F.greatest(F.col("k") * F.col("period") - F.col("reach"), F.lit(0))
+
+    def lane_at(lane: Column) -> Column:
+        product = lane["units"].cast("decimal(19,0)") * F.col("begin").cast("decimal(19,0)")
+        units = F.lit(UNITS).cast("decimal(19,0)")
+        return F.struct(
+            lane["units"].alias("units"), _div(product, units).alias("base"), (product % units).cast("bigint").alias("past")
+        )
+
+    # The first block counted was released before, unless it starts with the slot.
+    first = F.transform("lanes", lambda lane: F.when(lane["past"] > 0, 1).otherwise(0).cast("bigint"))
+    done = F.aggregate(
+        _slots(F.lit(0).cast("bigint"), F.col("lead")),
+        first,
+        lambda done, slot: _let(_chosen(done, slot), lambda n: _served(done, n)),
+    )
+    due_by_now = F.transform("lanes", lambda lane: _div(lane["past"] + lane["units"] * F.col("lead"), F.lit(UNITS)))
+    spare = F.col("k") * F.col("period") - F.aggregate(
+        F.zip_with("lanes", "floors", lambda lane, floor: lane["base"] + floor),
+        F.lit(0).cast("bigint"),
+        lambda sum_, blocks: sum_ + blocks,
+    )
+    ahead = F.filter(
+        F.transform(
+            F.arrays_zip("lanes", "floors", "done"),
+            lambda x, n: F.when(
+                x["done"] > x["floors"], F.struct(_due(x["lanes"], x["floors"]).alias("due"), n.alias("n"))
+            ),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    winners = F.transform(F.slice(F.array_sort(ahead), F.lit(1), F.col("spare").cast("int")), lambda x: x["n"])
+    given = F.transform("floors", lambda floor, n: floor + F.array_contains(F.col("winners"), n).cast("bigint"))
+    return (
+        periods.withColumn("begin", begin)
+        .withColumn("lead", F.col("k") * F.col("period") - F.col("begin"))
+        .withColumn("lanes", F.transform("lanes", lane_at))
+        .withColumn("done", done)
+        .withColumn("floors", due_by_now)
+        .withColumn("spare", spare)
+        .withColumn("winners", winners)
+        .select("k", "lead", "period", "lanes", given.alias("given"))
+    )
+
+
+def _turns(starts: DataFrame) -> DataFrame:
+    """``n, __block, __slot``: the lane and its block in every slot of the periods."""
 
     def step(state: Column, slot: Column) -> Column:
-        def serve(n: Column) -> Column:
-            done = F.transform(state["done"], lambda count, at: F.when(at == n, count + 1).otherwise(count))
-            return F.struct(done.alias("done"), F.concat(state["order"], F.array(n)).alias("order"))
+        return _let(
+            _chosen(state["done"], slot),
+            lambda n: F.struct(
+                _served(state["done"], n).alias("done"), F.concat(state["order"], F.array(n)).alias("order")
+            ),
+        )
 
-        return _let(_chosen(state["done"], slot), serve)
+    end = F.col("lead") + F.col("period")
 
     def chunk(state: Column, begin: Column) -> Column:
-        slots = F.sequence(begin, F.least(begin + CHUNK, F.col("period").cast("bigint")) - 1)
         start = F.struct(state["done"].alias("done"), F.expr("cast(array() as array<int>)").alias("order"))
         return _let(
-            F.aggregate(slots, start, step),
+            F.aggregate(_slots(begin, F.least(begin + CHUNK, end)), start, step),
             lambda after: F.struct(
                 after["done"].alias("done"), F.concat(state["orders"], F.array(after["order"])).alias("orders")
             ),
         )
 
-    start = F.struct(
-        F.transform("lanes", lambda lane: F.lit(0)).alias("done"),
-        F.expr("cast(array() as array<array<int>>)").alias("orders"),
-    )
-    begins = F.sequence(F.lit(0).cast("bigint"), F.col("period").cast("bigint") - 1, F.lit(CHUNK).cast("bigint"))
+    start = F.struct(F.col("given").alias("done"), F.expr("cast(array() as array<array<int>>)").alias("orders"))
+    begins = F.sequence(F.col("lead"), end - 1, F.lit(CHUNK).cast("bigint"))
     order = F.aggregate(begins, start, chunk, lambda state: F.flatten(state["orders"]))
-    scheduled = lanes.where(F.size("lanes") > 0).withColumn("order", order)
-    placed = scheduled.select(*lanes.columns, F.posexplode("lanes").alias("n", "lane"), "order").select(
-        *lanes.columns,
-        "n",
-        F.expr("transform(filter(transform(order, (x, at) -> struct(x, at)), s -> s.x = n), s -> cast(s.at as bigint))").alias("slots"),
+    kept = ("k", "period", "lanes", "given")
+    placed = starts.where(F.size("lanes") > 0).withColumn("order", order).select(*kept, F.posexplode("given").alias("n", "done"), "order")
+    within = F.expr("transform(filter(transform(order, (x, at) -> struct(x, at)), s -> s.x = n), s -> cast(s.at as bigint))")
+    served = F.element_at("lanes", F.col("n") + 1)["base"] + F.col("done")
+    return placed.select("k", "period", "n", served.alias("served"), F.posexplode(within).alias("turn", "within")).select(
+        "n", (F.col("served") + F.col("turn")).alias("__block"), (F.col("k") * F.col("period") + F.col("within")).alias("__slot")
     )
-    return placed.select(*lanes.columns, "n", F.posexplode("slots").alias("turn", "slot"))
-
-
-def period_schedule(lanes: DataFrame) -> DataFrame:
-    """``source, quota, period, turn, slot``: the slots of each source within one period."""
-    lane = F.element_at("lanes", F.col("n") + 1)
-    return _turns(lanes).select(lane["source"].alias("source"), lane["quota"].alias("quota"), "period", "turn", "slot")
 
 
 def schedule(shares: DataFrame, sizes: DataFrame) -> DataFrame:
     """``__source, __blocks, __block, __slot`` for every block of the sources and the one after.
 
     ``shares`` as ``_shares`` gives them, ``sizes`` has ``source, __blocks``. One
-    row per period, then one per slot; periods are independent of each other.
+    row per period, then one per slot; periods are worked out apart.
     """
     tasks = int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lanes = shares.select("period", F.posexplode("lanes").alias("n", "lane")).select(
-        "period", "n", F.col("lane.source").alias("__source"), "lane.share"
+        "period", "n", F.col("lane.source").alias("__source"), "lane.units"
     )
     held = materialise(sizes.join(lanes, F.col("source").eqNullSafe(F.col("__source"))).drop("source"))
-    # After so many periods every source has been given the block after its last.
-    count = held.agg(F.max(F.ceil((F.col("__blocks") + 2) / (F.col("share") * F.col("period")))).alias("periods"))
+    # By then every source has been given the block after its last.
+    slots = (F.col("__blocks") + 2) * (F.lit(float(UNITS)) / F.col("units"))
+    count = held.agg(F.max(F.ceil(slots / F.col("period"))).alias("periods"))
     numbered = shares.crossJoin(count).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("periods") - 1)).alias("k"))
-    steps = materialise(
-        numbered.repartition(tasks, "k")
-        .withColumn("given", _given(F.col("k")))
-        .select("period", "k", "given", F.zip_with(_given(F.col("k") + 1), "given", lambda after, before: after - before).alias("quotas"))
-    )
-    kinds = steps.select("period", "quotas").distinct().repartition(tasks, "quotas")
-    lanes_of = F.transform("quotas", lambda quota: F.struct(quota.alias("quota")))
-    turns = materialise(_turns(kinds.withColumn("lanes", lanes_of)).select("quotas", "n", "turn", F.col("slot").alias("within")))
-    block = F.element_at("given", F.col("n") + 1) + F.col("turn")
-    slots = steps.join(turns, "quotas").select(
-        "n", block.alias("__block"), (F.col("k") * F.col("period") + F.col("within")).alias("__slot")
-    )
-    return slots.join(held, "n").where("__block <= __blocks").select("__source", "__blocks", "__block", "__slot")
+    starts = materialise(_starts(numbered.repartition(tasks, "k")))
+    turns = _turns(starts.repartition(tasks, "k"))
+    return turns.join(held, "n").where("__block <= __blocks").select("__source", "__blocks", "__block", "__slot")
 
 
 def mix(

@@ -7,19 +7,53 @@ from pyspark.sql import functions as F
 from pulseledger.llm import mixing
 
 
-def test_every_prefix_is_within_one_block_of_the_weights(spark):
-    rows = [("a", 7.0), ("b", 2.5), ("c", 1.0), ("d", 0.01), (None, 3.0), ("never", 0.0)]
-    lanes = mixing.quotas(spark.createDataFrame(rows, "source string, weight double"), 97)
-    schedule = sorted((r.slot, r.source, r.quota, r.period) for r in mixing.period_schedule(lanes).collect())
-    period = schedule[0][3]
-    assert [slot for slot, *_ in schedule] == list(range(period))
-    quota = {source: q for _, source, q, _ in schedule}
-    assert sum(quota.values()) == period and min(quota.values()) >= 1 and "never" not in quota
-    served = dict.fromkeys(quota, 0)
-    for slot, source, *_ in schedule:
-        served[source] += 1
-        for name, share in quota.items():
-            assert abs(served[name] - Fraction(share * (slot + 1), period)) < 1
+def scheduled(spark, weights, period, slots):
+    """Sources in slot order, as far as ``slots``, and each source's units."""
+    frame = spark.createDataFrame(weights, "source string, weight double")
+    shares = mixing._shares(frame, period)
+    units = {lane.source: lane.units for lane in shares.collect()[0].lanes}
+    blocks = [(name, part * slots // mixing.UNITS + 2) for name, part in units.items()]
+    rows = mixing.schedule(shares, spark.createDataFrame(blocks, "source string, __blocks long")).collect()
+    return {r.__getitem__("__slot"): (r.__getitem__("__source"), r.__getitem__("__block")) for r in rows}, units
+
+
+def earliest_deadline_first(units, slots):
+    """The whole schedule, slot by slot."""
+    names = sorted(units, key=lambda name: (name is not None, name or ""))
+    done, order = dict.fromkeys(names, 0), []
+    for slot in range(slots):
+        ready = [n for n in names if done[n] * mixing.UNITS // units[n] <= slot]
+        pick = min(ready, key=lambda n: (-(-(done[n] + 1) * mixing.UNITS // units[n]), names.index(n)))
+        order.append((pick, done[pick]))
+        done[pick] += 1
+    return order
+
+
+UNEVEN = [("a", 7.0), ("b", 2.5), ("c", 1.0), ("d", 0.01), (None, 3.0), ("never", 0.0)]
+
+
+@pytest.mark.parametrize("weights, period", [
+    (UNEVEN, 97),
+    ([(f"s{n:02}", float(n % 7) + 0.37) for n in range(31)], 40),
+    ([("a", 0.5), ("b", 0.4999), ("c", 0.0001)], 1),
+    ([("a", 1.0), ("b", 1.0), ("c", 1.0), ("d", 0.03), ("e", 0.03)], 60),
+])
+def test_periods_together_are_one_schedule(spark, weights, period):
+    slots = 30_003 if period == 1 else 5_000
+    found, units = scheduled(spark, weights, period, slots)
+    assert sum(units.values()) == mixing.UNITS and "never" not in units
+    total = sum(weight for _, weight in weights)
+    assert all(abs(units[name] / mixing.UNITS - weight / total) < 1e-9 for name, weight in weights if weight)
+    served = dict.fromkeys(units, 0)
+    for slot, expected in enumerate(earliest_deadline_first(units, slots)):
+        assert found[slot] == expected
+        served[expected[0]] += 1
+        assert all(abs(served[name] * mixing.UNITS - part * (slot + 1)) < mixing.UNITS for name, part in units.items())
+
+
+def test_tiny_weights_have_bounded_windows(spark):
+    shares = mixing._shares(spark.createDataFrame([("a", 1.0), ("b", 1e-12)], "source string, weight double")).collect()[0]
+    assert shares.reach < 1.01 * mixing.UNITS / mixing.LEAST and sum(lane.units for lane in shares.lanes) == mixing.UNITS
 
 
 def simulated(blocks, quota, period):
@@ -66,9 +100,10 @@ def test_no_python_in_the_plan(docs):
 
 @pytest.mark.parametrize("count", [0, 1])
 def test_few_sources(spark, count):
-    rows = [("only", 2.0)][:count]
-    lanes = mixing.quotas(spark.createDataFrame(rows, "source string, weight double"), 10)
-    assert mixing.period_schedule(lanes).count() == 10 * count
+    weights = spark.createDataFrame([("only", 2.0)][:count], "source string, weight double")
+    sizes = spark.createDataFrame([("only", 10)][:count], "source string, __blocks long")
+    found = mixing.schedule(mixing._shares(weights, 4), sizes).collect()
+    assert sorted((r.__getitem__("__block"), r.__getitem__("__slot")) for r in found) == [(n, n) for n in range(11 * count)]
 
 
 @pytest.mark.parametrize("weights", [
@@ -89,8 +124,7 @@ def test_prefixes_follow_the_weights_over_many_periods(spark, weights):
     served = dict.fromkeys(share, 0)
     for slot, source in found:
         served[source] += 1
-        within = 1 if (slot + 1) % period == 0 else 2
-        assert all(abs(served[name] - part * (slot + 1)) < within for name, part in share.items())
+        assert all(abs(served[name] - part * (slot + 1)) < 1 + Fraction(1, 10**6) for name, part in share.items())
 
 
 def test_blocks_keep_their_order_over_periods(spark):
@@ -101,4 +135,4 @@ def test_blocks_keep_their_order_over_periods(spark):
     for source in "ab":
         slots = [r.slot for r in sorted(found, key=lambda r: r.block) if r.source == source]
         share = (2.0**0.5 if source == "a" else 1.0) / (1 + 2.0**0.5)
-        assert slots == sorted(set(slots)) and all(abs(n + 1 - share * (slot + 1)) < 2 for n, slot in enumerate(slots))
+        assert slots == sorted(set(slots)) and all(abs(n + 1 - share * (slot + 1)) < 1 + 1e-6 for n, slot in enumerate(slots))
