@@ -1,11 +1,14 @@
-"""How the sources are cut into tasks."""
+"""How the sources are cut into tasks, and what a date cell costs."""
 
+import io
 from collections import Counter
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulseledger.catalogue.queries import QUERIES
+from pulseledger.operators import normalize
 from pulseledger.sources import readers
 
 ROWS = 2 * readers.ROWS_PER_TASK + 1
@@ -48,3 +51,31 @@ def test_small_and_empty_sources_stay_as_they_are(spark, one_piece):
     given = spark.read.parquet(f"{one_piece}/customer.parquet")
     for frame in (given.limit(0), spark.range(0, 100, 1, 4), given.where("c_custkey < 0")):
         assert readers.in_even_pieces(frame, 30) is frame
+
+
+@pytest.mark.parametrize(
+    "cell, expected",
+    [
+        ("1/5/2023 1:02:03 PM", "2023-01-05 13:02:03"),
+        ("1/5/2023 12:00 pm", "2023-01-05 12:00:00"),
+        ("1/5/2023 0:07", "2023-01-05 00:07:00"),
+        ("1/5/2023 AM", None),
+        ("1/5/2023 10:60", None),
+        ("0/5/2023", None),
+        ("1/5/0000", None),
+    ],
+)
+def test_date_cells_with_parts_of_a_time(spark, cell, expected):
+    frame = spark.createDataFrame([(cell,)], "cell string")
+    day = frame.select(normalize.parsed_timestamp(F.col("cell")).cast("string").alias("day")).first().day
+    assert day == expected
+
+
+def test_no_part_of_a_date_cell_is_cast_to_fail(spark):
+    """A cast of an empty part throws and catches an exception, for every row."""
+    text = io.StringIO()
+    with redirect_stdout(text):
+        frame = spark.createDataFrame([("1/5/2023",)], "cell string")
+        frame.select(normalize.parsed_timestamp(F.col("cell"))).explain(True)
+    assert "as timestamp_ntz" in text.getvalue() and "as int" in text.getvalue()
+    assert "try_cast(get(" not in text.getvalue().lower()
